@@ -25,15 +25,34 @@ def orphan_count(
     name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
     """One row ``(constraint_name, n_checked, n_orphans)`` for a foreign key."""
-    checked = child.select(F.col(child_key).alias("_ck"))
-    parent_keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    flagged = checked.filter(F.col("_ck").isNotNull()).join(
-        parent_keys.withColumn("_hit", F.lit(1)), F.col("_ck") == F.col("_pk"), "left"
-    )
+    return orphan_count_multi(name, child, [child_key], parent, [parent_key])
+
+
+def orphan_count_multi(
+    name: str,
+    child: DataFrame,
+    child_keys: Sequence[str],
+    parent: DataFrame,
+    parent_keys: Sequence[str],
+) -> DataFrame:
+    """Foreign-key check on a (possibly composite) key, counted in one pass.
+
+    Child rows with a NULL in the key are not checked (a NULL reference is
+    allowed). Both sides are aggregated per key before the join: child rows are
+    counted per key (a hot key collapses map-side) and parent keys are
+    de-duplicated, so the join meets at most one row per key on each side and
+    both inputs already share the key partitioning.
+    """
+    ck = [F.col(c).alias(f"_c{i}") for i, c in enumerate(child_keys)]
+    pk = [F.col(c).alias(f"_c{i}") for i, c in enumerate(parent_keys)]
+    names = [f"_c{i}" for i in range(len(child_keys))]
+    checked = child.select(*ck).dropna(subset=names).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    hits = parent.select(*pk).distinct().withColumn("_hit", F.lit(1))
+    flagged = checked.join(hits, names, "left")
     return flagged.agg(
         F.lit(name).alias("constraint_name"),
-        F.count(F.lit(1)).alias("n_checked"),
-        F.count(F.when(F.col("_hit").isNull(), 1)).alias("n_orphans"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_checked"),
+        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("n_orphans"),
     )
 
 

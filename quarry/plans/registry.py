@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, reports
+from quarry.plans import analog, basics, reports, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +38,47 @@ REPORT_QUERIES: dict[str, QueryFn] = {
 }
 
 
+BASIC_QUERIES: dict[str, QueryFn] = {
+    "project_columns": _wh(basics.project_columns),
+    "derive_column": _wh(basics.derive_column),
+    "drop_columns": _wh(basics.drop_columns),
+    "try_cast_label": _wh(basics.try_cast_label),
+    "filter_eq": _wh(basics.filter_eq),
+    "filter_conjunction": _wh(basics.filter_conjunction),
+    "filter_numeric_text": _wh(basics.filter_numeric_text),
+    "lower_case": _wh(basics.lower_case),
+    "count_value": _wh(basics.count_value),
+    "count_value_ci": _wh(basics.count_value_ci),
+    "row_count": _wh(basics.row_count),
+    "distinct_one": _wh(basics.distinct_one),
+    "distinct_many": _wh(basics.distinct_many),
+    "describe_columns": _wh(basics.describe_columns),
+    "describe_by_group": _wh(basics.describe_by_group),
+    "limit_n": _wh(basics.limit_n),
+    "strip_brackets": _wh(basics.strip_brackets_key),
+    "split_list": _wh(basics.split_list),
+    "pk_duplicates": _wh(basics.pk_duplicates),
+    "fk_orphans": _wh(basics.fk_orphans),
+    "self_fk_orphans": _wh(basics.self_fk_orphans),
+    "not_null_violations": _wh(basics.not_null_violations),
+}
+
+TEXT_QUERIES: dict[str, QueryFn] = {
+    "word_count": _wh(text_reports.word_count),
+    "word_count_java": _wh(text_reports.word_count_java),
+    "tokenize_regex": _wh(text_reports.tokenize_regex),
+    "tokenize_ws": _wh(text_reports.tokenize_ws),
+    "top_terms": _wh(text_reports.top_terms),
+    "rarest_kept_terms": _wh(text_reports.rarest_kept_terms),
+    "term_counts": _wh(text_reports.term_counts),
+    "tfidf": _wh(text_reports.tfidf),
+    "text_shape": _wh(text_reports.text_shape),
+    "hashing_tf": _wh(text_reports.hashing_tf),
+}
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    out.update(REPORT_QUERIES)
+    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES):
+        out.update(part)
     return out
