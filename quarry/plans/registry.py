@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, reports, text_reports
+from quarry.plans import analog, basics, feature_keys, reports, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +76,22 @@ TEXT_QUERIES: dict[str, QueryFn] = {
     "hashing_tf": _wh(text_reports.hashing_tf),
 }
 
+FEATURE_QUERIES: dict[str, QueryFn] = {
+    "string_index": _wh(feature_keys.string_index),
+    "one_hot_drop_last": _wh(feature_keys.one_hot_drop_last),
+    "one_hot_all": _wh(feature_keys.one_hot_all),
+    "assemble": _wh(feature_keys.assemble),
+    "standard_scale": _wh(feature_keys.standard_scale),
+    "normalize_l1": _wh(feature_keys.normalize_l1),
+    "hash_split": _wh(feature_keys.hash_split),
+    "hash_split_nested": _wh(feature_keys.hash_split_nested),
+    "confusion_counts": _wh(feature_keys.confusion_counts),
+    "classification_metrics": _wh(feature_keys.classification_metrics),
+}
+
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES):
+    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES):
         out.update(part)
     return out
