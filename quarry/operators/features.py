@@ -17,6 +17,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
+    VarianceThresholdSelector,
     VectorAssembler,
     Word2Vec,
 )
@@ -90,6 +91,16 @@ def feature_hash(
     return FeatureHasher(inputCols=list(input_cols), outputCol=output_col, numFeatures=num_features).transform(df)
 
 
+def active_features(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
+    """Keep only the vector slots that vary (variance > 0), in index order.
+
+    Compacts hashed vectors to their used buckets; the fit is one distributed
+    summary pass whose result has one number per slot.
+    """
+    sel = VarianceThresholdSelector(featuresCol=input_col, outputCol=output_col, varianceThreshold=0.0)
+    return sel.fit(df).transform(df)
+
+
 def pca(df: DataFrame, input_col: str, output_col: str, k: int, width: int) -> DataFrame:
     """Project on the top-k principal components. The covariance is width x width on
     the driver, so the input width is checked first (hashed 2^18 vectors are refused)."""

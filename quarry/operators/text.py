@@ -1,14 +1,15 @@
 """Text operators: lines, word counts, tokens, vocabulary, term counts, TF-IDF.
 
 Everything is expressed with built-in functions (``split``, ``explode``,
-``regexp_count``, ``hash``) so tokenising runs inside codegen and counts use
+``regexp_count``) so tokenising runs inside codegen and counts use
 partial (map-side) aggregation: a word that holds a third of all tokens still
 leaves each map task as a single partial count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import HashingTF
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import (
@@ -88,8 +89,6 @@ def vocabulary_index(terms: DataFrame, k: int = DEFAULT_VOCAB_SIZE) -> DataFrame
     """(term, term_index) of the vocabulary; index 0 is the most frequent term."""
     vocab = top_terms(terms, k)
     # k rows at most, so a single ordered window over them is cheap.
-    from pyspark.sql import Window
-
     w = Window.orderBy(F.col("count").desc(), F.col("term").asc())
     return vocab.select("term", (F.row_number().over(w) - 1).alias("term_index"))
 
@@ -135,17 +134,12 @@ def text_shape(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     )
 
 
-def hashed_term_frequencies(
-    df: DataFrame, id_col: str, tokens: Column, num_features: int = DEFAULT_HASH_FEATURES
-) -> DataFrame:
-    """(id, bucket, tf): ``HashingTF`` in long form.
+def hashing_tf(df: DataFrame, tokens_col: str, output_col: str = "tf",
+               num_features: int = DEFAULT_HASH_FEATURES) -> DataFrame:
+    """Term frequencies hashed into ``num_features`` buckets (``HashingTF``).
 
-    The bucket is ``pmod(murmur3(term, seed 42), num_features)``, the index
-    ``pyspark.ml.feature.HashingTF`` assigns; sparse vectors are never densified.
+    The bucket is Murmur3 (seed 42) of the UTF-8 term modulo ``num_features``;
+    Spark ML uses the corrected Murmur3 tail, so SQL ``hash()`` does not give
+    the same buckets and the transformer itself is used.
     """
-    return (
-        df.select(id_col, F.explode(tokens).alias("_t"))
-        .select(id_col, F.pmod(F.hash("_t"), F.lit(num_features)).cast("bigint").alias("bucket"))
-        .groupBy(id_col, "bucket")
-        .agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    )
+    return HashingTF(inputCol=tokens_col, outputCol=output_col, numFeatures=num_features).transform(df)

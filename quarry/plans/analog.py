@@ -12,7 +12,9 @@ Mapping (one frame per warehouse table; all lazy):
 * communication  <- events:   id = event_id, client_id = user_id,
                                contact_method = event_type
 * fact           <- lineitem: years_in_service = l_quantity,
-                               reg_after_years = (l_discount - l_tax) * 100
+                               reg_after_years = (l_discount - l_tax) * 100,
+                               numeric / 0-1 inputs from discount, tax, price and
+                               return flag
 * client star    <- lineitem -> orders -> customer -> nation -> region (+ part
                     for the bracketed education text), the model input.
 """
@@ -118,7 +120,7 @@ def client_star(wh: Warehouse) -> DataFrame:
         F.col("o_orderpriority").alias("Com_Method"),
         F.col("l_extendedprice").alias("responsive"),
         F.col("l_linestatus").alias("active"),
-        F.col("l_returnflag").alias("Created_Linkedin"),
+        (F.col("l_returnflag") == "R").cast("int").alias("Created_Linkedin"),
         education_text(F.col("p_name")).alias("Educ"),
         hired_label(F.col("o_orderstatus")).alias("hired"),
         F.col("p_name").alias("Occupation"),

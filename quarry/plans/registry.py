@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, feature_keys, reports, text_reports
+from quarry.plans import analog, basics, feature_keys, model_jobs, reports, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +89,25 @@ FEATURE_QUERIES: dict[str, QueryFn] = {
     "classification_metrics": _wh(feature_keys.classification_metrics),
 }
 
+MODEL_QUERIES: dict[str, QueryFn] = {
+    "feature_hash": _wh(model_jobs.feature_hash),
+    "word2vec": _wh(model_jobs.word2vec),
+    "decision_tree": _wh(model_jobs.decision_tree),
+    "random_forest": _wh(model_jobs.random_forest),
+    "kmeans": _wh(model_jobs.kmeans),
+    "logistic_regression": _wh(model_jobs.logistic_regression),
+    "pca": _wh(model_jobs.pca),
+    "hiring_model_hashed": _wh(model_jobs.hiring_model_hashed),
+    "hiring_model_indexed": _wh(model_jobs.hiring_model_indexed),
+    "hiring_model_indexed_b": _wh(model_jobs.hiring_model_indexed_b),
+    "cluster_profile": _wh(model_jobs.cluster_profile),
+    "text_features": _wh(model_jobs.text_features),
+    "grid_search": _wh(model_jobs.grid_search),
+}
+
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES):
+    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES):
         out.update(part)
     return out

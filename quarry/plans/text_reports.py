@@ -69,6 +69,6 @@ def text_shape(wh: Warehouse) -> DataFrame:
 
 
 def hashing_tf(wh: Warehouse) -> DataFrame:
-    """M3: whitespace tokens hashed into 2^18 buckets, long form (doc_id, bucket, tf)."""
-    d = wh.documents
-    return text.hashed_term_frequencies(d, "doc_id", text.whitespace_token_column("text"))
+    """M3: whitespace tokens hashed into 2^18 buckets: (doc_id, tf vector)."""
+    d = wh.documents.select("doc_id", text.whitespace_token_column("text").alias("words"))
+    return text.hashing_tf(d, "words", "tf").select("doc_id", "tf")
