@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, feature_keys, model_jobs, reports, text_reports
+from quarry.plans import analog, basics, feature_keys, model_jobs, reports, source_keys, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -105,9 +105,16 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "grid_search": _wh(model_jobs.grid_search),
 }
 
+SOURCE_QUERIES: dict[str, QueryFn] = {
+    "scan_csv": _wh(source_keys.scan_csv),
+    "scan_csv_headerless": _wh(source_keys.scan_csv_headerless),
+    "scan_text": _wh(source_keys.scan_text),
+    "scan_json": _wh(source_keys.scan_json),
+}
+
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for part in (REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES):
+    for part in (SOURCE_QUERIES, REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES):
         out.update(part)
     return out

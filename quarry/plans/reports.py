@@ -47,7 +47,7 @@ def hired_by_branch(wh: Warehouse, label: float = 1.0, out: str = "hired") -> Da
         _hires_with_label(wh, label), "client_id", "id",
         analog.bio(wh), "client_id", ["service_branch"], out,
     )
-    return counts.orderBy(F.col(out).asc(), F.col("service_branch"))
+    return counts.select(out, "service_branch").orderBy(F.col(out).asc(), F.col("service_branch"))
 
 
 def not_hired_by_branch(wh: Warehouse) -> DataFrame:
@@ -61,7 +61,7 @@ def hired_by_rank(wh: Warehouse) -> DataFrame:
         _hires_with_label(wh, 1.0), "client_id", "id",
         analog.bio(wh), "client_id", ["service_rank"], "hired",
     )
-    return counts.orderBy(F.col("hired").desc(), F.col("service_rank"))
+    return counts.select("hired", "service_rank").orderBy(F.col("hired").desc(), F.col("service_rank"))
 
 
 def contact_method(wh: Warehouse, label: float = 1.0) -> DataFrame:
@@ -74,7 +74,7 @@ def contact_method(wh: Warehouse, label: float = 1.0) -> DataFrame:
         analog.communication(wh), "client_id", "id", ["contact_method"],
         _hires_with_label(wh, label), "client_id", "id", "count",
     )
-    return counts.orderBy(F.col("count"), F.col("contact_method"))
+    return counts.select("count", "contact_method").orderBy(F.col("count"), F.col("contact_method"))
 
 
 def contact_method_hired(wh: Warehouse) -> DataFrame:

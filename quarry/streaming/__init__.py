@@ -1,0 +1,6 @@
+"""Structured Streaming form of the word count (the only operator here whose
+input naturally arrives as files over time)."""
+
+from quarry.streaming.wordcount import start_word_count, word_count_stream
+
+__all__ = ["start_word_count", "word_count_stream"]
