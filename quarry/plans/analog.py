@@ -85,8 +85,11 @@ def education_text(p_name: Column) -> Column:
 def client_star(wh: Warehouse) -> DataFrame:
     """Fact lineitem joined to its dimensions, all analog columns, no filter.
 
-    lineitem x orders and x customer are big-big joins on their keys (sort-merge,
-    AQE splits a skewed key); nation and region are broadcast after a size check.
+    Join order is chosen for shuffle volume: the order-side dimensions
+    (customer, then nation and region, broadcast after a size check) are joined
+    to ``orders`` first, which is a quarter of the fact's size, so the
+    fact-sized intermediate is shuffled only twice (on the order key, then on
+    the part key) instead of three times. AQE splits skewed keys in both joins.
     Catalyst prunes every column the caller does not select.
     """
     li = wh.lineitem.select(
@@ -96,15 +99,14 @@ def client_star(wh: Warehouse) -> DataFrame:
     o = wh.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     c = wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     p = wh.part.select("p_partkey", "p_name")
-    star = (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(p, F.col("l_partkey") == F.col("p_partkey"))
-    )
-    star = join_dimension(star, wh.nation.select("n_nationkey", "n_name", "n_regionkey"),
+    cust = join_dimension(c, wh.nation.select("n_nationkey", "n_name", "n_regionkey"),
                           F.col("c_nationkey") == F.col("n_nationkey"))
-    star = join_dimension(star, wh.region.select("r_regionkey", "r_name"),
+    cust = join_dimension(cust, wh.region.select("r_regionkey", "r_name"),
                           F.col("n_regionkey") == F.col("r_regionkey"))
+    order_side = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    star = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        p, F.col("l_partkey") == F.col("p_partkey")
+    )
     return star.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -157,3 +159,19 @@ def client_features(wh: Warehouse) -> DataFrame:
 def education_tokens(c: Column) -> Column:
     """``[[[a, b]]]`` -> ``['a', 'b']``."""
     return F.split(strip_brackets(c), ", ", -1)
+
+
+def register_warehouse_views(wh: Warehouse, prefix: str = "dw_") -> dict[str, str]:
+    """Register the analog tables as temp views for SQL text (view names ignore case)."""
+    frames = {
+        "hires": hires(wh),
+        "bio": bio(wh),
+        "communication": communication(wh),
+        "activities": activities(wh),
+        "fact": client_star(wh).select("order_id", "line_no", "S_years", "R_years"),
+    }
+    names = {}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+        names[name] = prefix + name
+    return names

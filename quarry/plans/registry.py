@@ -35,6 +35,7 @@ REPORT_QUERIES: dict[str, QueryFn] = {
     "star_join_wide": _wh(reports.star_join_wide),
     "filter_join_project": _wh(reports.filter_join_project),
     "star_join_features": _wh(analog.client_features),
+    "sql_hired_by_branch": _wh(reports.sql_hired_by_branch),
 }
 
 
