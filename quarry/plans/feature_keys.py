@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import tolerant_double
 from quarry.operators import features as fx
 from quarry.operators import metrics, text
+from quarry.operators.partitioning import ensure_parallelism
 from quarry.plans import analog
 from quarry.sources.tables import Warehouse
 
@@ -47,7 +48,8 @@ def one_hot_all(wh: Warehouse) -> DataFrame:
 
 
 def _shape_vectors(wh: Warehouse) -> DataFrame:
-    shape = text.text_shape(wh.pages, "page_id", "html")
+    pages = ensure_parallelism(wh.pages.select("page_id", "html"), ["page_id"])
+    shape = text.text_shape(pages, "page_id", "html")
     return fx.assemble(shape, SHAPE_COLS, "shape")
 
 

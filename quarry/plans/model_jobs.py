@@ -176,14 +176,16 @@ def cluster_profile(wh: Warehouse) -> DataFrame:
 
 
 def _tokenised_docs(wh: Warehouse) -> DataFrame:
-    d = wh.documents.select(
+    """Documents laid out by key first, then tokenised in parallel, then checkpointed."""
+    raw = models.stable_layout(wh.documents.select("doc_id", "lang", "text"), ["doc_id"], _partitions(wh.spark))
+    d = raw.select(
         "doc_id",
         F.col("lang").alias("oneTag"),
         regex_tokens("text").alias("Words"),
         pattern_count("text", text.PARAGRAPH_TAG).cast("double").alias("numParagraphs"),
         pattern_count("text", text.LINK_TAG).cast("double").alias("Linksnum"),
     ).withColumn("LenBody", F.size("Words").cast("double"))
-    return models.materialize(models.stable_layout(d, ["doc_id"], _partitions(wh.spark)))
+    return models.materialize(d)
 
 
 def text_features(wh: Warehouse) -> DataFrame:

@@ -6,11 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from quarry.operators import text
+from quarry.operators.partitioning import ensure_parallelism
 from quarry.sources.tables import Warehouse
 
 
+def _documents(wh: Warehouse) -> DataFrame:
+    return ensure_parallelism(wh.documents.select("doc_id", "text"), ["doc_id"])
+
+
 def _doc_lines(wh: Warehouse) -> DataFrame:
-    return text.lines_of(wh.documents, "text")
+    return text.lines_of(_documents(wh), "text")
 
 
 def word_count(wh: Warehouse) -> DataFrame:
@@ -25,18 +30,16 @@ def word_count_java(wh: Warehouse) -> DataFrame:
 
 def tokenize_regex(wh: Warehouse) -> DataFrame:
     """M2: (doc_id, pos, token), lower case, split on non-word characters."""
-    d = wh.documents
-    return text.tokens_long(d, "doc_id", text.regex_token_column("text"))
+    return text.tokens_long(_documents(wh), "doc_id", text.regex_token_column("text"))
 
 
 def tokenize_ws(wh: Warehouse) -> DataFrame:
     """M1: (doc_id, pos, token), lower case, split on one whitespace character."""
-    d = wh.documents
-    return text.tokens_long(d, "doc_id", text.whitespace_token_column("text"))
+    return text.tokens_long(_documents(wh), "doc_id", text.whitespace_token_column("text"))
 
 
 def _terms(wh: Warehouse) -> DataFrame:
-    return text.doc_terms(wh.documents, "doc_id", "text")
+    return text.doc_terms(_documents(wh), "doc_id", "text")
 
 
 def top_terms(wh: Warehouse) -> DataFrame:
@@ -65,10 +68,11 @@ def tfidf(wh: Warehouse) -> DataFrame:
 
 def text_shape(wh: Warehouse) -> DataFrame:
     """Token count, paragraph and link tags per page."""
-    return text.text_shape(wh.pages, "page_id", "html")
+    pages = ensure_parallelism(wh.pages.select("page_id", "html"), ["page_id"])
+    return text.text_shape(pages, "page_id", "html")
 
 
 def hashing_tf(wh: Warehouse) -> DataFrame:
     """M3: whitespace tokens hashed into 2^18 buckets: (doc_id, tf vector)."""
-    d = wh.documents.select("doc_id", text.whitespace_token_column("text").alias("words"))
+    d = _documents(wh).select("doc_id", text.whitespace_token_column("text").alias("words"))
     return text.hashing_tf(d, "words", "tf").select("doc_id", "tf")
