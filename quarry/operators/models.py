@@ -3,8 +3,8 @@
 ``randomSplit`` and the tree / cluster samplers depend on how rows fall into
 partitions, so seeds alone do not make a fit repeatable. ``stable_layout``
 fixes the layout (hash-partition by a key into a fixed number of partitions,
-sort inside each) and ``materialize`` writes the result as a reliable
-checkpoint in the shared folder: the iterative fits then re-read a stable,
+sort inside each) and ``materialize`` writes the result as a parquet table in
+the shared checkpoint folder: the iterative fits then re-read a stable,
 lineage-free input, and a lost executor costs a re-read, not a recompute of
 the joins that built it.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import unit_hash
-from quarry.session import checkpoint_root
+from quarry.session import scratch_path
 
 DEFAULT_SEED = 7
 
@@ -38,10 +38,18 @@ def stable_layout(df: DataFrame, keys: Sequence[str], n_partitions: int) -> Data
     return df.repartition(n_partitions, *keys).sortWithinPartitions(*keys)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to ``spark.checkpoint.dir`` (never a local checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "model-input") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts lineage like a reliable checkpoint (never a local one) but computes the
+    plan once (an eager ``checkpoint`` runs it for the count and again for the
+    write), stores it columnar and compressed, and lets later fits prune columns.
+    The folder is ``spark.checkpoint.dir`` taken from the session.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def decision_tree(train: DataFrame, label_col: str, features_col: str, seed: int = DEFAULT_SEED,

@@ -62,4 +62,5 @@ def test_materialize_cuts_lineage(spark):
     df = spark.range(100).withColumn("x", F.col("id") * 2)
     m = models.materialize(df)
     assert m.count() == 100
-    assert "LogicalRDD" in m._jdf.queryExecution().analyzed().toString()
+    plan = m._jdf.queryExecution().analyzed().toString()
+    assert "Relation" in plan and "parquet" in plan and "Project" not in plan
