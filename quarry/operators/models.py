@@ -87,10 +87,17 @@ def fold_column(key: str, n_folds: int):
 
 
 def grid_search(train: DataFrame, num_features: Sequence[int], reg_params: Sequence[float],
-                fold_col: str, max_iter: int = 10, parallelism: int = 2, label_col: str = "label"):
-    """Cross-validated grid over hash width x regularisation; folds come from ``fold_col``."""
+                fold_col: str, max_iter: int = 10, parallelism: int | None = None, label_col: str = "label"):
+    """Cross-validated grid over hash width x regularisation; folds come from ``fold_col``.
+
+    The parameter maps of one fold are fitted concurrently (``parallelism``, by
+    default one per map up to the cluster's parallelism); each fit is itself a
+    distributed job, so this only overlaps their scheduling gaps.
+    """
     pipeline, tf, lr = text_classifier(max_iter=max_iter, label_col=label_col)
     grid = ParamGridBuilder().addGrid(tf.numFeatures, list(num_features)).addGrid(lr.regParam, list(reg_params)).build()
+    if parallelism is None:
+        parallelism = max(1, min(len(grid), train.sparkSession.sparkContext.defaultParallelism))
     cv = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=grid,
