@@ -28,14 +28,19 @@ from quarry.session import scratch_path
 DEFAULT_SEED = 7
 
 
-def stable_layout(df: DataFrame, keys: Sequence[str], n_partitions: int) -> DataFrame:
+def stable_layout(
+    df: DataFrame, keys: Sequence[str], n_partitions: int, order: Sequence[str] | None = None
+) -> DataFrame:
     """Fixed partitioning and in-partition order for reproducible fits.
 
-    ``n_partitions`` is sized to the data (about 128 MB per partition), never 1.
+    Rows are hash-partitioned by ``keys`` and sorted by ``order`` (default: the
+    keys). When the keys are not unique, ``order`` must extend them to a total
+    order (e.g. all columns), or tied rows keep their shuffle-fetch order, which
+    varies between runs. ``n_partitions`` is sized to the data, never 1.
     """
     if n_partitions < 1:
         raise ValueError("n_partitions must be positive")
-    return df.repartition(n_partitions, *keys).sortWithinPartitions(*keys)
+    return df.repartition(n_partitions, *keys).sortWithinPartitions(*(order or keys))
 
 
 def materialize(df: DataFrame, label: str = "model-input") -> DataFrame:

@@ -10,7 +10,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import (
+    IDF,
+    CountVectorizerModel,
+    OneHotEncoder,
+    StandardScaler,
+    StringIndexer,
+    VectorAssembler,
+    Word2Vec,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,29 +64,45 @@ def model_input(wh: Warehouse) -> DataFrame:
         tolerant_double("hired").alias("label"),
         *[c for c in base.columns if c != "hired"],
     )
-    return models.materialize(models.stable_layout(f, ["row_key"], _partitions(wh.spark)))
+    # (order, line) is not unique in the data, so the in-partition order is
+    # completed with every column: tied rows are then identical rows.
+    order = ["row_key"] + [c for c in f.columns if c != "row_key"]
+    return models.materialize(models.stable_layout(f, ["row_key"], _partitions(wh.spark), order))
 
 
-def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
-    """Index -> one-hot -> (Word2Vec on the education list) -> assemble -> scale.
+def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
+    """Unfitted stages, fitted together: index -> one-hot -> (word vectors) ->
+    assemble -> scale.
 
     Variant A: one-hot drops the last category, adds the education word vector,
     leaves the year columns out. Variant B: all categories kept, year columns in,
     no word vector.
     """
-    f = model_input(wh)
-    f = fx.string_index(f, CATEGORIES)
-    f = fx.one_hot(f, [c + "Index" for c in CATEGORIES], drop_last=(variant == "A"))
-    inputs = list(NUMERIC_INPUTS) + [c + "IndexVec" for c in CATEGORIES]
+    indexed = [c + "Index" for c in CATEGORIES]
+    stages = [
+        StringIndexer(inputCols=CATEGORIES, outputCols=indexed, stringOrderType="frequencyDesc"),
+        OneHotEncoder(inputCols=indexed, outputCols=[c + "Vec" for c in indexed], dropLast=(variant == "A")),
+    ]
+    inputs = list(NUMERIC_INPUTS) + [c + "Vec" for c in indexed]
     if variant == "A":
-        f = f.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-        f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=_partitions(wh.spark))
+        stages.append(Word2Vec(inputCol="EducWords", outputCol="EducVec", vectorSize=100, minCount=5,
+                               seed=models.DEFAULT_SEED, numPartitions=n_partitions))
         inputs.append("EducVec")
     else:
         inputs = YEAR_INPUTS + inputs
-    f = fx.assemble(f, inputs, "vecfeatures")
-    f = fx.standard_scale(f, "vecfeatures", "features")
-    return fx.hash_split(f.select("row_key", "label", "features"), "row_key", TRAIN_TEST, ["train", "test"])
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="vecfeatures", handleInvalid="error"))
+    stages.append(StandardScaler(inputCol="vecfeatures", outputCol="features", withMean=False, withStd=True))
+    return Pipeline(stages=stages)
+
+
+def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
+    """The indexed-feature model input, split 0.7 / 0.3 by the row-key hash."""
+    f = model_input(wh)
+    fx.check_category_bound(f, CATEGORIES)
+    f = f.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
+    fitted = indexed_pipeline(variant, _partitions(wh.spark)).fit(f)
+    out = fitted.transform(f).select("row_key", "label", "features")
+    return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
 
 
 def hashed_features(wh: Warehouse) -> DataFrame:
@@ -86,19 +111,26 @@ def hashed_features(wh: Warehouse) -> DataFrame:
 
 
 def _train_test(split: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Train rows written once for the iterative fits. ``split`` descends from the
+    laid-out model input through row-wise steps only, so it keeps that layout and
+    order; it is not shuffled again (vectors cannot extend a sort order)."""
     train = split.filter(F.col("split") == "train").select("row_key", "label", "features")
     test = split.filter(F.col("split") == "test").select("row_key", "label", "features")
-    train = models.materialize(models.stable_layout(train, ["row_key"], _partitions(spark)))
-    return train, test
+    return models.materialize(train, "train"), test
 
 
 def _predictions(model, test: DataFrame) -> DataFrame:
     return model.transform(test).select("row_key", "label", "prediction")
 
 
-def decision_tree(wh: Warehouse) -> DataFrame:
-    """Tree predictions on the held-out rows."""
-    train, test = _train_test(indexed_features(wh, "A"), wh.spark)
+def decision_tree(wh: Warehouse, variant: str = "A") -> DataFrame:
+    """Tree predictions on the held-out rows.
+
+    Variant A includes Word2Vec vectors, whose multi-partition training is not
+    bit-reproducible in Spark (it repartitions sentences internally); every
+    other stage is, so variant B gives identical predictions run after run.
+    """
+    train, test = _train_test(indexed_features(wh, variant), wh.spark)
     return _predictions(models.decision_tree(train, "label", "features"), test)
 
 
