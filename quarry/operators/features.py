@@ -151,6 +151,25 @@ def vector_long(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFram
     )
 
 
+VECTOR_PARTS = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
+
+
+def sparse_vector_parts(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFrame:
+    """Vector -> ``(keep..., size, indices, values)`` with plain SQL types, without
+    densifying (a 2^18-wide hashed vector stays as its non-zero entries). The
+    vector's JSON form carries its storage struct, which ``from_json`` reads back;
+    dense vectors get their indices from the positions."""
+    parts = F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), VECTOR_PARTS)["v"]
+    values = parts["values"]
+    indices = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(values) - 1))
+    return df.select(
+        *keep,
+        F.coalesce(parts["size"], F.size(values)).cast("int").alias("size"),
+        indices.alias("indices"),
+        values.alias("values"),
+    )
+
+
 def hash_split(df: DataFrame, key: str, fractions: Sequence[float], names: Sequence[str], out: str = "split") -> DataFrame:
     """Label each row with a split name from the multiplicative hash of ``key``.
 

@@ -178,8 +178,8 @@ def hiring_model_hashed(wh: Warehouse) -> DataFrame:
 
 
 def feature_hash(wh: Warehouse) -> DataFrame:
-    """M8: (row_key, features) with the 2^18-wide hashed vector."""
-    return hashed_features(wh).select("row_key", "features")
+    """M8: the 2^18-wide hashed vector per row as (row_key, size, indices, values)."""
+    return fx.sparse_vector_parts(hashed_features(wh), "features", ["row_key"])
 
 
 def word2vec(wh: Warehouse) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from quarry.operators import text
+from quarry.operators.features import sparse_vector_parts
 from quarry.operators.partitioning import ensure_parallelism
 from quarry.sources.tables import Warehouse
 
@@ -73,6 +74,6 @@ def text_shape(wh: Warehouse) -> DataFrame:
 
 
 def hashing_tf(wh: Warehouse) -> DataFrame:
-    """M3: whitespace tokens hashed into 2^18 buckets: (doc_id, tf vector)."""
+    """M3: whitespace tokens hashed into 2^18 buckets: (doc_id, size, indices, values)."""
     d = _documents(wh).select("doc_id", text.whitespace_token_column("text").alias("words"))
-    return text.hashing_tf(d, "words", "tf").select("doc_id", "tf")
+    return sparse_vector_parts(text.hashing_tf(d, "words", "tf"), "tf", ["doc_id"])

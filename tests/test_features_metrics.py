@@ -80,3 +80,14 @@ def test_pca_refuses_wide_input(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
     with pytest.raises(ValueError):
         fx.pca(fx.assemble(df, ["x", "y"], "v"), "v", "p", k=1, width=1 << 18)
+
+
+def test_sparse_vector_parts(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame(
+        [(1, Vectors.sparse(1 << 18, [3, 70000], [2.0, 1.0])), (2, Vectors.dense([0.5, 0.0]))], ["id", "v"]
+    )
+    got = {r.id: (r.size, r.indices, r.values) for r in fx.sparse_vector_parts(df, "v", ["id"]).collect()}
+    assert got[1] == (1 << 18, [3, 70000], [2.0, 1.0])
+    assert got[2] == (2, [0, 1], [0.5, 0.0])
