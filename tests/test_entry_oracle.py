@@ -45,9 +45,14 @@ def test_every_oracle_key_is_registered():
     assert set(ORACLE) <= set(entry_mod.queries())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_key_matches_duckdb(spark, con, key):
     sdf = entry_mod.queries()[key](spark, SF)
+    rel = con.sql(ORACLE[key])
+    assert {n: SPARK_TO_DUCK.get(t, t) for n, t in sdf.dtypes} == {n: str(t) for n, t in zip(rel.columns, rel.types)}
     res = con.execute(ORACLE[key])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
