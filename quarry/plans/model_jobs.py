@@ -56,6 +56,12 @@ def _partitions(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _w2v_partitions(spark: SparkSession) -> int:
+    """Word2Vec trains one model copy per partition and averages them, so more
+    partitions than cores only dilutes the vectors."""
+    return max(2, min(_partitions(spark), spark.sparkContext.defaultParallelism))
+
+
 def model_input(wh: Warehouse) -> DataFrame:
     """Filtered star join + double label + a row key, materialised once."""
     base = analog.client_features(wh)
@@ -100,7 +106,7 @@ def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
     f = model_input(wh)
     fx.check_category_bound(f, CATEGORIES)
     f = f.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-    fitted = indexed_pipeline(variant, _partitions(wh.spark)).fit(f)
+    fitted = indexed_pipeline(variant, _w2v_partitions(wh.spark)).fit(f)
     out = fitted.transform(f).select("row_key", "label", "features")
     return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
 
@@ -185,7 +191,7 @@ def feature_hash(wh: Warehouse) -> DataFrame:
 def word2vec(wh: Warehouse) -> DataFrame:
     """Education word lists -> mean word vector (100 dims)."""
     f = model_input(wh).withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-    f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=_partitions(wh.spark))
+    f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=_w2v_partitions(wh.spark))
     return f.select("row_key", vector_to_array("EducVec").alias("educ_vec"))
 
 

@@ -58,3 +58,34 @@ def test_null_counts(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     got = {r.column_name: r.n_null for r in quality.null_counts(df, "t").collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_aqe_splits_a_hot_join_key(spark):
+    """A key holding a third of the fact rows: AQE's skew handling splits its
+    partition in the sort-merge join (thresholds lowered to the test's size)."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )
+        dim = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = fact.join(dim, "k")
+        assert joined.count() == 30000
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
