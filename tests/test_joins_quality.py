@@ -89,3 +89,13 @@ def test_aqe_splits_a_hot_join_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_ensure_parallelism_only_spreads_narrow_inputs(spark):
+    from quarry.operators.partitioning import ensure_parallelism
+
+    narrow = spark.range(100).coalesce(1)
+    spread = ensure_parallelism(narrow, ["id"], min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
+    wide = spark.range(100).repartition(6)
+    assert ensure_parallelism(wide, ["id"], min_partitions=4) is wide
