@@ -14,7 +14,11 @@ def ensure_parallelism(df: DataFrame, keys: Sequence[str], min_partitions: int |
     shuffle; when it fires it moves the raw rows once so the per-row work that
     follows runs on every core.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys)

@@ -59,7 +59,11 @@ def _partitions(spark: SparkSession) -> int:
 def _w2v_partitions(spark: SparkSession) -> int:
     """Word2Vec trains one model copy per partition and averages them, so more
     partitions than cores only dilutes the vectors."""
-    return max(2, min(_partitions(spark), spark.sparkContext.defaultParallelism))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        cores = _partitions(spark)
+    return max(2, min(_partitions(spark), cores))
 
 
 def model_input(wh: Warehouse) -> DataFrame:
@@ -226,19 +230,28 @@ def _tokenised_docs(wh: Warehouse) -> DataFrame:
     return models.materialize(d)
 
 
+def _tfidf_docs(docs: DataFrame) -> tuple[DataFrame, int]:
+    """1500-term count vectors (deterministic vocabulary) -> IDF weights."""
+    terms = docs.select("doc_id", F.explode("Words").alias("term"))
+    vocab = [r["term"] for r in text.top_terms(terms, VOCAB_SIZE).collect()]  # k rows at most
+    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="Words", outputCol="WordCount2")
+    docs = cv.transform(docs)
+    return IDF(inputCol="WordCount2", outputCol="tfidf").fit(docs).transform(docs), len(vocab)
+
+
+def _pca(docs: DataFrame, width: int) -> DataFrame:
+    return fx.pca(docs, "tfidf", "pcaFeatures", k=min(PCA_K, width), width=width)
+
+
 def text_features(wh: Warehouse) -> DataFrame:
     """Tokens -> shape features -> scale; 1500-term counts -> IDF -> PCA(120);
     the tag indexed. Output (doc_id, tag_index, scaled shape, principal components)."""
     docs = _tokenised_docs(wh)
     docs = fx.assemble(docs, ["LenBody", "numParagraphs", "Linksnum"], "shape")
     docs = fx.standard_scale(docs, "shape", "scaledFeatures")
-    terms = docs.select("doc_id", F.explode("Words").alias("term"))
-    vocab = [r["term"] for r in text.top_terms(terms, VOCAB_SIZE).collect()]  # k rows at most
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="Words", outputCol="WordCount2")
-    docs = cv.transform(docs)
-    docs = IDF(inputCol="WordCount2", outputCol="tfidf").fit(docs).transform(docs)
+    docs, width = _tfidf_docs(docs)
     docs = fx.string_index(docs, ["oneTag"])
-    docs = fx.pca(docs, "tfidf", "pcaFeatures", k=min(PCA_K, len(vocab)), width=len(vocab))
+    docs = _pca(docs, width)
     return docs.select(
         "doc_id",
         F.col("oneTagIndex").alias("tag_index"),
@@ -249,7 +262,8 @@ def text_features(wh: Warehouse) -> DataFrame:
 
 def pca(wh: Warehouse) -> DataFrame:
     """The principal components of the TF-IDF vectors."""
-    return text_features(wh).select("doc_id", "pca_features")
+    docs, width = _tfidf_docs(_tokenised_docs(wh))
+    return _pca(docs, width).select("doc_id", vector_to_array("pcaFeatures").alias("pca_features"))
 
 
 def _labelled_docs(wh: Warehouse) -> DataFrame:

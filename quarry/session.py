@@ -58,8 +58,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` when the session names one. Only a local-mode
     session without that setting gets a private temporary folder.
     """
-    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        if root:
+            return root
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that every executor shares")
     if root:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
