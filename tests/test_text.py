@@ -4,7 +4,6 @@ import re
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from quarry.operators import text
 
