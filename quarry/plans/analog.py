@@ -44,8 +44,36 @@ def hired_label(status: Column) -> Column:
     return expr
 
 
+def statuses_with_label_value(value: float) -> list[str]:
+    """Order statuses whose text label parses to ``value`` (derived from the fixed map)."""
+    out = []
+    for code, label in STATUS_TO_LABEL.items():
+        try:
+            if float(label) == value:
+                out.append(code)
+        except ValueError:
+            continue
+    return out
+
+
+def hires_with_label(wh: Warehouse, value: float) -> DataFrame:
+    """Hiring rows whose dirty text label equals ``value`` as a number.
+
+    The label test itself (``try_cast(hired) = value``) stays, and the equivalent
+    test on the source column, ``o_orderstatus IN (...)``, is added in front: a
+    CASE-built label cannot be pushed into the scan, the IN list can (parquet
+    row-group skipping by statistics).
+    """
+    codes = statuses_with_label_value(value)
+    source = wh.orders.where(F.col("o_orderstatus").isin(codes))
+    return hires_of(source).where(tolerant_double("hired") == F.lit(value))
+
+
 def hires(wh: Warehouse) -> DataFrame:
-    o = wh.orders
+    return hires_of(wh.orders)
+
+
+def hires_of(o: DataFrame) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("client_id"),

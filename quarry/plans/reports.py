@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import month_of, tolerant_double, year_of
+from quarry.functions import month_of, year_of
 from quarry.operators.joins import count_many_to_many, count_through_dimension
 from quarry.operators.relational import group_count
 from quarry.plans import analog
@@ -33,8 +33,7 @@ def registered_by_year(wh: Warehouse) -> DataFrame:
 
 
 def _hires_with_label(wh: Warehouse, label: float) -> DataFrame:
-    h = analog.hires(wh)
-    return h.filter(tolerant_double("hired") == F.lit(label))
+    return analog.hires_with_label(wh, label)
 
 
 def hired_by_branch(wh: Warehouse, label: float = 1.0, out: str = "hired") -> DataFrame:
