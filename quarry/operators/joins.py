@@ -1,4 +1,4 @@
-"""Join helpers: checked broadcast and eager (pre-join) aggregation.
+"""Join helpers: checked broadcast, eager (pre-join) aggregation, hot-key salting.
 
 Size rule: a side is broadcast only after ``dim.limit(max_rows + 1).count()``
 proved it holds at most ``max_rows`` rows, or when its size is bounded by
@@ -84,3 +84,50 @@ def count_many_to_many(
         .groupBy(*group_cols)
         .agg(F.sum(F.col("_nl") * F.col("_nr")).cast("bigint").alias(out))
     )
+
+
+DEFAULT_MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list:
+    """Key values held by at least ``min_rows`` fact rows.
+
+    One pass over the key column alone (partial + final count). At most
+    total_rows / min_rows keys can qualify; the list is size-checked before it
+    is brought to the driver.
+    """
+    counts = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter((F.col("_n") >= min_rows) & F.col("_k").isNotNull()).select("_k")
+    if not is_bounded(hot, max_keys):
+        raise ValueError(f"more than {max_keys} keys hold {min_rows}+ rows; raise min_rows")
+    return [r["_k"] for r in hot.collect()]
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    hot: Sequence,
+    buckets: int,
+    how: str = "inner",
+) -> DataFrame:
+    """Equi-join that spreads each hot key over ``buckets`` tasks.
+
+    Fact rows of a hot key get a salt from a hash of their content
+    (deterministic, so a retried task routes every row the same way); the
+    dimension rows of that key are replicated once per salt. Other keys keep
+    salt 0 and join unchanged. The fact is read once and the result equals the
+    plain join; only the hot keys' dimension rows are copied ``buckets`` times.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError("salting replicates dimension rows: only inner and left-side joins stay exact")
+    if not hot or buckets <= 1:
+        return fact.join(dim, F.col(fact_key) == F.col(dim_key), how)
+    hot = list(hot)
+    salt = F.when(F.col(fact_key).isin(hot), F.pmod(F.xxhash64(*fact.columns), F.lit(buckets))).otherwise(F.lit(0))
+    f = fact.withColumn("_salt_f", salt.cast("int"))
+    copies = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    d = dim.withColumn("_salt_d", F.explode(copies))
+    cond = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt_f") == F.col("_salt_d"))
+    return f.join(d, cond, how).drop("_salt_f", "_salt_d")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import not_blank, strip_brackets, tolerant_double
-from quarry.operators.joins import join_dimension
+from quarry.operators.joins import hot_keys, join_dimension, salted_join
 from quarry.sources.tables import Warehouse
 
 # The label text each order status stands for.
@@ -110,14 +110,16 @@ def education_text(p_name: Column) -> Column:
     return F.concat(F.lit("[[["), F.replace(p_name, F.lit(" "), F.lit(", ")), F.lit("]]]"))
 
 
-def client_star(wh: Warehouse) -> DataFrame:
+def client_star(wh: Warehouse, hot_rows: int | None = None, salt_buckets: int = 64) -> DataFrame:
     """Fact lineitem joined to its dimensions, all analog columns, no filter.
 
     Join order is chosen for shuffle volume: the order-side dimensions
     (customer, then nation and region, broadcast after a size check) are joined
     to ``orders`` first, which is a quarter of the fact's size, so the
     fact-sized intermediate is shuffled only twice (on the order key, then on
-    the part key) instead of three times. AQE splits skewed keys in both joins.
+    the part key) instead of three times. AQE splits skewed keys in both joins;
+    with ``hot_rows`` set, keys holding that many fact rows are also salted
+    explicitly (``joins.salted_join``), which does not depend on AQE.
     Catalyst prunes every column the caller does not select.
     """
     li = wh.lineitem.select(
@@ -132,9 +134,15 @@ def client_star(wh: Warehouse) -> DataFrame:
     cust = join_dimension(cust, wh.region.select("r_regionkey", "r_name"),
                           F.col("n_regionkey") == F.col("r_regionkey"))
     order_side = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    star = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        p, F.col("l_partkey") == F.col("p_partkey")
-    )
+    if hot_rows is None:
+        star = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey")).join(
+            p, F.col("l_partkey") == F.col("p_partkey")
+        )
+    else:
+        by_order = salted_join(li, order_side, "l_orderkey", "o_orderkey",
+                               hot_keys(li, "l_orderkey", hot_rows), salt_buckets)
+        star = salted_join(by_order, p, "l_partkey", "p_partkey",
+                           hot_keys(li, "l_partkey", hot_rows), salt_buckets)
     return star.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),

@@ -99,3 +99,33 @@ def test_ensure_parallelism_only_spreads_narrow_inputs(spark):
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
     wide = spark.range(100).repartition(6)
     assert ensure_parallelism(wide, ["id"], min_partitions=4) is wide
+
+
+def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
+    fact = _fact_with_hot_key(spark)  # key 1 holds a third of the rows
+    dim = spark.createDataFrame([(k, "n" + str(k)) for k in range(0, 12)], "dk long, name string")
+    hot = joins.hot_keys(fact, "k", 50)
+    assert hot == [1]
+    salted = joins.salted_join(fact, dim, "k", "dk", hot, buckets=8)
+    plain = fact.join(dim, F.col("k") == F.col("dk"))
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    assert salted.columns == plain.columns
+    # the hot key's rows land on several salts
+    f = fact.withColumn("s", F.pmod(F.xxhash64(*fact.columns), F.lit(8)))
+    assert f.filter("k = 1").select("s").distinct().count() > 4
+
+
+def test_hot_keys_refuses_an_unbounded_list(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        joins.hot_keys(spark.range(100).withColumnRenamed("id", "k"), "k", 1, max_keys=10)
+
+
+def test_salted_star_join_matches_default(wh):
+    from quarry.plans import analog
+
+    plain = analog.model_filter(analog.client_star(wh))
+    salted = analog.model_filter(analog.client_star(wh, hot_rows=3, salt_buckets=4))
+    key = ["order_id", "line_no", "S_years", "R_years", "Educ"]
+    assert sorted(map(tuple, salted.select(*key).collect())) == sorted(map(tuple, plain.select(*key).collect()))
