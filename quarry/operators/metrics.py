@@ -29,12 +29,20 @@ def classification_metrics(
     ``MulticlassClassificationEvaluator`` (whose default metric is weighted F1).
     """
     conf = confusion_counts(pred, label_col, prediction_col)
-    by_true = conf.groupBy("label").agg(
-        F.sum("n").alias("n_c"),
-        F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))), F.lit(0)).alias("tp"),
+    # Each confusion cell counts once for its true class and once for its
+    # predicted class: one pass over the (tiny) confusion table, no self-join.
+    zero = F.lit(0).cast("bigint")
+    as_true = F.struct(
+        F.col("label").alias("c"), F.col("n").alias("n_true"), zero.alias("n_pred"),
+        F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(zero).alias("tp"),
+    )
+    as_pred = F.struct(F.col("prediction").alias("c"), zero.alias("n_true"), F.col("n").alias("n_pred"), zero.alias("tp"))
+    cells = conf.select(F.explode(F.array(as_true, as_pred)).alias("s")).select("s.*")
+    per_class = (
+        cells.groupBy("c")
+        .agg(F.sum("n_true").alias("n_c"), F.sum("n_pred").alias("pn"), F.sum("tp").alias("tp"))
+        .filter(F.col("n_c") > 0)  # classes that are only predicted carry no weight
     )
-    by_pred = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("pn"))
-    per_class = by_true.join(by_pred, "label", "left").fillna(0, subset=["pn"])
     precision = F.when(F.col("pn") > 0, F.col("tp") / F.col("pn")).otherwise(F.lit(0.0))
     f1 = F.when(F.col("tp") > 0, 2.0 * F.col("tp") / (F.col("n_c") + F.col("pn"))).otherwise(F.lit(0.0))
     totals = per_class.agg(

@@ -110,7 +110,17 @@ def education_text(p_name: Column) -> Column:
     return F.concat(F.lit("[[["), F.replace(p_name, F.lit(" "), F.lit(", ")), F.lit("]]]"))
 
 
-def client_star(wh: Warehouse, hot_rows: int | None = None, salt_buckets: int = 64) -> DataFrame:
+def statuses_with_label(keep) -> list[str]:
+    """Order statuses whose label text satisfies ``keep`` (derived from the fixed map)."""
+    return [code for code, label in STATUS_TO_LABEL.items() if keep(label)]
+
+
+def client_star(
+    wh: Warehouse,
+    hot_rows: int | None = None,
+    salt_buckets: int = 64,
+    statuses: list[str] | None = None,
+) -> DataFrame:
     """Fact lineitem joined to its dimensions, all analog columns, no filter.
 
     Join order is chosen for shuffle volume: the order-side dimensions
@@ -120,13 +130,18 @@ def client_star(wh: Warehouse, hot_rows: int | None = None, salt_buckets: int =
     the part key) instead of three times. AQE splits skewed keys in both joins;
     with ``hot_rows`` set, keys holding that many fact rows are also salted
     explicitly (``joins.salted_join``), which does not depend on AQE.
-    Catalyst prunes every column the caller does not select.
+    Catalyst prunes every column the caller does not select. ``statuses``
+    restricts the orders scan to those status codes (a pushed-down IN filter):
+    callers pass the codes their label filter keeps, derived from the fixed map,
+    and keep the label filter itself as well.
     """
     li = wh.lineitem.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
         "l_extendedprice", "l_returnflag", "l_linestatus",
     )
     o = wh.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    if statuses is not None:
+        o = o.where(F.col("o_orderstatus").isin(list(statuses)))
     c = wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     p = wh.part.select("p_partkey", "p_name")
     cust = join_dimension(c, wh.nation.select("n_nationkey", "n_name", "n_regionkey"),
@@ -187,9 +202,20 @@ def model_filter(star: DataFrame) -> DataFrame:
     return star.where(cond)
 
 
+def _model_label_ok(label: str) -> bool:
+    """The label test of ``model_filter`` applied to one fixed label text."""
+    if label in ("", "No"):
+        return False
+    try:
+        return float(label) != 3
+    except ValueError:
+        return False
+
+
 def client_features(wh: Warehouse) -> DataFrame:
-    """The filtered star join: the model input of the hiring jobs."""
-    return model_filter(client_star(wh))
+    """The filtered star join: the model input of the hiring jobs. The statuses
+    whose label passes the filter are also pushed into the orders scan."""
+    return model_filter(client_star(wh, statuses=statuses_with_label(_model_label_ok)))
 
 
 def education_tokens(c: Column) -> Column:

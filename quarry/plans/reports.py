@@ -101,7 +101,7 @@ def ratings_per_movie(wh: Warehouse) -> DataFrame:
 
 def star_join_wide(wh: Warehouse) -> DataFrame:
     """Wide star-join extract of the hired, label compared as text."""
-    star = analog.client_star(wh)
+    star = analog.client_star(wh, statuses=analog.statuses_with_label(lambda label: label == "1"))
     return star.where(F.col("hired") == F.lit("1")).select(
         "hired",
         F.col("Service_R").alias("service_rank"),
