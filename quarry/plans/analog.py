@@ -169,7 +169,7 @@ def client_star(
         F.col("r_name").alias("Client_Type"),
         F.col("n_name").alias("Service_R"),
         F.col("c_mktsegment").alias("Service_B"),
-        F.col("o_totalprice").alias("HHUSA_hire"),
+        F.col("o_totalprice").alias("Confirmed_hire"),
         F.col("o_orderpriority").alias("Com_Method"),
         F.col("l_extendedprice").alias("responsive"),
         F.col("l_linestatus").alias("active"),

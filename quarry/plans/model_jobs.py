@@ -35,10 +35,10 @@ from quarry.sources.tables import Warehouse
 # are indexed and one-hot coded, the numeric inputs, and the model sizes.
 HASHED_INPUTS = [
     "S_years", "R_years", "Resume_Tips", "Resume_OnFile", "Client", "Client_Type", "Service_R",
-    "Service_B", "HHUSA_hire", "Com_Method", "responsive", "active", "Created_Linkedin", "Educ", "Occupation",
+    "Service_B", "Confirmed_hire", "Com_Method", "responsive", "active", "Created_Linkedin", "Educ", "Occupation",
 ]
 CATEGORIES = ["Service_B", "Com_Method", "active", "Service_R", "Client_Type"]
-NUMERIC_INPUTS = ["Resume_Tips", "Resume_OnFile", "Client", "HHUSA_hire", "responsive", "Created_Linkedin"]
+NUMERIC_INPUTS = ["Resume_Tips", "Resume_OnFile", "Client", "Confirmed_hire", "responsive", "Created_Linkedin"]
 YEAR_INPUTS = ["S_years", "R_years"]
 TREES_INDEXED = 28
 TREES_HASHED = 17
