@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from quarry.sources import from_rows, jdbc_options, read_csv, read_json, read_text, schema_report
-from quarry.streaming import start_word_count
+from quarry.streaming import start_word_count, start_word_count_to_table
 from quarry.operators import text
 
 
@@ -85,3 +85,24 @@ def test_streaming_word_count_matches_batch(spark):
         q.stop()
     batch = {r.word: r["count"] for r in text.word_count(read_text(spark, src).withColumnRenamed("value", "line")).collect()}
     assert got == batch == {"x": 2, "y": 2, "z": 1, "": 1}
+
+
+def test_streaming_word_count_into_a_table_resumes_from_checkpoint(spark):
+    src = tempfile.mkdtemp(prefix="quarry-stream-in-")
+    out = os.path.join(tempfile.mkdtemp(prefix="quarry-stream-out-"), "counts")
+    ckpt = tempfile.mkdtemp(prefix="quarry-stream-ck-")
+    with open(os.path.join(src, "a.txt"), "w") as fh:
+        fh.write("p q p\n")
+    q = start_word_count_to_table(spark, src, out, checkpoint_dir=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    # a new query on the same checkpoint picks up only the new file, keeping the state
+    with open(os.path.join(src, "b.txt"), "w") as fh:
+        fh.write("q r\n")
+    q = start_word_count_to_table(spark, src, out, checkpoint_dir=ckpt)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.word: r["count"] for r in spark.read.parquet(out).collect()}
+    assert got == {"p": 2, "q": 2, "r": 1}
