@@ -121,12 +121,16 @@ def hashed_features(wh: Warehouse) -> DataFrame:
 
 
 def _train_test(split: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Train rows written once for the iterative fits. ``split`` descends from the
-    laid-out model input through row-wise steps only, so it keeps that layout and
-    order; it is not shuffled again (vectors cannot extend a sort order)."""
-    train = split.filter(F.col("split") == "train").select("row_key", "label", "features")
-    test = split.filter(F.col("split") == "test").select("row_key", "label", "features")
-    return models.materialize(train, "train"), test
+    """The transformed, split rows written once: the iterative fits read the
+    train part and every model scores the test part without re-running the
+    feature pipeline. ``split`` descends from the laid-out model input through
+    row-wise steps only, so it keeps that layout and order; it is not shuffled
+    again (vectors cannot extend a sort order)."""
+    cols = ["row_key", "label", "features"]
+    table = models.materialize(split.select(*cols, "split"), "split")
+    train = table.filter(F.col("split") == "train").select(*cols)
+    test = table.filter(F.col("split") == "test").select(*cols)
+    return train, test
 
 
 def _predictions(model, test: DataFrame) -> DataFrame:
