@@ -1,9 +1,11 @@
 """Model jobs (R10-R13) and the model keys they are built from (M8, M12, M13,
 M16-M19, M21). All rows-only checked: fitted models have no SQL twin.
 
-Each job materialises its model input once (stable layout + reliable
-checkpoint), so the several estimator fits that follow read it instead of
-re-running the star join, and a lost executor re-reads instead of recomputing.
+Each job materialises its model input once (stable, totally ordered layout,
+written as a parquet table in the shared checkpoint folder), and again after
+the feature pipeline (train and test together), so the estimator fits and the
+scoring read stored rows instead of re-running the star join or the pipeline,
+and a lost executor re-reads instead of recomputing.
 """
 
 from __future__ import annotations
@@ -69,6 +71,8 @@ def _w2v_partitions(spark: SparkSession) -> int:
 def model_input(wh: Warehouse) -> DataFrame:
     """Filtered star join + double label + a row key, materialised once."""
     base = analog.client_features(wh)
+    # line numbers are 1..7, so order_id * 16 + line_no stays unique per (order,
+    # line) and within BIGINT for any order key below 2^59.
     f = base.select(
         (F.col("order_id") * 16 + F.col("line_no")).alias("row_key"),
         tolerant_double("hired").alias("label"),
