@@ -34,3 +34,18 @@ def test_split_rules_match_python_and_java(spark, lines):
     rows = df.select(split_keep_empty("line", " ").alias("py"), java_space_split("line").alias("java")).collect()
     assert [r.py for r in rows] == [x.split(" ") for x in lines]
     assert [r.java for r in rows] == [_java_split_space(x) for x in lines]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aZé_9 \t\n.,!İß")), max_size=12), min_size=1, max_size=20))
+def test_tokenisers_match_pyspark_ml_on_random_text(spark, texts):
+    from pyspark.ml.feature import RegexTokenizer, Tokenizer
+
+    from quarry.functions import regex_tokens, whitespace_tokens
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    ml_ws = Tokenizer(inputCol="text", outputCol="t").transform(df).orderBy("id").select("t").collect()
+    ml_rx = RegexTokenizer(inputCol="text", outputCol="t", pattern="\\W").transform(df).orderBy("id").select("t").collect()
+    ours = df.orderBy("id").select(whitespace_tokens("text").alias("w"), regex_tokens("text").alias("r")).collect()
+    assert [r.w for r in ours] == [r.t for r in ml_ws]
+    assert [r.r for r in ours] == [r.t for r in ml_rx]
