@@ -18,6 +18,7 @@ def created_by_month(wh: Warehouse) -> DataFrame:
     return (
         act.groupBy(month_of("create_date").alias("month"))
         .agg(F.count("id").alias("n_created"))
+        .select("n_created", "month")
         .orderBy("month")
     )
 
@@ -28,6 +29,7 @@ def registered_by_year(wh: Warehouse) -> DataFrame:
     return (
         act.groupBy(year_of("create_date").alias("year_registered"))
         .agg(F.count("id").alias("n_registered"))
+        .select("n_registered", "year_registered")
         .orderBy("year_registered")
     )
 
