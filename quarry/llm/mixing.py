@@ -30,7 +30,7 @@ from quarry.operators.models import materialize
 from quarry.operators.ranking import with_position
 
 WORDS = r"[^\x20\x09-\x0D]+"
-CUT_SLOTS = 1 << 16
+CUT_SLOTS = 1 << 12
 MAX_STEPS = 60
 
 
