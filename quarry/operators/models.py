@@ -26,6 +26,7 @@ from quarry.functions import unit_hash
 from quarry.session import scratch_path
 
 DEFAULT_SEED = 7
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stable_layout(
@@ -53,7 +54,12 @@ def materialize(df: DataFrame, label: str = "model-input") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # once the table stands, the shuffle files behind it are of no use
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.parquet(path)
 
 
