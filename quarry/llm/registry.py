@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, licenses, mixing, topk, warc
+import corpus_pipeline
+from quarry.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    linededup,
+    mixing,
+    ngramjoin,
+    quality,
+    repeats,
+    topk,
+    warc,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +46,28 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = quality.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "importance", "noisy", "place")
+
+
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_repeat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.cut_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -49,7 +83,13 @@ QUERIES: dict[str, QueryFn] = {
     "op2_warc_revisits": op2_warc_revisits,
     "op3_license_scan": op3_license_scan,
     "op4_exact_topk": op4_exact_topk,
+    "op5_importance_resample": op5_importance_resample,
+    "op6_benchmark_leaks": op6_benchmark_leaks,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
+    "op10_repeat_cut": op10_repeat_cut,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +121,37 @@ ORACLE_SQL: dict[str, str] = {
                    + len(regexp_extract_all(text, '\\\\|<\\||</?s>|</?SYS|<<SYS|<start_of|<end_of|\\[/?INST\\]'))) AS BIGINT)
                    AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op7_line_dedup": """
+        WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+        o AS (SELECT doc_id AS doc, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM parts),
+        d AS (SELECT line, length(line) AS n, min({'doc': doc, 'place': place}) AS first FROM o WHERE length(line) >= 20 GROUP BY line),
+        c AS (SELECT a.line AS x, b.line AS y FROM d a JOIN d b ON a.n = b.n AND a.line[:a.n // 2] = b.line[:b.n // 2]
+              UNION SELECT a.line, b.line FROM d a JOIN d b ON a.n = b.n AND a.line[a.n // 2 + 1:] = b.line[b.n // 2 + 1:]
+              UNION SELECT a.line, b.line FROM d a JOIN d b ON a.n = b.n - 1 AND a.line[:a.n // 2] = b.line[:(b.n - 1) // 2]
+              UNION SELECT a.line, b.line FROM d a JOIN d b ON a.n = b.n - 1 AND a.line[a.n // 2 + 1:] = b.line[(b.n - 1) // 2 + 2:]),
+        near AS (SELECT x, y FROM c WHERE x <> y AND levenshtein(x, y) <= 1),
+        gone AS (SELECT DISTINCT CASE WHEN a.first < b.first THEN b.line ELSE a.line END AS line
+                 FROM near JOIN d a ON a.line = x JOIN d b ON b.line = y),
+        marked AS (SELECT o.*, d.line IS NOT NULL AND (g.line IS NOT NULL OR d.first <> {'doc': doc, 'place': place}) AS cut
+                   FROM o LEFT JOIN d USING (line) LEFT JOIN gone g USING (line)),
+        kept AS (SELECT doc, count(*) AS n_lines, CAST(count(*) FILTER (WHERE cut) AS BIGINT) AS n_removed,
+                        coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT cut), '') AS text
+                 FROM marked GROUP BY doc)
+        SELECT p.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               CASE WHEN p.text IS NOT NULL THEN kept.text END AS text
+        FROM parts p LEFT JOIN kept ON p.doc_id = kept.doc""",
+    "op8_ngram_join": """
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+                  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM t),
+        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM c JOIN z p ON p.doc_id = x JOIN z q ON q.doc_id = y WHERE c.n >= 0.8 * (p.n + q.n - c.n) - 1e-9),
+        r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        k AS (SELECT doc_id, least(doc_id, coalesce(min(y), doc_id)) AS class_id FROM documents LEFT JOIN r ON x = doc_id GROUP BY doc_id)
+        SELECT k.doc_id, class_id, (SELECT count(*) FROM l WHERE l.x = k.doc_id) AS n_links,
+               count(*) OVER (PARTITION BY class_id) AS class_size
+        FROM k""",
 }
