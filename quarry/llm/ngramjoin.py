@@ -9,7 +9,8 @@ groups of links.
    values. Equal sets are one node from here on, with a weight.
 2. Chosen path: every run samples a sketch coordinate and puts each node in the bucket of
    its value there. Buckets of more than ``SMALL`` nodes are split again and again on
-   coordinates sampled by a hash of the bucket's own path (one, or two half of the time), so
+   coordinates sampled by a hash of the bucket's own path (1.25 on average, the inverse of the
+   threshold), so
    similar nodes keep meeting while others part. Small buckets are compared in full on the
    sketches; what still holds together after ``DEPTH`` splits shares so many values that it is
    taken as alike. ``RUNS`` independent runs give a pair of similarity 0.8 a chance of over
@@ -40,7 +41,7 @@ from quarry.operators.models import materialize
 from quarry.operators.ranking import with_position
 
 WORDS, THRESHOLD = 5, 0.8
-COORDINATES, RUNS, DEPTH, SMALL, TILE = 64, 16, 8, 64, 512
+COORDINATES, RUNS, DEPTH, SMALL, TILE = 64, 16, 4, 64, 512
 LOOSE = 0.2  # sketches may show a similarity this much below the threshold (four standard errors)
 _ODD = np.uint64(1)
 
@@ -183,7 +184,7 @@ def alike_edges(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             edges.append(materialize(large.join(centres, "key").select("a", F.col("rid").alias("b")).where("a <> b").distinct(), "path-edges"))
             break
         first = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(COORDINATES)).cast("int")
-        second = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(2 * COORDINATES)).cast("int")
+        second = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(4 * COORDINATES)).cast("int")
         child = lambda j: F.xxhash64("key", j, value(j))
         paths = F.when(second < COORDINATES, F.array(child(first), child(second))).otherwise(F.array(child(first)))
         rows = materialize(
