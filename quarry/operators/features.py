@@ -2,7 +2,8 @@
 
 Estimator fits (index labels, scaler moments, PCA covariance) are distributed
 aggregations whose driver-side result is bounded by the number of categories or
-features, never by the number of rows; each fit below checks that bound first.
+features, never by the number of rows. ``pca`` checks its width first; a word vector
+model holds its vocabulary, the words of ``min_count`` occurrences or more.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.ml.feature import (
     Normalizer,
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
     VarianceThresholdSelector,
     VectorAssembler,
     Word2Vec,
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import hash_fraction_threshold, r6, unit_hash
 from quarry.functions.expressions import HASH_SPACE
+from quarry.operators.ranking import with_position
 
 MAX_CATEGORIES = 100_000
 MAX_PCA_WIDTH = 65_535
@@ -44,19 +45,20 @@ def string_index(
     df: DataFrame,
     input_cols: Sequence[str],
     suffix: str = "Index",
-    order: str = "frequencyDesc",
-    handle_invalid: str = "error",
-    max_categories: int = MAX_CATEGORIES,
 ) -> DataFrame:
-    """Category -> index (most frequent = 0, ties alphabetical), all columns in one fit."""
-    check_category_bound(df, input_cols, max_categories)
-    indexer = StringIndexer(
-        inputCols=list(input_cols),
-        outputCols=[c + suffix for c in input_cols],
-        stringOrderType=order,
-        handleInvalid=handle_invalid,
-    )
-    return indexer.fit(df).transform(df)
+    """Category -> index (most frequent = 0, ties alphabetical); a NULL category fails.
+
+    The index is a table: counts per value, sorted over all tasks with positions, joined
+    back, so no list of categories is ever held by the driver.
+    """
+    for c in input_cols:
+        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        index = with_position(counts, [F.desc("_n"), F.asc("_value")], "_index").select("_value", "_index")
+        missing = F.raise_error(F.lit(f"NULL category in {c}")).cast("double")
+        df = df.join(index, F.col(c) == F.col("_value"), "left").select(
+            *df.columns, F.coalesce(F.col("_index").cast("double"), missing).alias(c + suffix)
+        )
+    return df
 
 
 def one_hot(df: DataFrame, input_cols: Sequence[str], suffix: str = "Vec", drop_last: bool = True) -> DataFrame:
@@ -151,15 +153,11 @@ def vector_long(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFram
     )
 
 
-VECTOR_PARTS = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
-
-
 def sparse_vector_parts(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFrame:
     """Vector -> ``(keep..., size, indices, values)`` with plain SQL types, without
-    densifying (a 2^18-wide hashed vector stays as its non-zero entries). The
-    vector's JSON form carries its storage struct, which ``from_json`` reads back;
-    dense vectors get their indices from the positions."""
-    parts = F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), VECTOR_PARTS)["v"]
+    densifying (a 2^18-wide hashed vector stays as its non-zero entries): the fields of
+    its storage struct; dense vectors get their indices from the positions."""
+    parts = F.unwrap_udt(F.col(vector_col))
     values = parts["values"]
     indices = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(values) - 1))
     return df.select(

@@ -67,18 +67,17 @@ def count_many_to_many(
     group_cols: Sequence[str],
     right: DataFrame,
     right_key: str,
-    right_counted: str,
     out: str,
 ) -> DataFrame:
     """``count(left.counted)`` per ``left`` group over an m:n join with ``right``.
 
     Equals counting the rows of the m:n join, without building it: each side is
     aggregated per join key first (``n_left`` per key and group, ``n_right`` per
-    key), the two aggregates are joined on the key, and ``n_left * n_right`` is
+    key, rows whatever their columns hold), the two aggregates are joined on the key, and ``n_left * n_right`` is
     summed per group. No pair of rows is ever materialised.
     """
     l_agg = left.groupBy(F.col(left_key).alias("_k"), *group_cols).agg(F.count(F.col(left_counted)).alias("_nl"))
-    r_agg = right.groupBy(F.col(right_key).alias("_k")).agg(F.count(F.col(right_counted)).alias("_nr"))
+    r_agg = right.groupBy(F.col(right_key).alias("_k")).agg(F.count(F.lit(1)).alias("_nr"))
     return (
         l_agg.join(r_agg, "_k")
         .groupBy(*group_cols)

@@ -31,10 +31,12 @@ DEFAULT_HASH_FEATURES = 1 << 18
 
 
 def lines_of(df: DataFrame, text_col: str, id_col: str | None = None) -> DataFrame:
-    """One row per ``\\n``-separated line of a text column (what a text-file scan yields
-    per file); empty lines are kept."""
+    """One row per line of a text column, as a text-file scan yields them: lines end at ``\\r\\n``,
+    ``\\r`` or ``\\n``; empty lines are kept, but nothing follows the last line end."""
     keep = [id_col] if id_col else []
-    return df.select(*keep, F.explode(F.split(F.col(text_col), "\n", -1)).alias("line"))
+    pieces = F.split(F.col(text_col), "\r\n|\r|\n", -1)
+    lines = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
+    return df.select(*keep, F.explode(lines).alias("line"))
 
 
 def word_count(lines: DataFrame, line_col: str = "line") -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quarry.functions import pattern_count, regex_tokens, tolerant_double
 from quarry.operators import features as fx
 from quarry.operators import metrics, models, text
-from quarry.operators.relational import summary_by_group
+from quarry.operators.relational import distinct_of, numeric_summary, summary_by_group
 from quarry.plans import analog
 from quarry.sources.tables import Warehouse
 
@@ -47,6 +47,7 @@ TREES_HASHED = 17
 KMEANS_K = 4
 KMEANS_SEED = 1
 TRAIN_TEST = (0.7, 0.3)
+TRAIN_TEST_HASHED = (0.75, 0.25)
 VOCAB_SIZE = 1500
 PCA_K = 120
 GRID_HASH_SIZES = (10, 100, 1000)
@@ -58,14 +59,7 @@ def _partitions(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _w2v_partitions(spark: SparkSession) -> int:
-    """Word2Vec trains one model copy per partition and averages them, so more
-    partitions than cores only dilutes the vectors."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        cores = _partitions(spark)
-    return max(2, min(_partitions(spark), cores))
+W2V_PARTITIONS = 8  # Word2Vec trains one model copy per partition and averages them: a fixed parameter
 
 
 def model_input(wh: Warehouse) -> DataFrame:
@@ -78,10 +72,7 @@ def model_input(wh: Warehouse) -> DataFrame:
         tolerant_double("hired").alias("label"),
         *[c for c in base.columns if c != "hired"],
     )
-    # (order, line) is not unique in the data, so the in-partition order is
-    # completed with every column: tied rows are then identical rows.
-    order = ["row_key"] + [c for c in f.columns if c != "row_key"]
-    return models.materialize(models.stable_layout(f, ["row_key"], _partitions(wh.spark), order))
+    return models.fixed_layout(models.materialize(f), "row_key")
 
 
 def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
@@ -114,7 +105,7 @@ def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
     f = model_input(wh)
     fx.check_category_bound(f, CATEGORIES)
     f = f.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-    fitted = indexed_pipeline(variant, _w2v_partitions(wh.spark)).fit(f)
+    fitted = indexed_pipeline(variant, W2V_PARTITIONS).fit(f)
     out = fitted.transform(f).select("row_key", "label", "features")
     return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
 
@@ -127,12 +118,10 @@ def hashed_features(wh: Warehouse) -> DataFrame:
 def _train_test(split: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """The transformed, split rows written once: the iterative fits read the
     train part and every model scores the test part without re-running the
-    feature pipeline. ``split`` descends from the laid-out model input through
-    row-wise steps only, so it keeps that layout and order; it is not shuffled
-    again (vectors cannot extend a sort order)."""
+    feature pipeline. The train part is laid out anew after the read."""
     cols = ["row_key", "label", "features"]
     table = models.materialize(split.select(*cols, "split"), "split")
-    train = table.filter(F.col("split") == "train").select(*cols)
+    train = models.fixed_layout(table.filter(F.col("split") == "train").select(*cols), "row_key", "features")
     test = table.filter(F.col("split") == "test").select(*cols)
     return train, test
 
@@ -190,20 +179,21 @@ def hiring_model_hashed(wh: Warehouse) -> DataFrame:
     """
     hashed = fx.active_features(hashed_features(wh), "features", "features_active")
     split = fx.hash_split(
-        hashed.select("row_key", "label", F.col("features_active").alias("features")), "row_key", TRAIN_TEST, ["train", "test"]
+        hashed.select("row_key", "label", F.col("features_active").alias("features")), "row_key", TRAIN_TEST_HASHED, ["train", "test"]
     )
     return _score_models(split, wh.spark, TREES_HASHED, "hashed")
 
 
 def feature_hash(wh: Warehouse) -> DataFrame:
     """M8: the 2^18-wide hashed vector per row as (row_key, size, indices, values)."""
-    return fx.sparse_vector_parts(hashed_features(wh), "features", ["row_key"])
+    base = analog.client_features(wh).withColumn("row_key", F.col("order_id") * 16 + F.col("line_no"))
+    return fx.sparse_vector_parts(fx.feature_hash(base, HASHED_INPUTS, "features"), "features", ["row_key"])
 
 
 def word2vec(wh: Warehouse) -> DataFrame:
     """Education word lists -> mean word vector (100 dims)."""
     f = model_input(wh).withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-    f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=_w2v_partitions(wh.spark))
+    f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=W2V_PARTITIONS)
     return f.select("row_key", vector_to_array("EducVec").alias("educ_vec"))
 
 
@@ -216,24 +206,42 @@ def kmeans(wh: Warehouse) -> DataFrame:
 
 def cluster_profile(wh: Warehouse) -> DataFrame:
     """Year summaries per cluster, one aggregation pass for all clusters."""
+    return summary_by_group(_clustered(wh), "prediction", YEAR_INPUTS)
+
+
+def _clustered(wh: Warehouse) -> DataFrame:
     hashed = hashed_features(wh)
-    model = models.kmeans(hashed, KMEANS_K, "features", seed=KMEANS_SEED)
-    clustered = model.transform(hashed).select("prediction", "S_years", "R_years")
-    return summary_by_group(clustered, "prediction", YEAR_INPUTS)
+    return models.kmeans(hashed, KMEANS_K, "features", seed=KMEANS_SEED).transform(hashed)
+
+
+def cluster_values(wh: Warehouse) -> DataFrame:
+    """The distinct clusters."""
+    return distinct_of(_clustered(wh), ["prediction"])
+
+
+def cluster_combinations(wh: Warehouse) -> DataFrame:
+    """The distinct (branch, rank, label, cluster) combinations."""
+    return distinct_of(_clustered(wh), ["Service_B", "Service_R", "label", "prediction"])
+
+
+def cluster_overall(wh: Warehouse) -> DataFrame:
+    """The year summaries over all clusters together."""
+    return numeric_summary(_clustered(wh), YEAR_INPUTS)
 
 
 # ---- text model jobs ---------------------------------------------------------
 
 
 def _tokenised_docs(wh: Warehouse) -> DataFrame:
-    """Documents laid out by key first, then tokenised in parallel, then checkpointed."""
-    raw = models.stable_layout(wh.documents.select("doc_id", "lang", "text"), ["doc_id"], _partitions(wh.spark))
+    """Pages (the HTML posts) laid out by key first, then tokenised in parallel, then written.
+    The tag of a page is the language it declares."""
+    raw = models.stable_layout(wh.pages.select("page_id", "html"), ["page_id"], _partitions(wh.spark))
     d = raw.select(
-        "doc_id",
-        F.col("lang").alias("oneTag"),
-        regex_tokens("text").alias("Words"),
-        pattern_count("text", text.PARAGRAPH_TAG).cast("double").alias("numParagraphs"),
-        pattern_count("text", text.LINK_TAG).cast("double").alias("Linksnum"),
+        F.col("page_id").alias("doc_id"),
+        F.regexp_extract("html", '<html lang="([a-z]*)"', 1).alias("oneTag"),
+        regex_tokens("html").alias("Words"),
+        pattern_count("html", text.PARAGRAPH_TAG).cast("double").alias("numParagraphs"),
+        pattern_count("html", text.LINK_TAG).cast("double").alias("Linksnum"),
     ).withColumn("LenBody", F.size("Words").cast("double"))
     return models.materialize(d)
 
@@ -288,7 +296,7 @@ def logistic_regression(wh: Warehouse) -> DataFrame:
     pipeline, _, _ = models.text_classifier(max_iter=10)
     fitted = pipeline.fit(train)
     out = fitted.transform(d.filter(F.col("split") == "test"))
-    return out.select("doc_id", vector_to_array("probability")[1].alias("prob_1"), "prediction")
+    return out.select("doc_id", "text", vector_to_array("probability").alias("probability"), "prediction")
 
 
 def grid_search(wh: Warehouse) -> DataFrame:

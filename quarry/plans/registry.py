@@ -102,6 +102,9 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "hiring_model_indexed": _wh(model_jobs.hiring_model_indexed),
     "hiring_model_indexed_b": _wh(model_jobs.hiring_model_indexed_b),
     "cluster_profile": _wh(model_jobs.cluster_profile),
+    "cluster_values": _wh(model_jobs.cluster_values),
+    "cluster_combinations": _wh(model_jobs.cluster_combinations),
+    "cluster_overall": _wh(model_jobs.cluster_overall),
     "text_features": _wh(model_jobs.text_features),
     "grid_search": _wh(model_jobs.grid_search),
 }

@@ -73,7 +73,7 @@ def contact_method(wh: Warehouse, label: float = 1.0) -> DataFrame:
     """
     counts = count_many_to_many(
         analog.communication(wh), "client_id", "id", ["contact_method"],
-        _hires_with_label(wh, label), "client_id", "id", "count",
+        _hires_with_label(wh, label), "client_id", "count",
     )
     return counts.select("count", "contact_method").orderBy(F.col("count"), F.col("contact_method"))
 

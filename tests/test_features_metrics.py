@@ -8,15 +8,13 @@ from quarry.operators import metrics
 
 
 def test_one_hot_literal_frame(spark):
-    # two index columns, six rows (the shape of the notebook's one-hot example)
-    df = spark.createDataFrame(
-        [(0.0, 1.0), (1.0, 0.0), (2.0, 1.0), (0.0, 2.0), (0.0, 1.0), (2.0, 0.0)], "c1 double, c2 double"
-    )
+    df = spark.range(20).select((F.col("id") % 5).cast("double").alias("c1"), (F.col("id") % 4).cast("double").alias("c2"))
     dropped = fx.one_hot(df, ["c1", "c2"], drop_last=True)
-    rows = dropped.select(vector_to_array("c1Vec").alias("a"), vector_to_array("c2Vec").alias("b")).collect()
-    assert rows[0].a == [1.0, 0.0] and rows[2].a == [0.0, 0.0]  # last category -> all zeros
+    for r in dropped.select("c1", "c2", vector_to_array("c1Vec").alias("a"), vector_to_array("c2Vec").alias("b")).collect():
+        assert r.a == [float(r.c1 == i) for i in range(4)]  # the last category is all zeros
+        assert r.b == [float(r.c2 == i) for i in range(3)]
     kept = fx.one_hot(df, ["c1"], drop_last=False).select(vector_to_array("c1Vec").alias("a")).collect()
-    assert all(sum(r.a) == 1.0 for r in kept) and len(kept[0].a) == 3
+    assert all(sum(r.a) == 1.0 and len(r.a) == 5 for r in kept)
 
 
 def test_string_index_frequency_then_alphabetical(spark):
@@ -25,10 +23,11 @@ def test_string_index_frequency_then_alphabetical(spark):
     assert got == {"c": 0.0, "a": 1.0, "b": 2.0}
 
 
-def test_category_bound_is_checked(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError):
-        fx.string_index(df, ["v"], max_categories=10)
+def test_string_index_has_no_category_limit_and_refuses_null(spark):
+    df = spark.range(3000).select(F.format_string("%05d", F.col("id")).alias("v"))
+    assert fx.string_index(df, ["v"]).where(F.col("v").cast("double") != F.col("vIndex")).count() == 0
+    with pytest.raises(Exception, match="NULL category"):
+        fx.string_index(spark.createDataFrame([(None,), ("a",)], "v string"), ["v"]).collect()
 
 
 def test_scale_and_normalize(spark):

@@ -5,14 +5,17 @@ from pyspark.sql import functions as F
 from quarry.operators import features as fx
 from quarry.operators import models
 
-# Our own labelled snippets in the shape of the pipeline example (id, text, label).
-TRAIN = [
-    (0, "fast spark job", 1.0), (1, "slow disk", 0.0), (2, "spark runs in parallel", 1.0),
-    (3, "old batch system", 0.0), (4, "who said disk", 0.0), (5, "spark handles data", 1.0),
-    (6, "spark plug", 0.0), (7, "it was batch", 0.0), (8, "a spark cluster", 1.0),
-    (9, "who", 0.0), (10, "spark planner", 1.0), (11, "batch tapes", 0.0),
-]
-TEST = [(4, "spark cluster"), (5, "spark plug"), (6, "plan on spark"), (7, "spark and batch in parallel")]
+def _weather_notes(n, first=0):
+    """``id, text, label`` by rule: notes that name the sun are 1, notes that name rain are 0."""
+    sky = ["sunny", "rainy", "rainy"]
+    place = ["harbour", "valley", "ridge", "meadow", "town"]
+    return [
+        (first + i, f"{sky[i % 3]} morning over the {place[i % 5]} number {i % 4}", float(i % 3 == 0)) for i in range(n)
+    ]
+
+
+TRAIN = _weather_notes(30)
+TEST = [(i, t) for i, t, _ in _weather_notes(9, first=100)]
 
 
 def test_text_classifier_pipeline(spark):
@@ -20,7 +23,7 @@ def test_text_classifier_pipeline(spark):
     test = spark.createDataFrame(TEST, "id long, text string")
     pipeline, _, _ = models.text_classifier(max_iter=10)
     out = pipeline.fit(train).transform(test).select("id", "probability", "prediction").collect()
-    assert len(out) == 4 and {r.prediction for r in out} <= {0.0, 1.0}
+    assert [r.prediction for r in out] == [y for *_, y in _weather_notes(9)]
     assert all(abs(sum(r.probability) - 1.0) < 1e-9 for r in out)
 
 

@@ -4,29 +4,26 @@ from pyspark.sql import functions as F
 from quarry.operators import relational as rel
 from quarry.sources import from_list
 
-# Our own song logs in the shape of the lesson's lists: one title three times,
-# the second log with one of the three in lower case.
-LOG_A = ["Blue Moon", "Rain Song", "Paper Boats", "Blue Moon", "Night Drive",
-         "Low Tide", "Rain Song", "Blue Moon", "Open Road"]
-LOG_B = ["Blue Moon", "Rain Song", "Paper Boats", "Blue Moon", "Night Drive",
-         "Low Tide", "Rain Song", "blue moon", "Open Road"]
+def _harbour_log(spark, shout_every=0):
+    """23 entries by rule: every fifth is "Heron", the others are numbered buoys."""
+    names = ["Heron" if i % 5 == 2 else f"Buoy {i}" for i in range(23)]
+    if shout_every:
+        names = [n.upper() if i % shout_every == 0 else n for i, n in enumerate(names)]
+    return from_list(spark, names, "title")
 
 
 def test_count_value_is_repeatable(spark):
-    log = from_list(spark, LOG_A, "title")
-    first = rel.count_value(log, "title", "Blue Moon").first().n
-    second = rel.count_value(log, "title", "Blue Moon").first().n
-    assert first == second == 3
+    log = _harbour_log(spark)
+    assert [rel.count_value(log, "title", "Heron").first().n for _ in range(2)] == [5, 5]
 
 
 def test_count_value_case_insensitive(spark):
-    log = from_list(spark, LOG_B, "title")
-    assert rel.count_value(log, "title", "Blue Moon").first().n == 2
-    assert rel.count_value_ci(log, "title", "Blue Moon").first().n == 3
-    # the map to lower case leaves the source unchanged
+    log = _harbour_log(spark, shout_every=2)  # places 2, 12 and 22 are in capitals
+    assert rel.count_value(log, "title", "Heron").first().n == 2
+    assert rel.count_value_ci(log, "title", "Heron").first().n == 5
     lowered = log.select(F.lower("title").alias("title"))
-    assert lowered.filter(F.col("title") == "blue moon").count() == 3
-    assert log.filter(F.col("title") == "blue moon").count() == 1
+    assert lowered.filter(F.col("title") == "heron").count() == 5
+    assert log.filter(F.col("title") == "heron").count() == 0  # the source is unchanged
 
 
 def test_group_count_and_nonnull_count(spark):
