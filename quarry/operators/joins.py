@@ -1,43 +1,22 @@
-"""Join helpers: checked broadcast, eager (pre-join) aggregation, hot-key salting.
+"""Join helpers: eager (pre-join) aggregation, hot-key salting.
 
-Size rule: a side is broadcast only after ``dim.limit(max_rows + 1).count()``
-proved it holds at most ``max_rows`` rows, or when its size is bounded by
-construction (a top-k result). Otherwise the join is left to Spark, which
-picks a sort-merge join and, with AQE on, converts it to a broadcast join when
-runtime statistics show a small side and splits skewed partitions.
+A side is hinted for broadcast only when its size is bounded by construction (a
+top-k result). Every other join is left to Spark, which goes by the bytes of the
+files and, with AQE on, of the shuffled sides, and splits skewed partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; beyond it, a plain shuffle join."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column | str | Sequence[str],
-    how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension when it is proven small."""
-    return fact.join(broadcast_if_bounded(dim, max_broadcast_rows), on, how)
-
-
 def count_through_dimension(
     fact: DataFrame,
     fact_key: str,

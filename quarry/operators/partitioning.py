@@ -1,24 +1,24 @@
-"""Input parallelism for CPU-heavy per-row work (tokenising, regex counts)."""
+"""Input spread for CPU-heavy per-row work (tokenising, regex counts)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_SETTING = "spark.quarry.inputSpread"
 
-def ensure_parallelism(df: DataFrame, keys: Sequence[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread rows by ``keys`` when the scan yields fewer partitions than the
-    cluster has cores (a file written as one parquet row group is read by one
-    task). A well-split input is returned unchanged, so at scale this adds no
-    shuffle; when it fires it moves the raw rows once so the per-row work that
-    follows runs on every core.
+
+def spread(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """Rows dealt by ``keys`` to ``partitions`` tasks, or ``df`` itself for ``None``.
+
+    Only for inputs that one task would read (a file of one parquet row group): it moves the
+    raw rows once. The caller names the number; nothing is derived from the cluster.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *keys)
+    return df if partitions is None else df.repartition(partitions, *keys)
+
+
+def spread_setting(spark: SparkSession) -> int | None:
+    """The number of partitions the session asks for (``spark.quarry.inputSpread``), by default none."""
+    value = spark.conf.get(SPREAD_SETTING, None)
+    return int(value) if value else None

@@ -98,16 +98,20 @@ def term_counts(terms: DataFrame, id_col: str, vocab: DataFrame) -> DataFrame:
     return kept.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def idf_table(counts: DataFrame, id_col: str, n_docs: int) -> DataFrame:
-    """(term, df, idf) with ``idf = ln((N + 1) / (df + 1))`` (``pyspark.ml.feature.IDF``)."""
-    # (id, term) is unique in ``counts``, so rows per term = documents per term.
-    df_ = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df_.select("term", "df", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+def vocabulary(counts: DataFrame, k: int = DEFAULT_VOCAB_SIZE) -> DataFrame:
+    """(term, count, df): the k most frequent terms of ``counts`` (id, term, n: one row per document and
+    term), with the number of documents that hold them; ties by term."""
+    totals = counts.groupBy("term").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("df"))
+    return totals.orderBy(F.desc("count"), F.asc("term")).limit(k)
 
 
-def tfidf(counts: DataFrame, id_col: str, n_docs: int) -> DataFrame:
-    """(id, term, tf, idf, tfidf) in long form; the idf table has at most k rows."""
-    idf = idf_table(counts, id_col, n_docs)
+def tfidf(counts: DataFrame, id_col: str, n_docs: Column, k: int = DEFAULT_VOCAB_SIZE) -> DataFrame:
+    """(id, term, tf, idf, tfidf) in long form over the k-term vocabulary of ``counts`` (id, term, n).
+
+    ``idf = ln((N + 1) / (df + 1))`` as in ``pyspark.ml.feature.IDF``; ``n_docs`` may be a scalar
+    subquery. Both uses of ``counts`` read one aggregate; the vocabulary has at most k rows.
+    """
+    idf = vocabulary(counts, k).select("term", F.log((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
     joined = counts.join(F.broadcast(idf), "term")
     return joined.select(
         id_col,

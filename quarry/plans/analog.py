@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import not_blank, strip_brackets, tolerant_double
-from quarry.operators.joins import hot_keys, join_dimension, salted_join
+from quarry.operators.joins import hot_keys, salted_join
 from quarry.sources.tables import Warehouse
 
 # The label text each order status stands for.
@@ -89,7 +89,7 @@ def activities(wh: Warehouse) -> DataFrame:
 def bio(wh: Warehouse) -> DataFrame:
     c = wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     n = wh.nation.select("n_nationkey", "n_name")
-    return join_dimension(c, n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("client_id"),
         F.col("c_mktsegment").alias("service_branch"),
         F.col("n_name").alias("service_rank"),
@@ -124,7 +124,7 @@ def client_star(
     """Fact lineitem joined to its dimensions, all analog columns, no filter.
 
     Join order is chosen for shuffle volume: the order-side dimensions
-    (customer, then nation and region, broadcast after a size check) are joined
+    (customer, then nation and region) are joined
     to ``orders`` first, which is a quarter of the fact's size, so the
     fact-sized intermediate is shuffled only twice (on the order key, then on
     the part key) instead of three times. AQE splits skewed keys in both joins;
@@ -144,10 +144,8 @@ def client_star(
         o = o.where(F.col("o_orderstatus").isin(list(statuses)))
     c = wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     p = wh.part.select("p_partkey", "p_name")
-    cust = join_dimension(c, wh.nation.select("n_nationkey", "n_name", "n_regionkey"),
-                          F.col("c_nationkey") == F.col("n_nationkey"))
-    cust = join_dimension(cust, wh.region.select("r_regionkey", "r_name"),
-                          F.col("n_regionkey") == F.col("r_regionkey"))
+    cust = c.join(wh.nation.select("n_nationkey", "n_name", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+    cust = cust.join(wh.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     order_side = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
     if hot_rows is None:
         star = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey")).join(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import tolerant_double
 from quarry.operators import features as fx
 from quarry.operators import metrics, text
-from quarry.operators.partitioning import ensure_parallelism
+from quarry.operators.partitioning import spread, spread_setting
 from quarry.plans import analog
 from quarry.sources.tables import Warehouse
 
@@ -47,26 +47,26 @@ def one_hot_all(wh: Warehouse) -> DataFrame:
     return _one_hot(wh, False)
 
 
-def _shape_vectors(wh: Warehouse) -> DataFrame:
-    pages = ensure_parallelism(wh.pages.select("page_id", "html"), ["page_id"])
+def shape_vectors(wh: Warehouse) -> DataFrame:
+    pages = spread(wh.pages.select("page_id", "html"), ["page_id"], spread_setting(wh.spark))
     shape = text.text_shape(pages, "page_id", "html")
     return fx.assemble(shape, SHAPE_COLS, "shape")
 
 
 def assemble(wh: Warehouse) -> DataFrame:
     """M9: three columns assembled into a vector (flattened for comparison)."""
-    return fx.flatten_vector(_shape_vectors(wh), "shape", [f"f_{c}" for c in SHAPE_COLS], ["page_id"])
+    return fx.flatten_vector(shape_vectors(wh), "shape", [f"f_{c}" for c in SHAPE_COLS], ["page_id"])
 
 
 def standard_scale(wh: Warehouse) -> DataFrame:
     """Each feature over its sample standard deviation."""
-    scaled = fx.standard_scale(_shape_vectors(wh), "shape", "scaled")
+    scaled = fx.standard_scale(shape_vectors(wh), "shape", "scaled")
     return fx.flatten_vector(scaled, "scaled", [f"s_{c}" for c in SHAPE_COLS], ["page_id"])
 
 
 def normalize_l1(wh: Warehouse) -> DataFrame:
     """Each vector over its L1 norm."""
-    normed = fx.normalize(_shape_vectors(wh), "shape", "normed", p=1.0)
+    normed = fx.normalize(shape_vectors(wh), "shape", "normed", p=1.0)
     return fx.flatten_vector(normed, "normed", [f"n_{c}" for c in SHAPE_COLS], ["page_id"])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, feature_keys, model_jobs, reports, source_keys, text_reports
+from quarry.plans import analog, basics, exact_keys, feature_keys, model_jobs, reports, source_keys, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,13 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "grid_search": _wh(model_jobs.grid_search),
 }
 
+EXACT_QUERIES: dict[str, QueryFn] = {
+    "hashing_tf_slots": _wh(exact_keys.hashing_tf_slots),
+    "feature_hash_slots": _wh(exact_keys.feature_hash_slots),
+    "decision_stump": _wh(exact_keys.decision_stump),
+    "pca_rotation": _wh(exact_keys.pca_rotation),
+}
+
 SOURCE_QUERIES: dict[str, QueryFn] = {
     "scan_csv": _wh(source_keys.scan_csv),
     "scan_csv_headerless": _wh(source_keys.scan_csv_headerless),
@@ -119,6 +126,6 @@ SOURCE_QUERIES: dict[str, QueryFn] = {
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for part in (SOURCE_QUERIES, REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES):
+    for part in (SOURCE_QUERIES, REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES, EXACT_QUERIES):
         out.update(part)
     return out

@@ -123,8 +123,9 @@ def filter_join_project(wh: Warehouse, director: str = "Brand#13") -> DataFrame:
         F.col("l_orderkey").alias("user_id"),
         F.col("l_quantity").alias("rating"),
     )
+    quoted = director.replace("\\", "\\\\").replace("'", "\\'")
     return (
-        movies.where(f"director = '{director}'")
+        movies.where(f"director = '{quoted}'")
         .join(ratings, "movie_id")
         .select("movie_id", "director", "user_id", "rating")
     )

@@ -4,15 +4,16 @@ TF-IDF (M5), page shape (F6-F8), hashed term frequencies (M3)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.operators import text
 from quarry.operators.features import sparse_vector_parts
-from quarry.operators.partitioning import ensure_parallelism
+from quarry.operators.partitioning import spread, spread_setting
 from quarry.sources.tables import Warehouse
 
 
 def _documents(wh: Warehouse) -> DataFrame:
-    return ensure_parallelism(wh.documents.select("doc_id", "text"), ["doc_id"])
+    return spread(wh.documents.select("doc_id", "text"), ["doc_id"], spread_setting(wh.spark))
 
 
 def _doc_lines(wh: Warehouse) -> DataFrame:
@@ -55,21 +56,23 @@ def rarest_kept_terms(wh: Warehouse) -> DataFrame:
 
 def term_counts(wh: Warehouse) -> DataFrame:
     """M4: count vectors in long form (doc_id, term, n) over the 1500-term vocabulary."""
-    terms = _terms(wh)
-    return text.term_counts(terms, "doc_id", text.top_terms(terms))
+    counts = _counts(wh)
+    return counts.join(F.broadcast(text.vocabulary(counts).select("term")), "term").select("doc_id", "term", "n")
+
+
+def _counts(wh: Warehouse) -> DataFrame:
+    return _terms(wh).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tfidf(wh: Warehouse) -> DataFrame:
     """M5: (doc_id, term, tf, idf, tfidf) with N = number of documents."""
-    terms = _terms(wh)
-    counts = text.term_counts(terms, "doc_id", text.top_terms(terms))
-    n_docs = wh.documents.count()
-    return text.tfidf(counts, "doc_id", n_docs)
+    n_docs = wh.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return text.tfidf(_counts(wh), "doc_id", n_docs)
 
 
 def text_shape(wh: Warehouse) -> DataFrame:
     """Token count, paragraph and link tags per page."""
-    pages = ensure_parallelism(wh.pages.select("page_id", "html"), ["page_id"])
+    pages = spread(wh.pages.select("page_id", "html"), ["page_id"], spread_setting(wh.spark))
     return text.text_shape(pages, "page_id", "html")
 
 

@@ -38,11 +38,9 @@ def test_count_many_to_many_counts_rows_with_null_ids(spark):
     assert {r.m: r.n for r in ours} == {r.m: r.n for r in plain} == {"x": 2, "y": 2}
 
 
-def test_broadcast_only_when_bounded(spark):
+def test_is_bounded(spark):
     small = spark.range(10)
     assert joins.is_bounded(small, 10) and not joins.is_bounded(small, 9)
-    plan = small.join(joins.broadcast_if_bounded(spark.range(5), 5), "id")._jdf.queryExecution().toString()
-    assert "broadcast" in plan.lower()
 
 
 def test_duplicate_keys(spark):
@@ -101,14 +99,13 @@ def test_aqe_splits_a_hot_join_key(spark):
                 spark.conf.set(k, v)
 
 
-def test_ensure_parallelism_only_spreads_narrow_inputs(spark):
-    from quarry.operators.partitioning import ensure_parallelism
+def test_spread_goes_by_its_argument_alone(spark):
+    from quarry.operators.partitioning import spread, spread_setting
 
     narrow = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(narrow, ["id"], min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
-    wide = spark.range(100).repartition(6)
-    assert ensure_parallelism(wide, ["id"], min_partitions=4) is wide
+    assert spread_setting(spark) is None and spread(narrow, ["id"], None) is narrow
+    dealt = spread(narrow, ["id"], 4)
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 100
 
 
 def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from quarry.operators import text
 
@@ -35,7 +36,7 @@ def test_vocabulary_term_counts_and_tfidf_match_pyspark_ml(spark):
     vocab = text.top_terms(terms, 3)
     assert [(r.term, r["count"]) for r in vocab.collect()] == [("data", 4), ("spark", 2), ("here", 1)]
     counts = text.term_counts(terms, "doc_id", vocab)
-    tfidf = {(r.doc_id, r.term): r for r in text.tfidf(counts, "doc_id", docs.count()).collect()}
+    tfidf = {(r.doc_id, r.term): r for r in text.tfidf(counts, "doc_id", F.lit(docs.count()), 3).collect()}
 
     words = docs.select("doc_id", text.regex_token_column("text").alias("w"))
     cv = CountVectorizerModel.from_vocabulary([r.term for r in vocab.collect()], inputCol="w", outputCol="tf")
@@ -55,9 +56,10 @@ def test_idf_formula(spark):
     docs = _docs(spark)
     terms = text.doc_terms(docs, "doc_id", "text")
     counts = text.term_counts(terms, "doc_id", text.top_terms(terms, 10))
-    idf = {r.term: r for r in text.idf_table(counts, "doc_id", 4).collect()}
-    assert idf["data"].df == 2 and idf["data"].idf == pytest.approx(math.log(5 / 3))
-    assert idf["lake"].df == 1 and idf["lake"].idf == pytest.approx(math.log(5 / 2))
+    assert {r.term: r.df for r in text.vocabulary(counts).collect()}["data"] == 2
+    idf = {r.term: r.idf for r in text.tfidf(counts, "doc_id", F.lit(4)).collect()}
+    assert idf["data"] == pytest.approx(math.log(5 / 3), abs=1e-6)
+    assert idf["lake"] == pytest.approx(math.log(5 / 2), abs=1e-6)
 
 
 def test_rarest_kept_terms(spark):
