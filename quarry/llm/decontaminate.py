@@ -152,8 +152,13 @@ def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tup
     length = (index.first[1:] - index.first[:-1])[item]
     last = np.where(length <= WINDOW, 0, -(-(length - WINDOW) // STRIDE))  # number of the item's last window
     shift = at - place
+    # a row, window of the block and band make one number: under 2^63 at any size of text or block
+    n_windows = 1 + np.maximum(0, -(-(index.first[1:] - index.first[:-1] - WINDOW) // STRIDE))
+    window_at = np.concatenate([[0], np.cumsum(n_windows)])
+    low_band = int(shift.min()) // BAND - 1
+    n_bands = int(shift.max()) // BAND - low_band + 1
     found: list[tuple[int, ...]] = []
-    keys, info = [], []
+    keys = []
     for back in range(WINDOW // STRIDE + 1):  # the windows that may hold the q-gram
         for tail in (False, True):
             window = last if tail else place // STRIDE - back
@@ -168,17 +173,16 @@ def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tup
                 band = shift // BAND - step
                 in_band = ok if not step else ok & (shift - (band + 1) * BAND < edit_budget(WINDOW))
                 pick = np.flatnonzero(in_band)
-                keys.append(np.stack([row[pick], item[pick], window[pick], band[pick]], 1))
-    key = np.concatenate(keys)
-    if not len(key):
+                at_window = row[pick] * window_at[-1] + window_at[item[pick]] + window[pick]
+                keys.append(at_window * n_bands + (band[pick] - low_band))
+    packed = np.concatenate(keys)
+    if not len(packed):
         return []
-    order = np.lexsort(key.T[::-1])
-    key = key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]).any(1)
-    firsts = np.flatnonzero(new)
-    count = np.diff(np.append(firsts, len(key)))
-    key = key[firsts]
+    packed, count = np.unique(packed, return_counts=True)
+    at_window, band = np.divmod(packed, n_bands)
+    row, at_window = np.divmod(at_window, window_at[-1])
+    item = np.searchsorted(window_at, at_window, "right") - 1
+    key = np.stack([row, item, at_window - window_at[item], band + low_band], 1)
     size = np.minimum(index.first[key[:, 1] + 1] - index.first[key[:, 1]], WINDOW)
     budget = np.maximum(0, np.minimum((size * EDIT_SHARE).astype(np.int64), size // Q - 1))
     enough = count >= size + 1 - Q * (budget + 1)
