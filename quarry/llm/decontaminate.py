@@ -129,11 +129,12 @@ def aligned(pattern: np.ndarray, regions: np.ndarray, most: int) -> tuple[np.nda
     """Least edits between each pattern and any part of its region, and where that part ends.
 
     ``pattern``: (c, m), ``regions``: (c, w); regions are as wide as the band around the window, and
-    0 stands for no character. Edits above ``most`` are not told apart.
+    0 stands for no character. Edits above ``most`` are not told apart. Numbers stay below
+    ``m + w``, a few hundred for any window, so 16 bits hold them.
     """
     c, w = regions.shape
-    steps = np.arange(w + 1)
-    row = np.zeros((c, w + 1), np.int32)
+    steps = np.arange(w + 1, dtype=np.int16)
+    row = np.zeros((c, w + 1), np.int16)
     for i in range(pattern.shape[1]):
         new = np.empty_like(row)
         new[:, 0] = row[:, 0] + 1
