@@ -56,6 +56,13 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounds of its SQL: one edit, lines of 20 characters or more."""
+    done = linededup.dedup_lines(_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
+    return done.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op7_line_dedup_tenth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pipeline's line stage does: one edit in ten characters."""
     return linededup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
@@ -86,6 +93,7 @@ QUERIES: dict[str, QueryFn] = {
     "op5_importance_resample": op5_importance_resample,
     "op6_benchmark_leaks": op6_benchmark_leaks,
     "op7_line_dedup": op7_line_dedup,
+    "op7_line_dedup_tenth": op7_line_dedup_tenth,
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_repeat_cut": op10_repeat_cut,
