@@ -62,7 +62,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup_tenth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the pipeline's line stage does: one edit in ten characters."""
+    """What the pipeline's line stage does: one edit in ten characters, copies of lines of any length."""
     return linededup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 

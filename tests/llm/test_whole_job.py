@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from quarry.llm import linededup
@@ -41,3 +42,17 @@ def test_near_lines_are_all_pairs_of_sf0001(spark):
     pairs = a.join(b, (F.col("a_h") < F.col("b_h")) & (F.abs(F.col("a_n") - F.col("b_n")) <= F.floor(least / 10)))
     near = pairs.where(F.call_function("levenshtein", F.col("a_line"), F.col("b_line"), F.floor(least / 10).cast("int")) >= 0)
     assert got == {(r.a_h, r.b_h) for r in near.select("a_h", "b_h").collect()} and len(got) > 0
+
+
+def test_copies_of_short_lines_go_and_shells_are_dropped(spark):
+    long = "a line of more than twenty characters"
+    rows = [
+        (1, f"Title\n{long}\n\nEnd."), (2, f"Title\n{long}\n\nEnd."),  # a copy with short lines
+        (3, f"Own\n{long}"),  # nothing of substance stays
+        (4, "Title\nOwn words"), (5, "short"), (6, None), (7, ""), (8, "\n"), (9, f"{long}, but this one with other words\nEnd."),
+    ]
+    docs = spark.createDataFrame(rows, DOC)
+    got = {r.doc_id: (r.text, r.n_removed) for r in linededup.dedup_lines(docs).collect()}
+    assert got[2] == ("", 3) and got[3] == ("Own", 1) and got[4] == ("Own words", 1) and got[8] == ("\n", 0)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
+    assert kept == {d: t for d, t in rows if d not in (2, 3, 4, 9)} | {4: "Own words", 9: f"{long}, but this one with other words"}
