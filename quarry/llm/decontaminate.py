@@ -1,8 +1,10 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark items are cut into windows of ``WINDOW`` characters, one every ``STRIDE`` (an item
-shorter than a window is one). A document leaks an item if some part of it is within
-``edits`` edits (one in ten characters) of one of the item's windows. Letters A-Z are folded
+A document leaks an item if some part of it is within ``edits`` edits (one in ten characters)
+of some ``WINDOW`` characters of the item, wherever they start, or of the whole item if that
+is shorter. Windows that start every ``STRIDE`` are looked for first and are the ones that the
+report counts; a row and item without any of them are searched at every other start at which
+the filter below leaves a chance. Letters A-Z are folded
 and white space counts as blanks.
 
 Filter: by the q-gram lemma such a part shares at least ``length + 1 - q * (edits + 1)``
@@ -35,6 +37,8 @@ from quarry.llm.bytes_np import IS_SPACE, LOWER, mix64, text_slices
 
 Q, WINDOW, STRIDE, MIN_ITEM, BAND = 8, 80, 40, 24, 16
 EDIT_SHARE = 0.1
+CORE_STRIDE = 20
+CORE = WINDOW - CORE_STRIDE + 1
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 22
 _STEP = np.uint64(0x100000001B3)
@@ -125,6 +129,93 @@ def _hits(index: Index, chars: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     return np.repeat(row, n), np.repeat(at, n), index.item[which], index.place[which]
 
 
+def _dense(index: Index, row: np.ndarray, at: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which hits can count: a band of their row and item has as many as a window needs, or the item is shorter.
+
+    Bands are counted in hashed slots: two bands in a slot let hits stay, never go.
+    """
+    most = edit_budget(WINDOW)
+    pair = (row * (len(index.first) - 1) + item).astype(np.uint64) * _STEP
+    shift = at - place
+    bits = max(10, len(row).bit_length() + 2)
+    slots = [(mix64(pair + (shift // BAND - step).astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) for step in (0, 1)]
+    second = shift % BAND < most  # the diagonal is also in the band before
+    n = np.bincount(slots[0], minlength=1 << bits) + np.bincount(slots[1][second], minlength=1 << bits)
+    enough = n >= WINDOW + 1 - Q * (most + 1)
+    return enough[slots[0]] | (second & enough[slots[1]]) | ((index.first[1:] - index.first[:-1])[item] <= WINDOW)
+
+
+def _between(
+    index: Index, chars: np.ndarray, offsets: np.ndarray, hits: tuple[np.ndarray, ...], done: set[tuple[int, int]]
+) -> list[tuple[int, ...]]:
+    """Leaks by windows at any place of an item, for rows and items not in ``done``: ``row, item, start, end, edits``."""
+    row, at, item, place = hits
+    lengths = index.first[1:] - index.first[:-1]
+    pair = row * len(lengths) + item
+    known = np.array([r * len(lengths) + it for r, it in done], np.int64)
+    left = (lengths[item] > WINDOW) & ~np.isin(pair, known)
+    pair, at, place = pair[left], at[left], place[left]
+    if not len(pair):
+        return []
+    most, shift = edit_budget(WINDOW), at - place
+    need = WINDOW + 1 - Q * (most + 1)
+    low_band = int(shift.min()) // BAND - 1
+    n_bands = int(shift.max()) // BAND - low_band + 1
+    keys, picks = [], []
+    for step in (0, 1):  # the bands that hold the diagonal
+        band = shift // BAND - step
+        pick = np.flatnonzero(shift - (band + 1) * BAND < most) if step else np.arange(len(shift))
+        keys.append(pair[pick] * n_bands + (band[pick] - low_band))
+        picks.append(pick)
+    key, pick = np.concatenate(keys), np.concatenate(picks)
+    order = np.lexsort((place[pick], key))
+    key, places = key[order], place[pick][order]
+    # `need` hits of one key within a window's q-grams
+    ahead = np.arange(len(key)) + need - 1
+    inside = ahead < len(key)
+    ahead = np.where(inside, ahead, 0)
+    inside &= (key[ahead] == key) & (places[ahead] - places <= WINDOW - Q)
+    i = np.flatnonzero(inside)
+    key, low, high = key[i], places[ahead[i]] + Q - WINDOW, places[i]
+    low, high = np.maximum(0, low), np.minimum(high, lengths[key // n_bands % len(lengths)] - WINDOW)
+
+    def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Distinct keys and starts, from first to last for each key."""
+        n = np.maximum(0, last - first + 1)
+        start = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return np.unique(np.stack([np.repeat(key, n), start]), axis=1)
+
+    def fits(some: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int, int]]:
+        for lo in range(0, some.shape[1], 4096):
+            k, from_ = some[:, lo : lo + 4096]
+            r_item, band = np.divmod(k, n_bands)
+            r, it = np.divmod(r_item, len(lengths))
+            for j, stop, edits in _align(index, chars, offsets, r, it, from_, band + low_band, width, most):
+                yield lo + j, int(r[j]), int(it[j]), stop, edits
+
+    # every window holds CORE characters that start at a multiple of CORE_STRIDE, with no more edits
+    cores = spread(-(-low // CORE_STRIDE), -(-high // CORE_STRIDE))
+    hold = [j for j, *_ in fits(cores * [[1], [CORE_STRIDE]], CORE)]
+    if not hold:
+        return []
+    key, core = cores[:, hold]
+    low, high = (core - 1) * CORE_STRIDE + 1, core * CORE_STRIDE
+    windows = spread(np.maximum(0, low), np.minimum(high, lengths[key // n_bands % len(lengths)] - WINDOW))
+    return [(r, it, max(0, stop - WINDOW), stop, edits) for _, r, it, stop, edits in fits(windows, WINDOW)]
+
+
+def _align(index, chars, offsets, row, item, from_, band, width: int, most: int) -> Iterator[tuple[int, int, int]]:
+    """Windows at ``from_`` of the items that are found in their rows with ``most`` edits: number, end in the row, edits."""
+    pattern = index.chars[(index.first[item] + from_)[:, None] + np.arange(width)]
+    left = from_ + band * BAND - most
+    where = left[:, None] + np.arange(width + BAND + 3 * most)
+    valid = (where >= offsets[row][:, None]) & (where < offsets[row + 1][:, None])
+    regions = np.where(valid, chars[np.clip(where, 0, len(chars) - 1)], 0)
+    edits, end = aligned(pattern, regions, most)
+    for i in np.flatnonzero(edits <= most):
+        yield int(i), int(left[i] + end[i] - offsets[row[i]]), int(edits[i])
+
+
 def aligned(pattern: np.ndarray, regions: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Least edits between each pattern and any part of its region, and where that part ends.
 
@@ -135,19 +226,28 @@ def aligned(pattern: np.ndarray, regions: np.ndarray, most: int) -> tuple[np.nda
     c, w = regions.shape
     steps = np.arange(w + 1, dtype=np.int16)
     row = np.zeros((c, w + 1), np.int16)
+    alive = np.arange(c)
     for i in range(pattern.shape[1]):
+        if i % 8 == 0:  # the least of a row never falls again
+            keep = row.min(1) <= most
+            if not keep.all():
+                row, regions, pattern, alive = row[keep], regions[keep], pattern[keep], alive[keep]
         new = np.empty_like(row)
         new[:, 0] = row[:, 0] + 1
         new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (regions != pattern[:, i : i + 1]))
         # an insertion costs one for every step to the right
         row = np.minimum.accumulate(new - steps, axis=1) + steps
-    end = row.argmin(1)
-    return np.minimum(row[np.arange(c), end], most + 1), end
+    edits, end = np.full(c, most + 1, np.int16), np.zeros(c, np.int64)
+    end[alive] = row.argmin(1)
+    edits[alive] = np.minimum(row[np.arange(len(alive)), end[alive]], most + 1)
+    return edits, end
 
 
 def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tuple[int, ...]]:
     """``row, item number, start, end, windows found, windows of the item, least edits`` in row order."""
-    row, at, item, place = _hits(index, chars, offsets)
+    hits = _hits(index, chars, offsets)
+    dense = _dense(index, *hits)
+    row, at, item, place = hits = tuple(x[dense] for x in hits)
     if not len(row):
         return []
     length = (index.first[1:] - index.first[:-1])[item]
@@ -177,8 +277,6 @@ def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tup
                 at_window = row[pick] * window_at[-1] + window_at[item[pick]] + window[pick]
                 keys.append(at_window * n_bands + (band[pick] - low_band))
     packed = np.concatenate(keys)
-    if not len(packed):
-        return []
     packed, count = np.unique(packed, return_counts=True)
     at_window, band = np.divmod(packed, n_bands)
     row, at_window = np.divmod(at_window, window_at[-1])
@@ -190,7 +288,6 @@ def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tup
     key, size, budget = key[enough], size[enough], budget[enough]
     for width in np.unique(size):
         some = key[size == width]
-        most = edit_budget(int(width))
         n_last = np.where(some[:, 1] >= 0, -(-(index.first[some[:, 1] + 1] - index.first[some[:, 1]] - WINDOW) // STRIDE), 0)
         start = np.where(
             some[:, 2] >= np.maximum(n_last, 0),
@@ -199,22 +296,16 @@ def find_leaks(index: Index, chars: np.ndarray, offsets: np.ndarray) -> list[tup
         )
         for lo in range(0, len(some), 4096):
             part, from_ = some[lo : lo + 4096], start[lo : lo + 4096]
-            pattern = index.chars[(index.first[part[:, 1]] + from_)[:, None] + np.arange(width)]
-            left = from_ + part[:, 3] * BAND - most
-            span = np.arange(int(width) + BAND + 3 * most)
-            where = left[:, None] + span
-            valid = (where >= offsets[part[:, 0]][:, None]) & (where < offsets[part[:, 0] + 1][:, None])
-            regions = np.where(valid, chars[np.clip(where, 0, len(chars) - 1)], 0)
-            edits, end = aligned(pattern, regions, most)
-            for i in np.flatnonzero(edits <= most):
-                begin = offsets[part[i, 0]]
-                stop = int(left[i] + end[i] - begin)
-                found.append((int(part[i, 0]), int(part[i, 1]), max(0, stop - int(width)), stop, int(part[i, 2]), int(edits[i])))
+            for i, stop, edits in _align(index, chars, offsets, part[:, 0], part[:, 1], from_, part[:, 3], int(width), edit_budget(int(width))):
+                found.append((int(part[i, 0]), int(part[i, 1]), max(0, stop - int(width)), stop, int(part[i, 2]), edits))
     out: dict[tuple[int, int], list] = {}
     for r, it, lo, hi, window, edits in found:
         seen = out.setdefault((r, it), [lo, hi, set(), edits])
         seen[0], seen[1], seen[3] = min(seen[0], lo), max(seen[1], hi), min(seen[3], edits)
         seen[2].add(window)
+    for r, it, lo, hi, edits in _between(index, chars, offsets, hits, set(out)):
+        seen = out.setdefault((r, it), [lo, hi, set(), edits])
+        seen[0], seen[1], seen[3] = min(seen[0], lo), max(seen[1], hi), min(seen[3], edits)
     lengths = index.first[1:] - index.first[:-1]
     return [
         (r, it, lo, hi, len(ws), len(_windows(int(lengths[it]))), edits) for (r, it), (lo, hi, ws, edits) in sorted(out.items())
@@ -281,7 +372,8 @@ def leaks(
     """``doc_id, item_id, start, end, windows, item_windows, edits``: a row per document and item found in it.
 
     ``start`` and ``end`` bound all windows found (``start`` may be off by the edits of the first);
-    ``edits`` is the least of any window.
+    ``edits`` is the least of any window. ``windows`` of ``item_windows`` are those that start every
+    ``STRIDE``: 0 if the part found lies between them.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()

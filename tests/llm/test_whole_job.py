@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from quarry.llm import linededup
+from quarry.llm import decontaminate, linededup
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -56,3 +56,20 @@ def test_copies_of_short_lines_go_and_shells_are_dropped(spark):
     assert got[2] == ("", 3) and got[3] == ("Own", 1) and got[4] == ("Own words", 1) and got[8] == ("\n", 0)
     kept = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
     assert kept == {d: t for d, t in rows if d not in (2, 3, 4, 9)} | {4: "Own words", 9: f"{long}, but this one with other words"}
+
+
+def test_quotes_of_80_characters_are_found_wherever_they_start(spark):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopq é") for _ in range(n))
+    items = [(i, text(n)) for i, n in enumerate((81, 120, 155, 300, 401))]
+    rows, want, n = [], set(), 0
+    for i, item in items:
+        for start in range(0, len(item) - 79, 3):
+            quote = item[start : start + 80]
+            for part, found in ((quote, True), (_changed(rng, quote, 6), True), (quote[:60], False)):
+                rows.append((n, text(rng.randrange(90)) + "##" + part + "##" + text(90)))
+                want |= {(n, i)} if found else set()
+                n += 1
+    docs = spark.createDataFrame(rows, DOC)
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
