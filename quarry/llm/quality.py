@@ -1,7 +1,7 @@
 """Quality classifier by importance resampling.
 
 Two bag-of-n-grams models over hashed buckets (words and word pairs) are counted: one of the
-target text (documents labelled as good quality), one of all raw text. A document's log importance is the sum over its n-grams of log(target share / raw share).
+target text (documents labelled as good quality and not as toxic), one of all raw text. A document's log importance is the sum over its n-grams of log(target share / raw share).
 Adding Gumbel noise to it and keeping the largest k draws k documents without replacement in
 proportion to their importance. k is the share of target documents among the labelled ones,
 times the number of documents, unless given.
@@ -81,8 +81,8 @@ def _score(model, n_buckets: int, passed: pa.Schema):
 
 
 def target_labels(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """``doc_id, target`` of at most ``most`` labelled ids: good quality in every row of the id."""
-    good = F.col("quality") == 1
+    """``doc_id, target`` of at most ``most`` labelled ids: good quality and not toxic (null: not) in every row of the id."""
+    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1)
     return (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")

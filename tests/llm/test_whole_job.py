@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, linededup
+from quarry.llm import decontaminate, linededup, quality
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -73,3 +73,9 @@ def test_quotes_of_80_characters_are_found_wherever_they_start(spark):
     docs = spark.createDataFrame(rows, DOC)
     got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
+
+
+def test_toxic_documents_are_no_target(spark):
+    rows = [(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 0, 0), (5, 0, 1), (6, 1, 0), (6, 1, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    assert {r.doc_id for r in quality.target_labels(labels).where("target").collect()} == {1, 3}
