@@ -3,7 +3,7 @@
 Two bag-of-n-grams models over hashed buckets (words and word pairs) are counted: one of the
 target text (documents labelled as good quality and not as toxic), one of all raw text. A document's log importance is the sum over its n-grams of log(target share / raw share).
 Adding Gumbel noise to it and keeping the largest k draws k documents without replacement in
-proportion to their importance. k is the share of target documents among the labelled ones,
+proportion to their importance. k is the share of target documents among all labelled ones,
 times the number of documents, unless given.
 
 The raw counts cover all documents and whole texts. The target counts use the labelled rows
@@ -80,15 +80,13 @@ def _score(model, n_buckets: int, passed: pa.Schema):
     return run
 
 
-def target_labels(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """``doc_id, target`` of at most ``most`` labelled ids: good quality and not toxic (null: not) in every row of the id."""
+def target_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id, target`` of all labelled ids: good quality and not toxic (null: not) in every row of the id."""
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1)
     return (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg(F.min(good.cast("int")).cast("boolean").alias("target"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
     )
 
 
@@ -130,10 +128,12 @@ def resample(
     seed: int = 5,
     id_col: str = "doc_id",
     text_col: str = "text",
+    most_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
     """The drawn documents: ``doc_id, text_hash, importance, noisy, place`` (place 0 drawn first)."""
     labelled = materialize(target_labels(labels), "quality-labels")
-    scored = materialize(importances(docs, labelled, buckets, id_col, text_col), "quality-scores")
+    sample = materialize(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled), "quality-sample")
+    scored = materialize(importances(docs, sample, buckets, id_col, text_col), "quality-scores")
     if keep is None:
         n, n_labelled, n_target = (
             scored.count(), *labelled.agg(F.count(F.lit(1)), F.count(F.when(F.col("target"), 1))).first(),

@@ -79,3 +79,9 @@ def test_toxic_documents_are_no_target(spark):
     rows = [(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 0, 0), (5, 0, 1), (6, 1, 0), (6, 1, 1)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
     assert {r.doc_id for r in quality.target_labels(labels).where("target").collect()} == {1, 3}
+
+
+def test_kept_share_is_that_of_all_labels(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} text") for i in range(300)], DOC)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    assert quality.resample(docs, labels, most_labelled=5).count() == -(-300 * 133 // 200)
