@@ -13,6 +13,7 @@ from quarry.llm import (
     decontaminate,
     licenses,
     linededup,
+    merkle,
     mixing,
     ngramjoin,
     quality,
@@ -75,6 +76,10 @@ def op10_repeat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_repeat_cut": op10_repeat_cut,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -129,6 +135,45 @@ ORACLE_SQL: dict[str, str] = {
                    + len(regexp_extract_all(text, '\\\\|<\\||</?s>|</?SYS|<<SYS|<start_of|<end_of|\\[/?INST\\]'))) AS BIGINT)
                    AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_merkle_manifest": """
+        WITH RECURSIVE f AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, text, source, CAST(n_chars AS VARCHAR) AS n,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                   list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], flatten(list_transform(
+                       string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda b: CAST(ascii(c) // (1 << b) % 2 AS UBIGINT))))),
+                       lambda h, bit: xor(h // 2, CASE WHEN xor(h % 2, bit) = 1 THEN CAST(3988292384 AS UBIGINT) ELSE CAST(0 AS UBIGINT) END)) AS crc
+            FROM documents),
+        e AS (SELECT r, doc_id, lang, xor(crc, CAST(4294967295 AS UBIGINT)) % 3 = 0 AS hit,
+                     list_transform([CAST(doc_id AS VARCHAR), source, lang, n], lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')) AS head,
+                     coalesce(octet_length(encode(text)) || ':' || text, '-') AS own, coalesce(octet_length(encode(low)) || ':' || low, '-') AS other
+              FROM f),
+        leaves AS MATERIALIZED (SELECT r, doc_id, lang, sha256(array_to_string(head, '') || own) AS leaf,
+                         CASE WHEN hit THEN sha256(array_to_string(head, '') || other) ELSE sha256(array_to_string(head, '') || own) END AS folded FROM e),
+        placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+        tree AS (SELECT 0 AS level, lang, pos, n, leaf AS h FROM placed
+                 UNION ALL
+                 SELECT level + 1, lang, pos // 8, max(n) // 8 + CAST(max(n) % 8 > 0 AS INTEGER), sha256(string_agg(h, '' ORDER BY pos))
+                 FROM tree WHERE n > 1 GROUP BY level, lang, pos // 8),
+        subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+        crown AS (SELECT 0 AS level, pos, n, h FROM subroots
+                  UNION ALL
+                  SELECT level + 1, pos // 8, max(n) // 8 + CAST(max(n) % 8 > 0 AS INTEGER), sha256(string_agg(h, '' ORDER BY pos))
+                  FROM crown WHERE n > 1 GROUP BY level, pos // 8),
+        runs AS (SELECT level, lang, pos, n, list(h) OVER (PARTITION BY level, lang, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM tree),
+        crown_runs AS (SELECT level, pos, n, list(h) OVER (PARTITION BY level, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM crown),
+        steps AS (
+            SELECT r, level, list_slice(run, 1, u.pos % 8) AS a, list_slice(run, u.pos % 8 + 2, 8) AS b
+            FROM placed p JOIN runs u ON u.lang IS NOT DISTINCT FROM p.lang AND u.pos = p.pos // CAST(pow(8, u.level) AS BIGINT) WHERE u.n > 1
+            UNION ALL
+            SELECT r, 1000 + level, list_slice(run, 1, u.pos % 8), list_slice(run, u.pos % 8 + 2, 8)
+            FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN crown_runs u ON u.pos = s.pos // CAST(pow(8, u.level) AS BIGINT) WHERE u.n > 1),
+        proofs AS (SELECT r, list(array_to_string(a, '') || '|' || array_to_string(b, '') ORDER BY level) AS proof FROM steps GROUP BY r),
+        final AS (SELECT p.*, coalesce(proof, []) AS proof FROM placed p LEFT JOIN proofs USING (r)),
+        top AS (SELECT h AS root FROM crown WHERE n = 1),
+        done AS (SELECT doc_id, leaf, s.h AS subroot, root, sha256(replace(array_to_string(proof, ''), '|', '')) AS proof_sha256,
+                        list_reduce(list_concat([folded], proof), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root
+                 FROM final p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, top)
+        SELECT *, folded_root = root AS verified FROM done""",
     "op7_line_dedup": """
         WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
         o AS (SELECT doc_id AS doc, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM parts),
