@@ -45,7 +45,7 @@ def test_every_oracle_key_is_registered():
     assert set(ORACLE) <= set(entry_mod.queries())
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
