@@ -11,6 +11,7 @@ import corpus_pipeline
 from quarry.llm import (
     chat,
     decontaminate,
+    lexical,
     licenses,
     linededup,
     merkle,
@@ -80,6 +81,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -103,6 +108,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_chat_format": op9_chat_format,
     "op10_repeat_cut": op10_repeat_cut,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -174,6 +180,21 @@ ORACLE_SQL: dict[str, str] = {
                         list_reduce(list_concat([folded], proof), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root
                  FROM final p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, top)
         SELECT *, folded_root = root AS verified FROM done""",
+    "op13_lexical_search": """
+        WITH t AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        d AS (SELECT r, doc_id, len(w) AS n FROM t WHERE len(w) > 0),
+        s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+        q AS MATERIALIZED (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        p AS MATERIALIZED (SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(w) AS w FROM t) WHERE w IN (SELECT w FROM q) GROUP BY ALL),
+        f AS (SELECT w, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY w),
+        z AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+              FROM q JOIN p USING (w) JOIN f USING (w) JOIN d USING (r), s GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+        FROM z JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 10""",
     "op7_line_dedup": """
         WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
         o AS (SELECT doc_id AS doc, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM parts),
