@@ -16,6 +16,7 @@ from quarry.llm import (
     linededup,
     merkle,
     mixing,
+    neighbours,
     ngramjoin,
     quality,
     repeats,
@@ -81,6 +82,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
 
 
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_chat_format": op9_chat_format,
     "op10_repeat_cut": op10_repeat_cut,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_learned_partitions": op12_learned_partitions,
     "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
