@@ -7,10 +7,13 @@ partial + final count per (label, prediction).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import r6
+from quarry.operators.ranking import with_running_sum
 
 
 def confusion_counts(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
@@ -60,3 +63,29 @@ def classification_metrics(
         r6(F.col("weighted_f1")).alias("weighted_f1"),
         r6(1.0 - F.col("weighted_f1")).alias("f1_error"),
     )
+
+
+def area_under_curve(scored: DataFrame, score_col: str, label_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """``group_cols..., n, positives, auc``: the exact area under the ROC curve, ties counted as half.
+
+    Labels above 0.5 are positive; rows with a null score or label take no part. The area is the rank sum of the positives:
+    rows are first counted per (group, score), so a frequent score is one row, and the negatives below a score come from
+    a running sum over the range-sorted scores of all groups. A group of one class has no area (null).
+    """
+    group = list(group_cols)
+    hit = (F.col(label_col) > 0.5).cast("bigint")
+    rows = scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+    per_score = rows.groupBy(*group, F.col(score_col).alias("_score")).agg(
+        F.sum(hit).alias("_up"), F.sum(F.lit(1).cast("bigint") - hit).alias("_down")
+    )
+    below = with_running_sum(per_score, [*group, "_score"], "_down", "_before")
+    # The running sum passes over all groups: within one, the sum at its first score is taken off.
+    totals = below.groupBy(*group).agg(
+        F.sum("_up").alias("p"), F.sum("_down").alias("n"), F.min("_before").alias("start"),
+        F.sum(F.col("_up") * (F.col("_before") + F.col("_down") / F.lit(2.0))).alias("area"),
+    )
+    area = (F.col("area") - F.col("p") * F.col("start")) / (F.col("p") * F.col("n"))
+    return totals.select(
+        *group, (F.col("p") + F.col("n")).alias("n"), F.col("p").alias("positives"),
+        F.when((F.col("p") > 0) & (F.col("n") > 0), r6(area)).alias("auc"),
+    )

@@ -111,12 +111,14 @@ def fold_column(key: str, n_folds: int):
 
 
 def grid_search(train: DataFrame, num_features: Sequence[int], reg_params: Sequence[float],
-                fold_col: str, max_iter: int = 10, parallelism: int | None = None, label_col: str = "label"):
+                fold_col: str, max_iter: int = 10, parallelism: int | None = None, label_col: str = "label",
+                keep_models: bool = False):
     """Cross-validated grid over hash width x regularisation; folds come from ``fold_col``.
 
     The parameter maps of one fold are fitted concurrently (``parallelism``, by
     default one per map up to the cluster's parallelism); each fit is itself a
-    distributed job, so this only overlaps their scheduling gaps.
+    distributed job, so this only overlaps their scheduling gaps. With ``keep_models`` the
+    fitted model carries the model of every fold and parameter map.
     """
     pipeline, tf, lr = text_classifier(max_iter=max_iter, label_col=label_col)
     grid = ParamGridBuilder().addGrid(tf.numFeatures, list(num_features)).addGrid(lr.regParam, list(reg_params)).build()
@@ -128,5 +130,6 @@ def grid_search(train: DataFrame, num_features: Sequence[int], reg_params: Seque
         evaluator=BinaryClassificationEvaluator(labelCol=label_col),
         foldCol=fold_col,
         parallelism=parallelism,
+        collectSubModels=keep_models,
     )
     return cv.fit(train)

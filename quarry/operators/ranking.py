@@ -37,3 +37,24 @@ def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "posi
         .withColumn(out, (F.col("_offset") + F.col("_place")).cast("bigint"))
         .drop("_task", "_place", "_offset")
     )
+
+
+def with_running_sum(df: DataFrame, order: Sequence[Column | str], value: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` over all rows before the row in the global ``order``.
+
+    As in ``with_position`` the rows are range-sorted and written; a task adds up its own rows, and the tasks
+    before it add one number each. ``order`` must be total.
+    """
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    placed = materialize(
+        df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_task", F.spark_partition_id()), "running"
+    )
+    per_task = placed.groupBy("_task").agg(F.sum(value).alias("_n"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_task.select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_task").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.join(F.broadcast(offsets), "_task")  # one row per task of the sort
+        .withColumn(out, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .drop("_task", "_offset")
+    )

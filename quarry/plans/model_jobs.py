@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions import pattern_count, regex_tokens, tolerant_double
 from quarry.operators import features as fx
-from quarry.operators import metrics, models, text
+from quarry.operators import clustering, metrics, models, text, tuning
+from quarry.operators.partitioning import spread, spread_setting
 from quarry.operators.relational import distinct_of, numeric_summary, summary_by_group
 from quarry.plans import analog
 from quarry.sources.tables import Warehouse
@@ -45,7 +46,7 @@ YEAR_INPUTS = ["S_years", "R_years"]
 TREES_INDEXED = 28
 TREES_HASHED = 17
 KMEANS_K = 4
-KMEANS_SEED = 1
+KMEANS_STEPS = 20
 TRAIN_TEST = (0.7, 0.3)
 TRAIN_TEST_HASHED = (0.75, 0.25)
 VOCAB_SIZE = 1500
@@ -55,24 +56,24 @@ GRID_REG_PARAMS = (0.1, 0.01)
 GRID_FOLDS = 3
 
 
-def _partitions(spark: SparkSession) -> int:
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 W2V_PARTITIONS = 8  # Word2Vec trains one model copy per partition and averages them: a fixed parameter
 
 
-def model_input(wh: Warehouse) -> DataFrame:
-    """Filtered star join + double label + a row key, materialised once."""
+def model_rows(wh: Warehouse) -> DataFrame:
+    """Filtered star join + double label + a row key (lazy)."""
     base = analog.client_features(wh)
     # line numbers are 1..7, so order_id * 16 + line_no stays unique per (order,
     # line) and within BIGINT for any order key below 2^59.
-    f = base.select(
+    return base.select(
         (F.col("order_id") * 16 + F.col("line_no")).alias("row_key"),
         tolerant_double("hired").alias("label"),
         *[c for c in base.columns if c != "hired"],
     )
-    return models.fixed_layout(models.materialize(f), "row_key")
+
+
+def model_input(wh: Warehouse) -> DataFrame:
+    """``model_rows``, materialised once."""
+    return models.fixed_layout(models.materialize(model_rows(wh)), "row_key")
 
 
 def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
@@ -197,21 +198,21 @@ def word2vec(wh: Warehouse) -> DataFrame:
     return f.select("row_key", vector_to_array("EducVec").alias("educ_vec"))
 
 
+def _clustered(wh: Warehouse, keep: list[str] | None = None) -> DataFrame:
+    """The cluster of every row of the model input: k-means (k = 4) on the hashed vectors, from farthest-first centres."""
+    hashed = fx.feature_hash(model_rows(wh), HASHED_INPUTS, "features")
+    hashed = fx.sparse_vector_parts(hashed, "features", ["row_key", *(keep or [])])
+    return clustering.kmeans(models.materialize(hashed.drop("size"), "points"), KMEANS_K, "row_key", keep, KMEANS_STEPS)
+
+
 def kmeans(wh: Warehouse) -> DataFrame:
-    """K-means (k=4, seed 1) on the hashed vectors; cluster per row."""
-    hashed = hashed_features(wh)
-    model = models.kmeans(hashed, KMEANS_K, "features", seed=KMEANS_SEED)
-    return model.transform(hashed).select("row_key", "prediction")
+    """The cluster per row."""
+    return _clustered(wh)
 
 
 def cluster_profile(wh: Warehouse) -> DataFrame:
     """Year summaries per cluster, one aggregation pass for all clusters."""
-    return summary_by_group(_clustered(wh), "prediction", YEAR_INPUTS)
-
-
-def _clustered(wh: Warehouse) -> DataFrame:
-    hashed = hashed_features(wh)
-    return models.kmeans(hashed, KMEANS_K, "features", seed=KMEANS_SEED).transform(hashed)
+    return summary_by_group(models.materialize(_clustered(wh, YEAR_INPUTS), "clusters"), "prediction", YEAR_INPUTS)
 
 
 def cluster_values(wh: Warehouse) -> DataFrame:
@@ -221,12 +222,13 @@ def cluster_values(wh: Warehouse) -> DataFrame:
 
 def cluster_combinations(wh: Warehouse) -> DataFrame:
     """The distinct (branch, rank, label, cluster) combinations."""
-    return distinct_of(_clustered(wh), ["Service_B", "Service_R", "label", "prediction"])
+    cols = ["Service_B", "Service_R", "label"]
+    return distinct_of(_clustered(wh, cols), [*cols, "prediction"])
 
 
 def cluster_overall(wh: Warehouse) -> DataFrame:
     """The year summaries over all clusters together."""
-    return numeric_summary(_clustered(wh), YEAR_INPUTS)
+    return numeric_summary(_clustered(wh, YEAR_INPUTS), YEAR_INPUTS)
 
 
 # ---- text model jobs ---------------------------------------------------------
@@ -235,7 +237,7 @@ def cluster_overall(wh: Warehouse) -> DataFrame:
 def _tokenised_docs(wh: Warehouse) -> DataFrame:
     """Pages (the HTML posts) laid out by key first, then tokenised in parallel, then written.
     The tag of a page is the language it declares."""
-    raw = models.stable_layout(wh.pages.select("page_id", "html"), ["page_id"], _partitions(wh.spark))
+    raw = spread(wh.pages.select("page_id", "html"), ["page_id"], spread_setting(wh.spark))
     d = raw.select(
         F.col("page_id").alias("doc_id"),
         F.regexp_extract("html", '<html lang="([a-z]*)"', 1).alias("oneTag"),
@@ -243,7 +245,7 @@ def _tokenised_docs(wh: Warehouse) -> DataFrame:
         pattern_count("html", text.PARAGRAPH_TAG).cast("double").alias("numParagraphs"),
         pattern_count("html", text.LINK_TAG).cast("double").alias("Linksnum"),
     ).withColumn("LenBody", F.size("Words").cast("double"))
-    return models.materialize(d)
+    return models.fixed_layout(models.materialize(d), "doc_id")
 
 
 def _tfidf_docs(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -292,17 +294,28 @@ def _labelled_docs(wh: Warehouse) -> DataFrame:
 def logistic_regression(wh: Warehouse) -> DataFrame:
     """Tokenizer -> HashingTF -> LogisticRegression(maxIter=10) on labelled documents."""
     d = _labelled_docs(wh)
-    train = models.materialize(models.stable_layout(d.filter(F.col("split") == "train"), ["doc_id"], _partitions(wh.spark)))
+    train = models.fixed_layout(models.materialize(d.filter(F.col("split") == "train")), "doc_id")
     pipeline, _, _ = models.text_classifier(max_iter=10)
     fitted = pipeline.fit(train)
     out = fitted.transform(d.filter(F.col("split") == "test"))
     return out.select("doc_id", "text", vector_to_array("probability").alias("probability"), "prediction")
 
 
-def grid_search(wh: Warehouse) -> DataFrame:
-    """3 hash widths x 2 penalties, 3 deterministic folds; best model's predictions."""
+def _grid(wh: Warehouse, keep_models: bool = False):
+    """The labelled documents with fold numbers, their laid-out train part, and the grid fitted on it: 3 hash widths x 2 penalties, 3 folds."""
     d = _labelled_docs(wh).withColumn("fold", models.fold_column("doc_id", GRID_FOLDS))
-    train = models.materialize(models.stable_layout(d.filter(F.col("split") == "train"), ["doc_id"], _partitions(wh.spark)))
-    cv = models.grid_search(train, GRID_HASH_SIZES, GRID_REG_PARAMS, "fold", max_iter=10)
-    out = cv.bestModel.transform(d.filter(F.col("split") == "test"))
+    train = models.fixed_layout(models.materialize(d.filter(F.col("split") == "train")), "doc_id")
+    return d, train, models.grid_search(train, GRID_HASH_SIZES, GRID_REG_PARAMS, "fold", max_iter=10, keep_models=keep_models)
+
+
+def grid_search(wh: Warehouse) -> DataFrame:
+    """The best model's predictions on the held-out documents."""
+    d, _, fitted = _grid(wh)
+    out = fitted.bestModel.transform(d.filter(F.col("split") == "test"))
     return out.select("doc_id", vector_to_array("probability")[1].alias("prob_1"), "prediction")
+
+
+def grid_table(wh: Warehouse) -> DataFrame:
+    """The exact area under the curve of every fold, width and penalty, and which parameters are best."""
+    _, train, fitted = _grid(wh, keep_models=True)
+    return tuning.grid_table(train, fitted, "fold")

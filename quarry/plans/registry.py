@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, exact_keys, feature_keys, model_jobs, reports, source_keys, text_reports
+from quarry.plans import analog, basics, exact_keys, feature_keys, learning_keys, model_jobs, reports, source_keys, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,7 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "cluster_overall": _wh(model_jobs.cluster_overall),
     "text_features": _wh(model_jobs.text_features),
     "grid_search": _wh(model_jobs.grid_search),
+    "grid_table": _wh(model_jobs.grid_table),
 }
 
 EXACT_QUERIES: dict[str, QueryFn] = {
@@ -116,6 +117,14 @@ EXACT_QUERIES: dict[str, QueryFn] = {
     "pca_rotation": _wh(exact_keys.pca_rotation),
 }
 
+LEARNING_QUERIES: dict[str, QueryFn] = {
+    "random_split": _wh(learning_keys.random_split),
+    "forest_bags": _wh(learning_keys.forest_bags),
+    "forest_votes": _wh(learning_keys.forest_votes),
+    "logistic_newton": _wh(learning_keys.logistic_newton),
+    "area_under_curve": _wh(learning_keys.area_under_curve),
+}
+
 SOURCE_QUERIES: dict[str, QueryFn] = {
     "scan_csv": _wh(source_keys.scan_csv),
     "scan_csv_headerless": _wh(source_keys.scan_csv_headerless),
@@ -126,6 +135,6 @@ SOURCE_QUERIES: dict[str, QueryFn] = {
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for part in (SOURCE_QUERIES, REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES, EXACT_QUERIES):
+    for part in (SOURCE_QUERIES, REPORT_QUERIES, BASIC_QUERIES, TEXT_QUERIES, FEATURE_QUERIES, MODEL_QUERIES, EXACT_QUERIES, LEARNING_QUERIES):
         out.update(part)
     return out
