@@ -2,8 +2,8 @@
 
 Estimator fits (index labels, scaler moments, PCA covariance) are distributed
 aggregations whose driver-side result is bounded by the number of categories or
-features, never by the number of rows. ``pca`` checks its width first; a word vector
-model holds its vocabulary, the words of ``min_count`` occurrences or more.
+features, never by the number of rows. ``pca`` checks its width first, ``word2vec`` the
+number of words of ``min_count`` occurrences or more, which its training holds.
 """
 
 from __future__ import annotations
@@ -22,23 +22,56 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import hash_fraction_threshold, r6, unit_hash
 from quarry.functions.expressions import HASH_SPACE
+from quarry.operators.models import materialize
 from quarry.operators.ranking import with_position
+from quarry.operators.sampling import fresh
 
-MAX_CATEGORIES = 100_000
 MAX_PCA_WIDTH = 65_535
+MAX_WORDS = 5_000_000
 
 
-def check_category_bound(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
-    """Refuse to index columns whose label lists would not fit the driver."""
-    approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    over = {c: approx[c] for c in cols if approx[c] > max_categories}
-    if over:
-        raise ValueError(f"too many categories to index: {over}")
+class IndexTables:
+    """Category -> index (most frequent = 0, ties alphabetical), one written table per column.
+
+    ``fit`` counts values, sorts the counts over all tasks and writes ``value, index``; ``transform`` joins, so
+    no list of categories is ever held by the driver or a worker and their number is not limited. ``save`` and ``load`` keep
+    a fitted set of tables under a path that Spark can write.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame]) -> None:
+        self.tables = tables
+
+    @classmethod
+    def fit(cls, df: DataFrame, cols: Sequence[str]) -> IndexTables:
+        tables = {}
+        for c in cols:
+            counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            index = with_position(counts, [F.desc("n"), F.asc("value")], "index")
+            tables[c] = materialize(index.select("value", F.col("index").cast("double").alias("index")), "index")
+        return cls(tables)
+
+    def transform(self, df: DataFrame, suffix: str = "Index") -> DataFrame:
+        """``df`` with ``<column><suffix>`` per column; a NULL category or one that ``fit`` did not see fails."""
+        for c, table in self.tables.items():
+            value, index = (fresh(x, df.columns) for x in ("value", "index"))
+            bad = F.raise_error(F.concat(F.lit(f"no index in {c} for "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))).cast("double")
+            joined = df.join(table.select(F.col("value").alias(value), F.col("index").alias(index)), F.col(c) == F.col(value), "left")
+            df = joined.select(*df.columns, F.coalesce(F.col(index), bad).alias(c + suffix))
+        return df
+
+    def save(self, path: str) -> None:
+        for c, table in self.tables.items():
+            table.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{c}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, cols: Sequence[str]) -> IndexTables:
+        return cls({c: spark.read.parquet(f"{path.rstrip('/')}/{c}") for c in cols})
 
 
 def string_index(
@@ -46,19 +79,8 @@ def string_index(
     input_cols: Sequence[str],
     suffix: str = "Index",
 ) -> DataFrame:
-    """Category -> index (most frequent = 0, ties alphabetical); a NULL category fails.
-
-    The index is a table: counts per value, sorted over all tasks with positions, joined
-    back, so no list of categories is ever held by the driver.
-    """
-    for c in input_cols:
-        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-        index = with_position(counts, [F.desc("_n"), F.asc("_value")], "_index").select("_value", "_index")
-        missing = F.raise_error(F.lit(f"NULL category in {c}")).cast("double")
-        df = df.join(index, F.col(c) == F.col("_value"), "left").select(
-            *df.columns, F.coalesce(F.col("_index").cast("double"), missing).alias(c + suffix)
-        )
-    return df
+    """Category -> index (most frequent = 0, ties alphabetical); a NULL category fails."""
+    return IndexTables.fit(df, input_cols).transform(df, suffix)
 
 
 def one_hot(df: DataFrame, input_cols: Sequence[str], suffix: str = "Vec", drop_last: bool = True) -> DataFrame:
@@ -122,11 +144,16 @@ def word2vec(
     seed: int = 42,
     num_partitions: int = 8,
     max_iter: int = 1,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
-    """Word vectors; a row's vector is the mean of its words' vectors.
+    """Word vectors; a row's vector (an array) is the mean of its words' vectors.
 
-    ``num_partitions`` > 1 so that training is not one task over all sentences.
+    ``num_partitions`` > 1 so that training is not one task over all sentences. Training holds the words of ``min_count``
+    occurrences or more on the driver; more than ``max_words`` of them are refused. The vectors are then a written table.
     """
+    words = df.select(F.explode(input_col).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    if words.limit(max_words + 1).count() > max_words:
+        raise ValueError(f"more than {max_words} words occur {min_count} times or more")
     model = Word2Vec(
         inputCol=input_col,
         outputCol=output_col,
@@ -135,8 +162,25 @@ def word2vec(
         seed=seed,
         numPartitions=num_partitions,
         maxIter=max_iter,
-    ).fit(df)
-    return model.transform(df)
+    ).fit(df.select(input_col))
+    return mean_vectors(df, input_col, output_col, materialize(model.getVectors(), "word-vectors"), vector_size)
+
+
+def mean_vectors(df: DataFrame, input_col: str, output_col: str, vectors: DataFrame, size: int) -> DataFrame:
+    """``df`` with ``output_col``: the sum of the vectors (``word, vector``) of a row's words over the number of its words.
+
+    As in ``Word2VecModel.transform`` words without a vector count as zeros and a row without words gets zeros; a null list gives null.
+    The vectors are joined to the words of the different lists, so no worker holds all vectors and a frequent list is averaged once.
+    """
+    words, word = fresh("words", df.columns), F.explode("words").alias("word")
+    lists = df.select(F.col(input_col).alias("words")).where(F.size("words") > 0).distinct()
+    found = lists.select("words", word).join(vectors, "word").groupBy("words").agg(Summarizer.sum(F.col("vector")).alias("total"))
+    found = found.select(F.col("words").alias(words), vector_to_array("total").alias("_total"))
+    zeros = F.array_repeat(F.lit(0.0), size)
+    mean = F.coalesce(F.transform("_total", lambda x: x / F.size(input_col)), zeros)
+    return df.join(found, F.col(input_col) == F.col(words), "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], F.when(F.col(input_col).isNotNull(), mean).alias(output_col)
+    )
 
 
 def flatten_vector(df: DataFrame, vector_col: str, names: Sequence[str], keep: Sequence[str], round6: bool = True) -> DataFrame:

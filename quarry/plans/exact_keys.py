@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import r6
+from quarry.operators import decomposition, models
 from quarry.operators import features as fx
-from quarry.operators import models
 from quarry.plans import feature_keys, model_jobs, text_reports
 from quarry.sources.tables import Warehouse
 
@@ -49,3 +49,23 @@ def pca_rotation(wh: Warehouse) -> DataFrame:
     squares = F.transform(vector_to_array("components"), lambda x: x * x)
     total = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
     return turned.select("page_id", F.round(total).cast("bigint").alias("squared_length"))
+
+
+def pca_components(wh: Warehouse) -> DataFrame:
+    """Weights and variances of all three components of the shape columns, by block power iteration."""
+    points = fx.sparse_vector_parts(feature_keys.shape_vectors(wh), "shape", ["page_id"])
+    found = decomposition.principal_components(models.materialize(points, "shape"), len(feature_keys.SHAPE_COLS))
+    rows = [
+        (j + 1, feature_keys.SHAPE_COLS[slot], float(found.weights[i, j]), float(found.variances[j]))
+        for i, slot in enumerate(found.slots.tolist())
+        for j in range(len(found.variances))
+    ]
+    table = wh.spark.createDataFrame(rows, "component int, input string, weight double, variance double")
+    return table.select("component", "input", r6("weight").alias("weight"), r6("variance").alias("variance"))
+
+
+def pca_hashed(wh: Warehouse) -> DataFrame:
+    """The first three components of the 2^18-wide hashed model columns per row; no covariance is built."""
+    points = models.materialize(model_jobs.feature_hash(wh), "hashed")
+    found = decomposition.principal_components(points, 3)
+    return decomposition.project(points, found, ["row_key"])

@@ -18,7 +18,6 @@ from pyspark.ml.feature import (
     CountVectorizerModel,
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
     VectorAssembler,
     Word2Vec,
 )
@@ -77,8 +76,8 @@ def model_input(wh: Warehouse) -> DataFrame:
 
 
 def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
-    """Unfitted stages, fitted together: index -> one-hot -> (word vectors) ->
-    assemble -> scale.
+    """Unfitted stages, fitted together: one-hot (of indexed columns) -> (word vectors) ->
+    assemble -> scale. The indexes come from ``features.IndexTables``.
 
     Variant A: one-hot drops the last category, adds the education word vector,
     leaves the year columns out. Variant B: all categories kept, year columns in,
@@ -86,7 +85,6 @@ def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
     """
     indexed = [c + "Index" for c in CATEGORIES]
     stages = [
-        StringIndexer(inputCols=CATEGORIES, outputCols=indexed, stringOrderType="frequencyDesc"),
         OneHotEncoder(inputCols=indexed, outputCols=[c + "Vec" for c in indexed], dropLast=(variant == "A")),
     ]
     inputs = list(NUMERIC_INPUTS) + [c + "Vec" for c in indexed]
@@ -104,8 +102,7 @@ def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
 def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
     """The indexed-feature model input, split 0.7 / 0.3 by the row-key hash."""
     f = model_input(wh)
-    fx.check_category_bound(f, CATEGORIES)
-    f = f.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
+    f = fx.IndexTables.fit(f, CATEGORIES).transform(f).withColumn("EducWords", analog.education_tokens(F.col("Educ")))
     fitted = indexed_pipeline(variant, W2V_PARTITIONS).fit(f)
     out = fitted.transform(f).select("row_key", "label", "features")
     return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
@@ -195,7 +192,7 @@ def word2vec(wh: Warehouse) -> DataFrame:
     """Education word lists -> mean word vector (100 dims)."""
     f = model_input(wh).withColumn("EducWords", analog.education_tokens(F.col("Educ")))
     f = fx.word2vec(f, "EducWords", "EducVec", min_count=5, num_partitions=W2V_PARTITIONS)
-    return f.select("row_key", vector_to_array("EducVec").alias("educ_vec"))
+    return f.select("row_key", F.col("EducVec").alias("educ_vec"))
 
 
 def _clustered(wh: Warehouse, keep: list[str] | None = None) -> DataFrame:

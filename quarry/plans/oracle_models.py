@@ -208,3 +208,34 @@ b AS (SELECT *, coalesce(sum(down) OVER (PARTITION BY lang ORDER BY score ROWS B
 SELECT lang, CAST(sum(up + down) AS BIGINT) AS n, CAST(sum(up) AS BIGINT) AS positives,
        CASE WHEN sum(up) > 0 AND sum(down) > 0 THEN {R6('sum(up * (below + down / 2)) / (sum(up) * sum(down))')} END AS auc
 FROM b GROUP BY lang"""
+
+# ---- components of three columns by power iteration ------------------------------
+
+_XYZ = ["len_body", "num_paragraphs", "num_links"]
+
+
+def _power(name: str, matrix: str, steps: int) -> list[str]:
+    """CTEs ``{name} (l, x, y, z)``: largest eigenvalue and unit vector of the symmetric ``matrix (a, b, c, e, f, k)``."""
+    return [
+        f"""{name}_step AS (SELECT 0 AS i, 1.0::DOUBLE AS x, 0.9::DOUBLE AS y, 0.8::DOUBLE AS z UNION ALL
+  SELECT i + 1, u / sqrt(u * u + v * v + w * w), v / sqrt(u * u + v * v + w * w), w / sqrt(u * u + v * v + w * w) FROM (
+  SELECT i, a * x + b * y + c * z AS u, b * x + e * y + f * z AS v, c * x + f * y + k * z AS w FROM {name}_step, {matrix} WHERE i < {steps}))""",
+        f"""{name} AS (SELECT a * x * x + e * y * y + k * z * z + 2 * (b * x * y + c * x * z + f * y * z) AS l, x, y, z
+  FROM {name}_step, {matrix} WHERE i = {steps})""",
+    ]
+
+
+MODEL_KEYS["pca_components"] = "WITH RECURSIVE " + ",\n".join([
+    SHAPE,
+    "m AS (SELECT " + ", ".join(f"covar_samp({p}, {q}) AS {n}" for n, p, q in zip(
+        "abcefk", [_XYZ[0]] * 3 + [_XYZ[1]] * 2 + [_XYZ[2]], [*_XYZ, *_XYZ[1:], _XYZ[2]])) + " FROM shape)",
+    *_power("p1", "m", 400),
+    """m2 AS (SELECT a - l * x * x AS a, b - l * x * y AS b, c - l * x * z AS c, e - l * y * y AS e, f - l * y * z AS f, k - l * z * z AS k FROM m, p1)""",
+    *_power("p2", "m2", 400),
+    """p3 AS (SELECT a + e + k - p1.l - p2.l AS l, p1.y * p2.z - p1.z * p2.y AS x, p1.z * p2.x - p1.x * p2.z AS y, p1.x * p2.y - p1.y * p2.x AS z FROM m, p1, p2)""",
+    "every AS (SELECT 1 AS component, * FROM p1 UNION ALL SELECT 2, * FROM p2 UNION ALL SELECT 3, * FROM p3)",
+    "turned AS (SELECT component, l, x, y, z, CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN x WHEN abs(y) >= abs(z) THEN y ELSE z END AS lead FROM every)",
+]) + "\n" + " UNION ALL ".join(
+    f"SELECT component, '{c}' AS input, {R6(f'CASE WHEN lead < 0 THEN -{v} ELSE {v} END')} AS weight, {R6('l')} AS variance FROM turned"
+    for c, v in zip(_XYZ, "xyz")
+)

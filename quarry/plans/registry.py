@@ -115,6 +115,8 @@ EXACT_QUERIES: dict[str, QueryFn] = {
     "feature_hash_slots": _wh(exact_keys.feature_hash_slots),
     "decision_stump": _wh(exact_keys.decision_stump),
     "pca_rotation": _wh(exact_keys.pca_rotation),
+    "pca_components": _wh(exact_keys.pca_components),
+    "pca_hashed": _wh(exact_keys.pca_hashed),
 }
 
 LEARNING_QUERIES: dict[str, QueryFn] = {

@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Word2Vec
 from pyspark.sql import functions as F
 
-from quarry.operators import clustering, forest, logistic, metrics, models, sampling, tuning
+from quarry.operators import clustering, decomposition, forest, logistic, metrics, models, sampling, tuning
 from quarry.operators import features as fx
 from quarry.plans import learning_keys, model_jobs
 
@@ -132,3 +133,45 @@ def _under(spark, value, run):
 @pytest.mark.parametrize("job", [learning_keys.random_split, learning_keys.forest_votes, model_jobs.kmeans])
 def test_same_rows_under_two_split_sizes(spark, wh, job):
     assert _under(spark, "134217728", lambda: job(wh)) == _under(spark, "16384", lambda: job(wh))
+
+
+def test_components_equal_a_full_decomposition(spark):
+    rng = np.random.default_rng(9)
+    x = np.where(rng.random((300, 40)) < 0.3, rng.normal(size=(300, 40)) * np.linspace(6, 0.5, 40) ** 2, 0.0)
+    rows = [(i, np.flatnonzero(r).tolist(), r[r != 0].tolist()) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, indices array<int>, values array<double>").repartition(4)
+    found = decomposition.principal_components(df, 3, steps=40)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    assert np.allclose(found.variances, values[::-1][:3])
+    for j in range(3):
+        assert abs(abs(found.weights[:, j] @ vectors[found.slots, -1 - j]) - 1) < 1e-6
+    got = {r.id: r.components for r in decomposition.project(df, found, ["id"]).collect()}
+    assert np.allclose([got[i] for i in range(300)], x[:, found.slots] @ found.weights)
+    with pytest.raises(ValueError):
+        decomposition.principal_components(df, 41)
+
+
+def test_mean_vectors_equal_the_model(spark):
+    lists = [["a", "b", "a"], ["b"], [], ["unseen", "a"], ["a", "b", "a"]] * 6
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(lists)], "id long, words array<string>")
+    model = Word2Vec(inputCol="words", outputCol="v", vectorSize=4, minCount=7, seed=3).fit(df)
+    want = {r.id: list(r.v) for r in model.transform(df).collect()}
+    got = fx.mean_vectors(df.union(spark.createDataFrame([(99, None)], df.schema)), "words", "out", model.getVectors(), 4)
+    got = {r.id: r.out for r in got.collect()}
+    assert got.pop(99) is None and got.keys() == want.keys()
+    assert all(np.allclose(got[i], want[i], atol=1e-7) for i in want)
+    with pytest.raises(ValueError):
+        fx.word2vec(df, "words", "v", min_count=1, max_words=2)
+
+
+def test_index_tables_have_no_category_limit_and_survive_saving(spark, tmp_path):
+    df = spark.range(250_000).select((F.col("id") % 200_000).cast("string").alias("value"))
+    tables = fx.IndexTables.fit(df, ["value"])
+    tables.save(str(tmp_path / "tables"))
+    again = fx.IndexTables.load(spark, str(tmp_path / "tables"), ["value"])
+    got = again.transform(df).agg(F.countDistinct("valueIndex"), F.max("valueIndex"), F.count(F.lit(1))).first()
+    assert tuple(got) == (200_000, 199_999.0, 250_000)
+    first = again.transform(spark.createDataFrame([("0",)], "value string")).first()
+    assert first.valueIndex == 0  # of those that occur twice, the first by name
+    with pytest.raises(Exception, match="no index"):
+        again.transform(spark.createDataFrame([("x",)], "value string")).collect()
