@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.sampling import fresh
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -64,48 +67,37 @@ def count_many_to_many(
     )
 
 
-DEFAULT_MAX_HOT_KEYS = 10_000
+MAX_SALTS = 4096
 
 
-def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list:
-    """Key values held by at least ``min_rows`` fact rows.
+def hot_keys(fact: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
+    """``hot_key, salts``: the keys of more than ``rows_per_salt`` fact rows and how many tasks each should be dealt to.
 
-    One pass over the key column alone (partial + final count). At most
-    total_rows / min_rows keys can qualify; the list is size-checked before it
-    is brought to the driver.
+    One pass over the key column alone (partial + final count). The table has fewer than
+    rows / rows_per_salt rows; it is joined, never collected.
     """
-    counts = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter((F.col("_n") >= min_rows) & F.col("_k").isNotNull()).select("_k")
-    if not is_bounded(hot, max_keys):
-        raise ValueError(f"more than {max_keys} keys hold {min_rows}+ rows; raise min_rows")
-    return [r["_k"] for r in hot.collect()]
+    counts = fact.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    salts = F.least(F.ceil(F.col("n") / rows_per_salt), F.lit(MAX_SALTS)).cast("int").alias("salts")
+    return counts.where((F.col("n") > rows_per_salt) & F.col("hot_key").isNotNull()).select("hot_key", salts)
 
 
-def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    hot: Sequence,
-    buckets: int,
-    how: str = "inner",
-) -> DataFrame:
-    """Equi-join that spreads each hot key over ``buckets`` tasks.
+def salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Equi-join that spreads each hot key (``hot_keys``) over as many tasks as it has salts.
 
     Fact rows of a hot key get a salt from a hash of their content
     (deterministic, so a retried task routes every row the same way); the
     dimension rows of that key are replicated once per salt. Other keys keep
-    salt 0 and join unchanged. The fact is read once and the result equals the
-    plain join; only the hot keys' dimension rows are copied ``buckets`` times.
+    salt 0 and join unchanged. The result equals the plain join; only the hot keys' dimension
+    rows are copied. Fact rows equal in all columns share a salt.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salting replicates dimension rows: only inner and left-side joins stay exact")
-    if not hot or buckets <= 1:
-        return fact.join(dim, F.col(fact_key) == F.col(dim_key), how)
-    hot = list(hot)
-    salt = F.when(F.col(fact_key).isin(hot), F.pmod(F.xxhash64(*fact.columns), F.lit(buckets))).otherwise(F.lit(0))
-    f = fact.withColumn("_salt_f", salt.cast("int"))
-    copies = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    d = dim.withColumn("_salt_d", F.explode(copies))
-    cond = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt_f") == F.col("_salt_d"))
-    return f.join(d, cond, how).drop("_salt_f", "_salt_d")
+    every = [*fact.columns, *dim.columns]
+    names = [fresh(n, every) for n in ("hot_key", "salts", "salt", "salt_of_dim")]
+    hot_key, salts, salt, dim_salt = names
+    table = hot.toDF(hot_key, salts)
+    some = F.coalesce(F.col(salts), F.lit(1))
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    f = fact.join(table, F.col(fact_key) == F.col(hot_key), "left").withColumn(salt, F.pmod(content, some).cast("int")).drop(hot_key, salts)
+    d = dim.join(table, F.col(dim_key) == F.col(hot_key), "left").withColumn(dim_salt, F.explode(F.sequence(F.lit(0), some - 1))).drop(hot_key, salts)
+    return f.join(d, (F.col(fact_key) == F.col(dim_key)) & (F.col(salt) == F.col(dim_salt)), how).drop(salt, dim_salt)

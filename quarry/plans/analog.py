@@ -21,6 +21,8 @@ Mapping (one frame per warehouse table; all lazy):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,8 +119,7 @@ def statuses_with_label(keep) -> list[str]:
 
 def client_star(
     wh: Warehouse,
-    hot_rows: int | None = None,
-    salt_buckets: int = 64,
+    rows_per_salt: int | None = None,
     statuses: list[str] | None = None,
 ) -> DataFrame:
     """Fact lineitem joined to its dimensions, all analog columns, no filter.
@@ -128,7 +129,7 @@ def client_star(
     to ``orders`` first, which is a quarter of the fact's size, so the
     fact-sized intermediate is shuffled only twice (on the order key, then on
     the part key) instead of three times. AQE splits skewed keys in both joins;
-    with ``hot_rows`` set, keys holding that many fact rows are also salted
+    with ``rows_per_salt`` set, keys of more fact rows than that are also salted
     explicitly (``joins.salted_join``), which does not depend on AQE.
     Catalyst prunes every column the caller does not select. ``statuses``
     restricts the orders scan to those status codes (a pushed-down IN filter):
@@ -147,15 +148,13 @@ def client_star(
     cust = c.join(wh.nation.select("n_nationkey", "n_name", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     cust = cust.join(wh.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     order_side = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    if hot_rows is None:
+    if rows_per_salt is None:
         star = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey")).join(
             p, F.col("l_partkey") == F.col("p_partkey")
         )
     else:
-        by_order = salted_join(li, order_side, "l_orderkey", "o_orderkey",
-                               hot_keys(li, "l_orderkey", hot_rows), salt_buckets)
-        star = salted_join(by_order, p, "l_partkey", "p_partkey",
-                           hot_keys(li, "l_partkey", hot_rows), salt_buckets)
+        by_order = salted_join(li, order_side, "l_orderkey", "o_orderkey", hot_keys(li, "l_orderkey", rows_per_salt))
+        star = salted_join(by_order, p, "l_partkey", "p_partkey", hot_keys(li, "l_partkey", rows_per_salt))
     return star.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -210,10 +209,19 @@ def _model_label_ok(label: str) -> bool:
         return False
 
 
-def client_features(wh: Warehouse) -> DataFrame:
+def client_features(wh: Warehouse, rows_per_salt: int | None = None) -> DataFrame:
     """The filtered star join: the model input of the hiring jobs. The statuses
     whose label passes the filter are also pushed into the orders scan."""
-    return model_filter(client_star(wh, statuses=statuses_with_label(_model_label_ok)))
+    return model_filter(client_star(wh, rows_per_salt, statuses_with_label(_model_label_ok)))
+
+
+SALT_ROWS = 20
+
+
+def client_features_salted(wh: Warehouse) -> DataFrame:
+    """J4 with hot keys salted: every order or part of more than 20 fact rows counts as hot here,
+    so that tables of any size have some."""
+    return client_features(wh, SALT_ROWS)
 
 
 def education_tokens(c: Column) -> Column:
@@ -221,17 +229,13 @@ def education_tokens(c: Column) -> Column:
     return F.split(strip_brackets(c), ", ", -1)
 
 
-def register_warehouse_views(wh: Warehouse, prefix: str = "dw_") -> dict[str, str]:
-    """Register the analog tables as temp views for SQL text (view names ignore case)."""
-    frames = {
-        "hires": hires(wh),
-        "bio": bio(wh),
-        "communication": communication(wh),
-        "activities": activities(wh),
-        "fact": client_star(wh).select("order_id", "line_no", "S_years", "R_years"),
+def warehouse_views(wh: Warehouse, label: float | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The analog tables by name, each built when called. With ``label`` the hires are those of that label, tested on the
+    label and, pushed into the scan, on the status it comes from."""
+    return {
+        "hires": lambda: hires(wh) if label is None else hires_with_label(wh, label),
+        "bio": lambda: bio(wh),
+        "communication": lambda: communication(wh),
+        "activities": lambda: activities(wh),
+        "star": lambda: client_star(wh, statuses=None if label is None else statuses_with_label_value(label)),
     }
-    names = {}
-    for name, df in frames.items():
-        df.createOrReplaceTempView(prefix + name)
-        names[name] = prefix + name
-    return names

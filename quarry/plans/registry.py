@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import analog, basics, exact_keys, feature_keys, learning_keys, model_jobs, reports, source_keys, text_reports
+from quarry.plans import analog, basics, exact_keys, feature_keys, learning_keys, model_jobs, reports, source_keys, sql_reports, text_reports
 from quarry.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +35,8 @@ REPORT_QUERIES: dict[str, QueryFn] = {
     "star_join_wide": _wh(reports.star_join_wide),
     "filter_join_project": _wh(reports.filter_join_project),
     "star_join_features": _wh(analog.client_features),
-    "sql_hired_by_branch": _wh(reports.sql_hired_by_branch),
-}
+    "star_join_salted": _wh(analog.client_features_salted),
+} | {name: _wh(report) for name, report in sql_reports.REPORTS.items()}
 
 
 BASIC_QUERIES: dict[str, QueryFn] = {

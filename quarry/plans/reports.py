@@ -129,19 +129,3 @@ def filter_join_project(wh: Warehouse, director: str = "Brand#13") -> DataFrame:
         .join(ratings, "movie_id")
         .select("movie_id", "director", "user_id", "rating")
     )
-
-
-def sql_hired_by_branch(wh: Warehouse) -> DataFrame:
-    """The hires-per-branch report as SQL text over registered views
-    (``try_cast`` instead of the implicit cast, which ANSI mode rejects)."""
-    v = analog.register_warehouse_views(wh)
-    return wh.spark.sql(
-        f"""
-        SELECT count(hires.id) AS hired, bio.service_branch
-        FROM {v['hires']} hires
-        JOIN {v['bio']} bio ON bio.client_id = hires.client_id
-        WHERE try_cast(hires.hired AS DOUBLE) = 1
-        GROUP BY bio.service_branch
-        ORDER BY hired ASC
-        """
-    )

@@ -7,8 +7,12 @@ private temporary folder when the session runs in local mode (tests).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +53,9 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM: a local folder is shared by all tasks (``local-cluster`` has executors of its own)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -81,7 +87,54 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+#: Paths of written tables: those of the innermost scope, and those of no scope.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+_unscoped: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared checkpoint folder."""
+    """A fresh, unused path below the shared checkpoint folder. What is written there belongs to the scratch scope
+    around the call, or to the process: it is removed at the end of either."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/quarry-{label}-{uuid.uuid4().hex}"
+    path = f"{root}/quarry-{label}-{uuid.uuid4().hex}"
+    paths = _scope.get()
+    (_unscoped if paths is None else paths).append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables and files that queries called inside write; they are removed at the end.
+
+    Queries are lazy and read their intermediate tables when the result is computed, so that must happen
+    inside as well: ``with scratch_scope(spark): query(spark, sf_dir).write...``. Scopes may be nested.
+    """
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        paths = _scope.get() or []
+        _scope.reset(token)
+        remove_scratch(spark, paths)
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete the paths through Hadoop's file system, which also reaches shared stores. A Spark Connect client has none and leaves them."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().newConfiguration(spark.sparkContext._jsc.sc().conf())
+    except Exception:  # noqa: BLE001 - no JVM on the client, or the session has ended
+        return
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    paths.clear()
+
+
+def _remove_unscoped() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _unscoped:
+        remove_scratch(spark, _unscoped)
+
+
+atexit.register(_remove_unscoped)

@@ -111,9 +111,10 @@ def test_spread_goes_by_its_argument_alone(spark):
 def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
     fact = _fact_with_hot_key(spark)  # key 1 holds a third of the rows
     dim = spark.createDataFrame([(k, "n" + str(k)) for k in range(0, 12)], "dk long, name string")
+    n = fact.where("k = 1").count()
     hot = joins.hot_keys(fact, "k", 50)
-    assert hot == [1]
-    salted = joins.salted_join(fact, dim, "k", "dk", hot, buckets=8)
+    assert [tuple(r) for r in hot.collect()] == [(1, -(-n // 50))]
+    salted = joins.salted_join(fact, dim, "k", "dk", hot)
     plain = fact.join(dim, F.col("k") == F.col("dk"))
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     assert salted.columns == plain.columns
@@ -122,17 +123,19 @@ def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
     assert f.filter("k = 1").select("s").distinct().count() > 4
 
 
-def test_hot_keys_refuses_an_unbounded_list(spark):
-    import pytest
-
-    with pytest.raises(ValueError):
-        joins.hot_keys(spark.range(100).withColumnRenamed("id", "k"), "k", 1, max_keys=10)
+def test_salted_left_joins_keep_rows_without_a_match_and_names_do_not_clash(spark):
+    fact = spark.createDataFrame([(k, i, "h") for i, k in enumerate([1] * 40 + [2, 3, None])], "k long, salt long, hot_key string")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "dk long, salts string")
+    hot = joins.hot_keys(fact, "k", 7)
+    for how in ("left", "left_semi", "left_anti"):
+        got, want = joins.salted_join(fact, dim, "k", "dk", hot, how), fact.join(dim, F.col("k") == F.col("dk"), how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_salted_star_join_matches_default(wh):
     from quarry.plans import analog
 
     plain = analog.model_filter(analog.client_star(wh))
-    salted = analog.model_filter(analog.client_star(wh, hot_rows=3, salt_buckets=4))
+    salted = analog.model_filter(analog.client_star(wh, rows_per_salt=3))
     key = ["order_id", "line_no", "S_years", "R_years", "Educ"]
     assert sorted(map(tuple, salted.select(*key).collect())) == sorted(map(tuple, plain.select(*key).collect()))
