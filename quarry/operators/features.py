@@ -115,6 +115,48 @@ def feature_hash(
     return FeatureHasher(inputCols=list(input_cols), outputCol=output_col, numFeatures=num_features).transform(df)
 
 
+class SlotBundles:
+    """Hashed text columns as one ordered code each, for tree learners that bin every slot of a row.
+
+    A text column sets exactly one of its slots in a hashed vector, so its slots exclude each other and fit in one
+    feature: the slot's position by the share of positive labels among the training rows that have it (equal shares by slot),
+    the order in which a split on two classes is sought anyway. A row then has as many features as columns, however many
+    names there are. Codes are written tables (``slot, code``), joined and never collected; a slot that the training rows
+    do not have, and NULL, are code -1. Slots that two columns share by a hash collision stay apart.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame], num_features: int) -> None:
+        self.tables, self.num_features = tables, num_features
+
+    @staticmethod
+    def with_slots(df: DataFrame, cols: Sequence[str], num_features: int = 1 << 18, suffix: str = "Slot") -> DataFrame:
+        """``df`` with the hashed slot of every text column (NULL for NULL)."""
+        for c in cols:
+            vector = fresh("vector", df.columns)
+            hashed = feature_hash(df, [c], vector, num_features)
+            df = hashed.withColumn(c + suffix, F.get(F.unwrap_udt(F.col(vector))["indices"], F.lit(0))).drop(vector)
+        return df
+
+    @classmethod
+    def fit(cls, train: DataFrame, cols: Sequence[str], label_col: str, num_features: int = 1 << 18) -> SlotBundles:
+        slots = cls.with_slots(train.select(label_col, *cols), cols, num_features)
+        tables = {}
+        for c in cols:
+            share = slots.where(F.col(c + "Slot").isNotNull()).groupBy(F.col(c + "Slot").alias("slot")).agg(F.avg(label_col).alias("share"))
+            code = with_position(share, ["share", "slot"], "code").select("slot", F.col("code").cast("double").alias("code"))
+            tables[c] = materialize(code, "bundle")
+        return cls(tables, num_features)
+
+    def transform(self, df: DataFrame, suffix: str = "Code") -> DataFrame:
+        """``df`` with ``<column><suffix>`` per text column."""
+        columns, df = df.columns, self.with_slots(df, list(self.tables), self.num_features, "Slot")
+        for c, table in self.tables.items():
+            slot, code = (fresh(x, df.columns) for x in ("slot", "code"))
+            joined = df.join(table.toDF(slot, code), F.col(c + "Slot") == F.col(slot), "left")
+            df = joined.withColumn(c + suffix, F.coalesce(F.col(code), F.lit(-1.0))).drop(slot, code)
+        return df.select(*columns, *[c + suffix for c in self.tables])
+
+
 def active_features(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
     """Keep only the vector slots that vary (variance > 0), in index order.
 
@@ -190,11 +232,13 @@ def flatten_vector(df: DataFrame, vector_col: str, names: Sequence[str], keep: S
     return df.select(*keep, *outs)
 
 
-def vector_long(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFrame:
-    """Vector -> one row per slot ``(keep..., slot, value)``; for narrow vectors only."""
-    return df.select(*keep, F.posexplode(vector_to_array(F.col(vector_col))).alias("slot", "value")).select(
-        *keep, F.col("slot").cast("bigint").alias("slot"), "value"
-    )
+def vector_entries(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFrame:
+    """Vector -> one row per non-zero slot ``(keep..., slot, value)``, never densified; a zero vector is one row with a
+    NULL slot and value 0."""
+    parts = sparse_vector_parts(df, vector_col, keep)
+    entries = F.filter(F.arrays_zip("indices", "values"), lambda e: e["values"] != 0)
+    entry = parts.select(*keep, F.explode_outer(entries).alias("e"))
+    return entry.select(*keep, F.col("e.indices").cast("bigint").alias("slot"), F.coalesce("e.values", F.lit(0.0)).alias("value"))
 
 
 def sparse_vector_parts(df: DataFrame, vector_col: str, keep: Sequence[str]) -> DataFrame:

@@ -137,27 +137,30 @@ def pk_duplicates(wh: Warehouse) -> DataFrame:
 
 
 def fk_orphans(wh: Warehouse) -> DataFrame:
-    """Orphan counts of three foreign keys."""
+    """Orphan counts of three foreign keys that hold, and of one into a part of its table, which has orphans."""
     checks = [
         quality.orphan_count("lineitem.l_orderkey->orders", wh.lineitem, "l_orderkey", wh.orders, "o_orderkey"),
         quality.orphan_count("lineitem.l_partkey->part", wh.lineitem, "l_partkey", wh.part, "p_partkey"),
         quality.orphan_count("orders.o_custkey->customer", wh.orders, "o_custkey", wh.customer, "c_custkey"),
+        quality.orphan_count(
+            "lineitem.l_partkey->part of size over 25", wh.lineitem, "l_partkey", wh.part.where("p_size > 25"), "p_partkey"
+        ),
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
 def self_fk_orphans(wh: Warehouse) -> DataFrame:
     """Each turn after the first must follow an existing turn of its conversation
-    (the first turn has a NULL parent, which is allowed)."""
-    conv = wh.conversations.select("conv_id", "turn")
+    (the first turn has a NULL parent, which is allowed), and, which fails for some, a turn of a user."""
+    conv = wh.conversations.select("conv_id", "turn", "role")
     child = conv.select(
         F.col("conv_id"),
         F.when(F.col("turn") > 0, F.col("turn") - 1).alias("parent_turn"),
     )
-    return quality.orphan_count_multi(
-        "conversations.prev_turn->conversations",
-        child, ["conv_id", "parent_turn"], conv, ["conv_id", "turn"],
+    check = lambda name, parent: quality.orphan_count_multi(
+        f"conversations.prev_turn->{name}", child, ["conv_id", "parent_turn"], parent, ["conv_id", "turn"]
     )
+    return check("conversations", conv).unionByName(check("turns of users", conv.where("role = 'user'")))
 
 
 def not_null_violations(wh: Warehouse) -> DataFrame:

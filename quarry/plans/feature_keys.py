@@ -34,11 +34,11 @@ def string_index(wh: Warehouse) -> DataFrame:
 
 def _one_hot(wh: Warehouse, drop_last: bool) -> DataFrame:
     enc = fx.one_hot(_indexed_orders(wh), ["priority_index"], drop_last=drop_last)
-    return fx.vector_long(enc, "priority_indexVec", ["o_orderkey"])
+    return fx.vector_entries(enc, "priority_indexVec", ["o_orderkey"])
 
 
 def one_hot_drop_last(wh: Warehouse) -> DataFrame:
-    """M7: one-hot, the last category dropped, as (key, slot, value)."""
+    """M7: one-hot, the last category dropped, as (key, slot, value); the last category has no slot."""
     return _one_hot(wh, True)
 
 

@@ -108,11 +108,6 @@ def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
     return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
 
 
-def hashed_features(wh: Warehouse) -> DataFrame:
-    """The 15 model columns hashed into one 2^18-wide sparse vector."""
-    return fx.feature_hash(model_input(wh), HASHED_INPUTS, "features")
-
-
 def _train_test(split: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """The transformed, split rows written once: the iterative fits read the
     train part and every model scores the test part without re-running the
@@ -170,16 +165,16 @@ def hiring_model_hashed(wh: Warehouse) -> DataFrame:
     """Hashed features -> tree and 17-tree forest -> scores.
 
     Spark's tree learner bins every row into a dense ``int[numFeatures]``; at
-    2^18 hashed buckets that is 1 MB per row. The trees therefore read the
-    hashed vector restricted to its non-constant buckets (in index order), which
-    leaves every candidate split of a single tree unchanged: a constant feature
-    can never split.
+    2^18 hashed buckets that is 1 MB per row. The slots of one text column exclude each other, so
+    the trees read each text column as one ordered code of its hashed slot (``features.SlotBundles``, fitted on the training
+    rows): 15 features per row, however many names the columns hold.
     """
-    hashed = fx.active_features(hashed_features(wh), "features", "features_active")
-    split = fx.hash_split(
-        hashed.select("row_key", "label", F.col("features_active").alias("features")), "row_key", TRAIN_TEST_HASHED, ["train", "test"]
-    )
-    return _score_models(split, wh.spark, TREES_HASHED, "hashed")
+    rows = fx.hash_split(model_input(wh), "row_key", TRAIN_TEST_HASHED, ["train", "test"])
+    kinds = dict(rows.dtypes)
+    names = [c for c in HASHED_INPUTS if kinds[c] == "string"]
+    coded = fx.SlotBundles.fit(rows.where("split = 'train'"), names, "label").transform(rows)
+    inputs = [c + "Code" if c in names else c for c in HASHED_INPUTS]
+    return _score_models(fx.assemble(coded, inputs, "features"), wh.spark, TREES_HASHED, "hashed")
 
 
 def feature_hash(wh: Warehouse) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Word2Vec
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quarry.operators import clustering, decomposition, forest, logistic, metrics, models, sampling, tuning
@@ -175,3 +176,25 @@ def test_index_tables_have_no_category_limit_and_survive_saving(spark, tmp_path)
     assert first.valueIndex == 0  # of those that occur twice, the first by name
     with pytest.raises(Exception, match="no index"):
         again.transform(spark.createDataFrame([("x",)], "value string")).collect()
+
+
+def test_bundles_need_one_feature_per_column_however_many_names(spark):
+    rows = [(i, f"name{i % 10_000}", "a" if i % 3 else None, float(i % 10_000 % 10 < 3)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "slot long, name string, other string, label double")
+    bundles = fx.SlotBundles.fit(df, ["name", "other"], "label")
+    coded = bundles.transform(df)
+    assert coded.columns == ["slot", "name", "other", "label", "nameCode", "otherCode"]
+    bounds = coded.groupBy("label").agg(F.min("nameCode").alias("low"), F.max("nameCode").alias("high")).orderBy("label").collect()
+    assert bounds[0].low == 0 and bounds[1].high > 9500  # a few names share a slot
+    x = fx.assemble(coded, ["nameCode", "otherCode"], "x")
+    model = models.decision_tree(x, "label", "x", max_depth=4)
+    right = model.transform(x).where("label = prediction").count()
+    assert model.numFeatures == 2 and right > 0.93 * 20_000
+    unseen = bundles.transform(spark.createDataFrame([(1, "stranger", None, 0.0)], df.schema)).first()
+    assert unseen.otherCode == -1
+
+
+def test_vector_entries_have_only_set_slots(spark):
+    df = spark.createDataFrame([(1, Vectors.sparse(100_000, [7], [2.0])), (2, Vectors.dense([0.0, 3.0])), (3, Vectors.sparse(5, [], []))], ["id", "v"])
+    got = sorted(map(tuple, fx.vector_entries(df, "v", ["id"]).collect()), key=str)
+    assert got == [(1, 7, 2.0), (2, 1, 3.0), (3, None, 0.0)]
