@@ -150,10 +150,11 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
 
 
 def ordered(pieces: DataFrame) -> DataFrame:
-    """Each conversation in one partition, its pieces in order and next to each other."""
-    return pieces.repartition("conv_id").sortWithinPartitions(
-        "conv_id", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), "piece"
-    )
+    """Each conversation in one partition, its pieces in order and next to each other; equal turns by role, then by text as it was."""
+    body = F.substring("piece", F.lit(1), F.char_length("piece") - len(END))
+    text = F.regexp_replace(body, r"(?s)\\(.)", "$1").alias("text")
+    rows = pieces.repartition("conv_id").select("*", text)
+    return rows.sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), "text").drop("text")
 
 
 def parse_piece(piece: str) -> tuple[str, str]:

@@ -128,12 +128,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
         FROM r""",
     "op4_exact_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                vec_id, score
         FROM s QUALIFY rank <= 10""",
     "op9_chat_format": """

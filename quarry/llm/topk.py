@@ -6,8 +6,8 @@ block, multiplies them and keeps each query's best k. The lists then meet ``FAN`
 time until one list per query is left, so no task ever merges all of them.
 
 A row takes part if its id is not null and its vector neither null nor holding a null or
-non-finite component. Of rows that share an id, the smallest vector (array order) counts.
-Only vectors of the same length are compared. Ties go to the smaller id. Scores beyond a
+non-finite component. Each row counts: rows that share an id are candidates of each other, and
+each is its own query. Only vectors of the same length are compared. Ties go to the smaller id. Scores beyond a
 64-bit integer are held at its ends. No queries or no vectors give no rows.
 """
 
@@ -27,7 +27,7 @@ _EXACT = float(1 << 53)
 
 
 def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
-    """``vec_id, v``: one row per id, components ``floor(scale * x)`` as doubles."""
+    """``vec_id, v`` of the rows that take part, components ``floor(scale * x)`` as doubles."""
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     finite = F.forall(
         F.col("x"), lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False))
@@ -35,8 +35,6 @@ def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     return (
         df.select(F.col(id_col).cast("bigint").alias("vec_id"), x.alias("x"))
         .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite)
-        .groupBy("vec_id")
-        .agg(F.min("x").alias("x"))
         .select("vec_id", F.transform("x", lambda c: _floor(c, scale)).alias("v"))
     )
 
@@ -62,24 +60,24 @@ def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     ).reshape(len(q), len(c))
 
 
-def best_of_tile(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's ``k`` best of this tile, its own id left out."""
+def best_of_tile(query_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's ``k`` best of this tile, its own row left out."""
     order = np.argsort(ids, kind="stable")  # then a stable sort by score leaves ties by id
-    ids, c = ids[order], c[order]
+    rows, ids, c = rows[order], ids[order], c[order]
     found = []
     step = max(1, (1 << 21) // max(1, len(ids)))
     for at in range(0, len(q), step):
         s = scores(q[at : at + step], c)
-        for row, query in zip(s, query_ids[at : at + step]):
-            keep = np.flatnonzero(ids != query)
+        for row, query in zip(s, query_rows[at : at + step]):
+            keep = np.flatnonzero(rows != query)
             own = row[keep]
             if len(own) > k:
                 floor = np.partition(own, len(own) - k)[len(own) - k]
                 above = own >= floor
                 keep, own = keep[above], own[above]
             pick = np.argsort(-own, kind="stable")[:k]
-            found.append(pd.DataFrame({"query_id": query, "vec_id": ids[keep[pick]], "score": own[pick]}))
-    return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            found.append(pd.DataFrame({"query": query, "vec_id": ids[keep[pick]], "score": own[pick]}))
+    return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
 
 def _tile(k: int):
@@ -89,12 +87,14 @@ def _tile(k: int):
             same = right[right["w"].map(len) == width]
             if len(same):
                 parts.append(best_of_tile(
-                    some["vec_id"].to_numpy(), np.array(some["v"].tolist(), float).reshape(len(some), width),
-                    same["id"].to_numpy(), np.array(same["w"].tolist(), float).reshape(len(same), width), k,
+                    some["row"].to_numpy(), np.array(some["v"].tolist(), float).reshape(len(some), width),
+                    same["own"].to_numpy(), same["id"].to_numpy(), np.array(same["w"].tolist(), float).reshape(len(same), width), k,
                 ))
-        out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"query": [], "vec_id": [], "score": []})
+        names = dict(zip(left["row"], left["vec_id"]))
+        out["query_id"] = out["query"].map(names)
         out["block"] = int(key[1])
-        return out.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "block": "int64"})
+        return out[["query", "query_id", "vec_id", "score", "block"]].astype("int64")
 
     return run
 
@@ -110,29 +110,31 @@ def top_k(
     vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best rows for every row where ``is_query`` (on ``vec_id``)."""
-    table = materialize(whole_vectors(vectors, id_col, vector_col, scale).withColumn("q", is_query), "topk-vectors")
+    whole = whole_vectors(vectors, id_col, vector_col, scale).withColumn("q", is_query)
+    table = materialize(whole.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     n, m = table.agg(F.count(F.lit(1)), F.count(F.when(F.col("q"), 1))).first()
     n_blocks, q_blocks = max(1, -(-n // vector_block)), max(1, -(-m // query_block))
-    block = lambda count, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(count)).cast("int")
+    block = lambda count, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(count)).cast("int")
     rows = table.select(
         F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_tile"),
         block(n_blocks, 1).alias("v_tile"),
+        F.col("row").alias("own"),
         F.col("vec_id").alias("id"),
         F.col("v").alias("w"),
     )
     queries = table.where("q").select(
-        block(q_blocks, 2).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("vb"), "vec_id", "v"
+        block(q_blocks, 2).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("vb"), "row", "vec_id", "v"
     )
     best = (
         queries.groupBy("qb", "vb")
         .cogroup(rows.groupBy("q_tile", "v_tile"))
-        .applyInPandas(_tile(k), "query_id long, vec_id long, score long, block long")
+        .applyInPandas(_tile(k), "query long, query_id long, vec_id long, score long, block long")
     )
     first = True
     while first or n_blocks > 1:
         first = False
         n_blocks = -(-n_blocks // FAN)
         best = best.withColumn("block", F.floor(F.col("block") / FAN))
-        order = Window.partitionBy("query_id", "block").orderBy(F.desc("score"), "vec_id")
+        order = Window.partitionBy("query", "block").orderBy(F.desc("score"), "vec_id")
         best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
