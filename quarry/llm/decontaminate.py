@@ -18,8 +18,11 @@ The items are read in blocks of at most ``BLOCK_CHARS`` characters (a longer sin
 block); a block's q-gram index is broadcast and the documents are scanned once for it, so a
 benchmark of any size is covered and no document is shuffled.
 
-Nulls and ties: null and empty texts leak nothing; items of a null text or fewer than
-``MIN_ITEM`` characters are not searched for, as chance alone finds them; equal items are
+Items of fewer than ``MIN_ITEM`` characters, which edits would let chance find, are leaked by an exact occurrence that
+neither starts nor ends inside a word; they count as one window.
+
+Nulls and ties: null and empty texts leak nothing; items without an id are searched for as well and reported with a null
+id; items of a null text or without a letter or digit hold nothing to find; equal items are
 reported each. Repeated rows are scanned each by itself. No items or no documents: no leaks.
 """
 
@@ -28,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +52,7 @@ LEAKS = "item_id long, start int, end int, windows int, item_windows int, edits
 
 
 class Index(NamedTuple):
-    ids: np.ndarray  # item id by item number
+    ids: list[int | None]  # item id by item number
     chars: np.ndarray  # all items' characters
     first: np.ndarray  # where each item starts in chars
     codes: np.ndarray  # sorted distinct q-gram codes
@@ -56,6 +60,7 @@ class Index(NamedTuple):
     item: np.ndarray
     place: np.ndarray
     table: np.ndarray  # which hash slots any code has
+    short: list[tuple[int | None, str]]  # id and folded text of the items that are searched for exactly
 
 
 def _chars(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,10 +96,18 @@ def edit_budget(length: int) -> int:
     return max(0, min(int(length * EDIT_SHARE), length // Q - 1))
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    ids, parts, codes, item, place = [], [], [], [], []
+def _folded(data: np.ndarray) -> str:
+    return _FOLD[data].tobytes().decode("utf-8", "surrogatepass")
+
+
+def build_index(items: list[tuple[int | None, str]]) -> Index:
+    none = np.zeros(0, np.int64)
+    ids, parts, codes, item, place, short = [], [none.astype(np.uint32)], [none.astype(np.uint64)], [none], [none], []
     for item_id, text in items:
         data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        if len(text) < MIN_ITEM:
+            short.append((item_id, _folded(data)))
+            continue
         chars, _ = _chars(data, np.array([0, len(data)]))
         own = _codes(chars)
         codes.append(own)
@@ -102,17 +115,47 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         place.append(np.arange(len(own), dtype=np.int64))
         ids.append(item_id)
         parts.append(chars)
-    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    first = np.cumsum([len(p) for p in parts]).astype(np.int64)
     all_codes, item, place = np.concatenate(codes), np.concatenate(item), np.concatenate(place)
     order = np.argsort(all_codes, kind="stable")
     distinct, at = np.unique(all_codes[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[distinct >> np.uint64(64 - TABLE_BITS)] = True
     return Index(
-        np.array(ids, np.int64), np.concatenate(parts), first, distinct, np.append(at, len(order)), item[order], place[order], table
+        ids, np.concatenate(parts), first, distinct, np.append(at, len(order)), item[order], place[order], table, short
     )
 
 
+def _automaton(short: list[tuple[int | None, str]]) -> ahocorasick.Automaton | None:
+    """Finds the texts of ``short``; an entry is the text and the ids of its items."""
+    by_text: dict[str, list[int | None]] = {}
+    for item_id, text in short:
+        by_text.setdefault(text, []).append(item_id)
+    if not by_text:
+        return None
+    found = ahocorasick.Automaton()
+    for text, ids in by_text.items():
+        found.add_word(text, (text, ids))
+    found.make_automaton()
+    return found
+
+
+def find_exact(automaton: ahocorasick.Automaton | None, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int | None, int, int]]:
+    """``row, item id, start, end`` of the short items in a slice; a row and item with several occurrences spans them."""
+    for row in range(len(offsets) - 1 if automaton else 0):
+        text = _folded(data[offsets[row] : offsets[row + 1]])
+        seen: dict[str, list] = {}
+        for last, (item, ids) in automaton.iter(text):
+            start, end = last + 1 - len(item), last + 1
+            inside = start and text[start - 1].isalnum() and item[0].isalnum() or end < len(text) and text[end].isalnum() and item[-1].isalnum()
+            if not inside:
+                span = seen.setdefault(item, [start, end, ids])
+                span[1] = end
+        for start, end, ids in seen.values():
+            for item_id in ids:
+                yield row, item_id, start, end
+
+
 def _hits(index: Index, chars: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text row, place in the slice, item and place in the item of every shared q-gram."""
     codes = _codes(chars)
@@ -317,13 +360,15 @@ def _report(index):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Index(*index.value)
+        automaton = _automaton(found.short)
         for batch in batches:
             rows: list[tuple] = []
             ids = batch.column(1)
             for lo, _, data, offsets in text_slices(batch.column(0)):
                 chars, at = _chars(data, offsets)
-                for row, item, *rest in find_leaks(found, chars, at):
-                    rows.append((ids[lo + row].as_py(), int(found.ids[item]), *rest))
+                for row, item, *rest in find_leaks(found, chars, at) if found.ids else ():
+                    rows.append((ids[lo + row].as_py(), found.ids[item], *rest))
+                rows += [(ids[lo + row].as_py(), item_id, a, b, 1, 1, 0) for row, item_id, a, b in find_exact(automaton, data, offsets)]
             schema = pa.schema([
                 ("doc_id", batch.schema.field(1).type), ("item_id", pa.int64()),
                 *((n, pa.int32()) for n in ("start", "end", "windows", "item_windows", "edits")),
@@ -339,22 +384,22 @@ def _drop(index, text_at: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Index(*index.value)
+        automaton = _automaton(found.short)
         for batch in batches:
             clean = np.ones(batch.num_rows, bool)
             for lo, _, data, offsets in text_slices(batch.column(text_at)):
                 chars, at = _chars(data, offsets)
-                clean[[lo + row for row, *_ in find_leaks(found, chars, at)]] = False
+                clean[[lo + row for row, *_ in (find_leaks(found, chars, at) if found.ids else ())]] = False
+                clean[[lo + row for row, *_ in find_exact(automaton, data, offsets)]] = False
             yield batch.filter(pa.array(clean))
 
     return run
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
-    held: list[tuple[int, str]] = []
+    held: list[tuple[int | None, str]] = []
     chars = 0
-    items = benchmark.select(F.col(id_col).cast("bigint"), F.col(text_col)).where(
-        F.col(id_col).isNotNull() & (F.char_length(text_col) >= MIN_ITEM)
-    )
+    items = benchmark.select(F.col(id_col).cast("bigint"), F.col(text_col)).where(F.col(text_col).rlike(r"[\p{L}\p{N}]"))
     for item_id, text in items.toLocalIterator():
         if held and chars + len(text) > BLOCK_CHARS:
             yield build_index(held)

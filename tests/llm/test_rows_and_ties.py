@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, topk
+from quarry.llm import chat, decontaminate, topk
 
 
 def test_rows_that_share_an_id_are_rows_of_their_own(spark):
@@ -22,3 +22,16 @@ def test_equal_turns_stand_by_their_text_not_by_its_escaped_form(spark):
     got = chat.conversation_digests(chat.write_formatted(turns, spark)).first()
     joined = "".join(f"user\n{t}\n" for t in sorted((t or "" for t in texts), key=lambda t: t.encode()))
     assert got.turns_sha256 == hashlib.sha256(joined.encode()).hexdigest() and got.n_turns == len(texts)
+
+
+def test_short_items_and_items_without_an_id_are_found(spark):
+    long = "a question of more than eighty characters, so that it has windows of its own to be found by, here and there"
+    items = [(1, "Red fox, 22 chars long"), (None, long), (3, "?!"), (4, None), (5, ""), (6, "red FOX, 22 chars\tlong"), (7, "né")]
+    rows = [(1, "x red fox, 22 chars long y"), (2, f"so {long.upper()} it is"), (3, "tred fox, 22 chars long"), (4, None), (5, "?!"), (6, "né, né and née"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start, r.end) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got.keys() == {(1, 1), (1, 6), (2, None), (6, 7)} and got[1, 1] == (2, 24) and got[6, 7] == (0, 6)
+    assert {r.doc_id for r in decontaminate.drop_leaking(docs, bench).collect()} == {3, 4, 5, 7}
+    short = bench.where("item_id = 7")
+    assert {r.doc_id for r in decontaminate.leaks(docs, short).collect()} == {6} and decontaminate.leaks(docs, bench.limit(0)).count() == 0
