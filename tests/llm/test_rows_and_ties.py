@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, topk
+from quarry.llm import chat, decontaminate, linededup, ngramjoin, quality, topk
 
 
 def test_rows_that_share_an_id_are_rows_of_their_own(spark):
@@ -35,3 +35,35 @@ def test_short_items_and_items_without_an_id_are_found(spark):
     assert {r.doc_id for r in decontaminate.drop_leaking(docs, bench).collect()} == {3, 4, 5, 7}
     short = bench.where("item_id = 7")
     assert {r.doc_id for r in decontaminate.leaks(docs, short).collect()} == {6} and decontaminate.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_one_row_of_a_class_stays_whatever_its_id(spark):
+    copy, near, other = "one two three four five six seven eight nine ten " * 3, "ONE two three four five six seven eight nine ten " * 3, "a text of its own that nobody else has in the table"
+    lone = "rows without any id are one class if their texts are alike"
+    rows = [(1, copy, "a"), (1, copy, "b"), (1, copy, "b"), (2, copy, "c"), (2, other, "d"), (None, copy, "e"), (3, near, "f")]
+    rows += [(None, lone, "g"), (None, lone, "g"), (7, "", "h"), (7, "", "h"), (8, None, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string").withColumns({c: F.lit(1) for c in ("marked_id", "text_hash", "root", "n")})
+    got = sorted(((r.doc_id, r.text, r._gone) for r in ngramjoin.keep_one(docs).collect()), key=str)
+    want = [(1, copy, "a"), (2, other, "d"), (None, lone, "g"), (7, "", "h"), (7, "", "h"), (8, None, "i")]
+    assert got == sorted(want, key=str)
+    assert ngramjoin.keep_one(docs).columns == docs.columns and ngramjoin.keep_one(docs.limit(0)).count() == 0
+
+
+def test_added_columns_give_way_to_those_of_the_table(spark):
+    line = "a line of more than twenty characters"
+    rows = [(1, line, 7), (2, line + "\nown words", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int").withColumns({c: F.lit(1) for c in ("n_removed", "emptied", "places", "_doc", "h", "first")})
+    got = {r.doc_id: r.asDict() for r in linededup.dedup_lines(docs).collect()}
+    assert got[2]["text"] == "own words" and (got[2]["n_lines"], got[2]["_n_lines"], got[2]["_n_removed"], got[2]["_emptied"]) == (7, 2, 1, True)
+    assert got[1]["text"] == line and got[1]["_n_removed"] == 0
+
+
+def test_other_column_names(spark):
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "$$$ !!!", 1) for i in range(40)], "key long, body string, drawn_id int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    kept = quality.keep_resampled(docs, labels, id_col="key", text_col="body")
+    assert kept.columns == docs.columns and kept.count() == 20
+    near = ngramjoin.keep_one(docs.select("key", "body"), id_col="key", text_col="body")
+    assert sorted(r.key for r in near.collect()) == sorted([1, *range(0, 40, 2)])
+    done = linededup.dedup_lines(docs, "key", "body", max_edits=1, min_chars=3)
+    assert done.where("n_removed = 0").count() == 2
