@@ -39,6 +39,7 @@ from quarry.llm.bytes_np import IS_WORD, LOWER, Spans, mix64, text_slices
 from quarry.llm.graph import components, spanning_stars
 from quarry.operators.models import materialize
 from quarry.operators.ranking import with_position
+from quarry.operators.sampling import fresh
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES, RUNS, DEPTH, SMALL, TILE = 64, 16, 4, 64, 512
@@ -81,12 +82,12 @@ def _names(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, doc_id -> doc_id, n, s1, s2, sketch."""
+    """text, doc_id, text_hash -> doc_id, text_hash, n, s1, s2, sketch."""
     times = _multipliers(COORDINATES)
     schema = None
     for batch in batches:
         schema = schema or pa.schema([
-            ("doc_id", batch.schema.field(1).type), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.list_(pa.int32())),
+            ("doc_id", batch.schema.field(1).type), ("text_hash", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.list_(pa.int32())),
         ])
         for lo, hi, data, offsets in text_slices(batch.column(0)):
             rows, hashes = shingles(data, offsets)
@@ -102,7 +103,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.arange(0, (hi - lo + 1) * COORDINATES, COORDINATES, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(1).slice(lo, hi - lo), pa.array(size, pa.int32()), pa.array(s1), pa.array(s2),
+                    batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(size, pa.int32()), pa.array(s1), pa.array(s2),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int32).ravel())),
                 ],
                 schema=schema,
@@ -272,14 +273,14 @@ def _verify(threshold: float):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, class_id, n_links, class_size`` for every document; links count copies of the linked texts too."""
+def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents (``doc_id, text_hash, n, s1, s2``; n shingles, the set named by s1 and s2) and, for every set,
+    ``root`` (its class), ``class_id``, ``n_links`` and ``class_size``; both written."""
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
     named = materialize(
-        texts.mapInArrow(_sketch, f"doc_id {kind}, n int, s1 long, s2 long, sketch array<int>"), "join-sketches"
+        texts.select("text", "doc_id", F.xxhash64("text").alias("text_hash"))
+        .mapInArrow(_sketch, f"doc_id {kind}, text_hash long, n int, s1 long, s2 long, sketch array<int>"), "join-sketches"
     )
     distinct = (
         named.where("n > 0")
@@ -334,7 +335,14 @@ def near_duplicates(
     per_class = materialize(
         placed.groupBy("root").agg(F.min("doc").alias("class_id"), F.sum("weight").alias("class_size")), "join-classes"
     )
-    final = materialize(placed.join(per_class, "root").select("s1", "s2", "class_id", "n_links", "class_size"), "join-final")
+    return named, materialize(placed.join(per_class, "root").select("s1", "s2", "root", "class_id", "n_links", "class_size"), "join-final")
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, class_id, n_links, class_size`` for every document; links count copies of the linked texts too."""
+    named, final = _classes(docs, threshold, id_col, text_col)
     known = named.where("n > 0").select("doc_id", "s1", "s2").join(final, ["s1", "s2"])
     alone = named.where("n = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("class_size")
@@ -342,12 +350,27 @@ def near_duplicates(
     return known.select("doc_id", "class_id", "n_links", "class_size").unionByName(alone)
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without those whose class holds a document of smaller id; all columns.
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every class; all columns.
 
-    Documents are told apart by ``doc_id``; rows without an id are kept.
+    The row of smallest id stays (null last; of equal ids, that of the smallest text hash; of rows equal in both, the
+    smallest by all columns). Rows are told apart by id and text, so another text of the same id is not touched, and
+    copies without an id are one class too. A text without words is in no class and stays.
     """
-    gone = materialize(
-        near_duplicates(docs, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct(), "join-gone"
-    )
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    named, final = _classes(docs, threshold, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    rows = named.where("n > 0").join(final.select("s1", "s2", "root"), ["s1", "s2"])
+    rows = materialize(rows.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).withColumn("at", order), "join-rows")
+    first = rows.groupBy("root").agg(F.min("at").alias("first"), F.sum("n").alias("size")).where("size > 1")
+    marked = rows.join(first, "root").select("doc_id", "text_hash", (F.col("at") == F.col("first")).alias("stays"), "n")
+    marked = materialize(marked.where("NOT stays OR n > 1"), "join-marked")
+    id_name, hash_name = fresh("marked_id", docs.columns), fresh("marked_text", docs.columns)
+    same = F.col(id_col).eqNullSafe(F.col(id_name)) & (F.xxhash64(text_col) == F.col(hash_name))
+    some = lambda which: marked.where(which).select("doc_id", "text_hash").toDF(id_name, hash_name)
+    left = docs.join(some("NOT stays"), same, "left_anti")
+    if not marked.where("stays").limit(1).count():
+        return left
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    group = [F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_col).alias("text")]
+    one = left.join(some("stays"), same, "left_semi").groupBy(*group).agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return left.join(some("stays"), same, "left_anti").unionByName(one)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bytes_np import IS_SPACE, LOWER, Spans, text_slices
 from quarry.operators.models import materialize
 from quarry.operators.ranking import with_position
+from quarry.operators.sampling import fresh
 
 BUCKETS = 1 << 15
 MAX_LABELLED = 20_000
@@ -145,12 +146,10 @@ def resample(
     return with_position(noisy, order, "place").where(F.col("place") < keep)
 
 
-def keep_resampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def keep_resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that :func:`resample` draws, all columns; repeated rows are drawn alike."""
-    drawn = resample(docs, labels, **options).select(F.col("doc_id"), F.col("text_hash")).distinct()
-    drawn = materialize(drawn, "quality-drawn")
-    return docs.join(
-        drawn.select(F.col("doc_id").alias("_drawn_id"), F.col("text_hash").alias("_drawn_text")),
-        docs["doc_id"].eqNullSafe(F.col("_drawn_id")) & (F.xxhash64(docs["text"]) == F.col("_drawn_text")),
-        "left_semi",
-    )
+    drawn = resample(docs, labels, id_col=id_col, text_col=text_col, **options).select("doc_id", "text_hash").distinct()
+    id_name, text_name = fresh("drawn_id", docs.columns), fresh("drawn_text", docs.columns)
+    drawn = materialize(drawn, "quality-drawn").toDF(id_name, text_name)
+    same = F.col(id_col).eqNullSafe(F.col(id_name)) & (F.xxhash64(text_col) == F.col(text_name))
+    return docs.join(drawn, same, "left_semi")
