@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import hash_fraction_threshold, r6, unit_hash
@@ -34,6 +34,7 @@ from quarry.operators.sampling import fresh
 
 MAX_PCA_WIDTH = 65_535
 MAX_WORDS = 5_000_000
+ONE_TASK_ROWS = 10_000
 
 
 class IndexTables:
@@ -52,15 +53,21 @@ class IndexTables:
         tables = {}
         for c in cols:
             counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-            index = with_position(counts, [F.desc("n"), F.asc("value")], "index")
-            tables[c] = materialize(index.select("value", F.col("index").cast("double").alias("index")), "index")
+            counts = materialize(counts, "index-counts")
+            order = [F.desc("n"), F.asc("value")]
+            if counts.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:  # the same positions without a range sort
+                tables[c] = counts.select("value", (F.row_number().over(Window.orderBy(*order)) - 1).cast("double").alias("index"))
+            else:
+                index = with_position(counts, order, "index")
+                tables[c] = materialize(index.select("value", F.col("index").cast("double").alias("index")), "index")
         return cls(tables)
 
     def transform(self, df: DataFrame, suffix: str = "Index") -> DataFrame:
         """``df`` with ``<column><suffix>`` per column; a NULL category or one that ``fit`` did not see fails."""
         for c, table in self.tables.items():
             value, index = (fresh(x, df.columns) for x in ("value", "index"))
-            bad = F.raise_error(F.concat(F.lit(f"no index in {c} for "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))).cast("double")
+            message = F.coalesce(F.concat(F.lit(f"no index in {c} for "), F.col(c).cast("string")), F.lit(f"NULL category in {c}"))
+            bad = F.raise_error(message).cast("double")
             joined = df.join(table.select(F.col("value").alias(value), F.col("index").alias(index)), F.col(c) == F.col(value), "left")
             df = joined.select(*df.columns, F.coalesce(F.col(index), bad).alias(c + suffix))
         return df

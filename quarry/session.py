@@ -121,16 +121,21 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
     """Delete the paths through Hadoop's file system, which also reaches shared stores. A Spark Connect client has none and leaves them."""
     try:
-        jvm = spark.sparkContext._jvm
-        conf = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().newConfiguration(spark.sparkContext._jsc.sc().conf())
+        found = [(path, hadoop_fs(spark, path)) for path in paths]
     except Exception:  # noqa: BLE001 - no JVM on the client, or the session has ended
         return
-    for path in paths:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
+    for path, fs in found:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
     paths.clear()
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, with the session's settings."""
+    jvm = spark.sparkContext._jvm
+    conf = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().newConfiguration(spark.sparkContext._jsc.sc().conf())
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+
+
 def _remove_unscoped() -> None:
     spark = SparkSession.getActiveSession()
     if spark is not None and _unscoped:

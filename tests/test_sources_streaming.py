@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from quarry.sources import from_rows, jdbc_options, read_csv, read_json, read_text, schema_report
-from quarry.streaming import start_word_count, start_word_count_to_table
+from quarry.streaming import read_word_counts, start_word_count, start_word_count_to_table
 from quarry.operators import text
 
 
@@ -104,5 +104,9 @@ def test_streaming_word_count_into_a_table_resumes_from_checkpoint(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {r.word: r["count"] for r in spark.read.parquet(out).collect()}
+    got = {r.word: r["count"] for r in read_word_counts(spark, out).collect()}
     assert got == {"p": 2, "q": 2, "r": 1}
+    left = sorted(d for d in os.listdir(out) if d.startswith("version="))
+    assert len(left) == 1
+    os.mkdir(os.path.join(out, "version=99"))  # a writer that died before its version was complete
+    assert {r.word: r["count"] for r in read_word_counts(spark, out).collect()} == got
