@@ -28,7 +28,7 @@ def test_stages_follow_their_decisions(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "conversations"):
+    for t in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = registry.QUERIES[name](spark, SF)
     res = con.execute(registry.ORACLE_SQL[name])
