@@ -193,8 +193,9 @@ def word2vec(wh: Warehouse) -> DataFrame:
 def _clustered(wh: Warehouse, keep: list[str] | None = None) -> DataFrame:
     """The cluster of every row of the model input: k-means (k = 4) on the hashed vectors, from farthest-first centres."""
     hashed = fx.feature_hash(model_rows(wh), HASHED_INPUTS, "features")
-    hashed = fx.sparse_vector_parts(hashed, "features", ["row_key", *(keep or [])])
-    return clustering.kmeans(models.materialize(hashed.drop("size"), "points"), KMEANS_K, "row_key", keep, KMEANS_STEPS)
+    hashed = fx.sparse_vector_parts(hashed, "features", ["row_key", *(keep or [])]).drop("size")
+    points = models.materialize(spread(hashed, ["row_key"], spread_setting(wh.spark)), "points")
+    return clustering.kmeans(points, KMEANS_K, "row_key", keep, KMEANS_STEPS)
 
 
 def kmeans(wh: Warehouse) -> DataFrame:
