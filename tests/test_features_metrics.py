@@ -90,3 +90,15 @@ def test_sparse_vector_parts(spark):
     got = {r.id: (r.size, r.indices, r.values) for r in fx.sparse_vector_parts(df, "v", ["id"]).collect()}
     assert got[1] == (1 << 18, [3, 70000], [2.0, 1.0])
     assert got[2] == (2, [0, 1], [0.5, 0.0])
+
+
+def test_one_hot_keys_give_every_slot(spark, tmp_path):
+    from quarry.plans import feature_keys
+    from quarry.sources.tables import Warehouse
+
+    orders = [(1, "a"), (2, "a"), (3, "b"), (4, "c")]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    index = {"a": 0, "b": 1, "c": 2}
+    for key, width in ((feature_keys.one_hot_all, 3), (feature_keys.one_hot_drop_last, 2)):
+        got = sorted(tuple(r) for r in key(Warehouse(spark, str(tmp_path))).collect())
+        assert got == [(k, s, float(index[v] == s)) for k, v in orders for s in range(width)]
