@@ -17,10 +17,19 @@ from quarry.plans import feature_keys, model_jobs, text_reports
 from quarry.sources.tables import Warehouse
 
 
+SLOT_ROWS = 50_000
+
+
 def _slots(parts: DataFrame, key: str) -> DataFrame:
-    """``key, slot, value``; the values of rows that share a key are added."""
+    """``key, slot, value``; the values of rows that share a key are added.
+
+    The rows are dealt by key before they multiply, to as many tasks as their number asks for, so what a task
+    holds does not grow with the input.
+    """
+    table = models.materialize(parts.select(key, "indices", "values"), "slots")
+    dealt = table.repartition(max(1, -(-table.count() // SLOT_ROWS)), key)
     entry = F.explode(F.arrays_zip("indices", "values")).alias("e")
-    slots = parts.select(key, entry).select(key, F.col("e.indices").cast("bigint").alias("slot"), F.col("e.values").alias("v"))
+    slots = dealt.select(key, entry).select(key, F.col("e.indices").cast("bigint").alias("slot"), F.col("e.values").alias("v"))
     return slots.groupBy(key, "slot").agg(r6(F.sum("v")).alias("value"))
 
 
