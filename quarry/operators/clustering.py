@@ -1,7 +1,7 @@
 """k-means on sparse vectors: start centres by a farthest-first rule, then Lloyd steps.
 
-Points are rows of a written table with a key and a vector's ``indices`` and ``values``
-(``features.sparse_vector_parts``). The first centre is the point of largest norm, each further
+Points are rows with a key and a vector's ``indices`` and ``values``
+(``features.sparse_vector_parts``); the steps read a written table of them in packed form (``packed``). The first centre is the point of largest norm, each further
 one the point farthest from the centres so far; ties go to the smaller key. A step puts every point to its
 nearest centre (the first of equals) and moves the centres to the means of their points; a centre that
 loses all points is dropped. Steps end when no centre moves, or after ``max_steps``.
@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.models import materialize
+from quarry.operators.packed import entries, pack, places
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
 
 
@@ -40,34 +43,40 @@ class Centres:
         """Squared distances, points x centres, of points given as entries (``row`` ascends)."""
         inner = np.zeros((n, len(self.matrix)))
         if len(self.slots):
-            at = np.minimum(np.searchsorted(self.slots, slot), len(self.slots) - 1)
-            held = self.slots[at] == slot
+            at, held = places(self.slots, slot)
+            if not held.all():
+                at, row_held, value_held = at[held], row[held], value[held]
+            else:
+                row_held, value_held = row, value
             for c in range(len(self.matrix)):
-                inner[:, c] = np.bincount(row[held], weights=value[held] * self.matrix[c, at[held]], minlength=n)
+                inner[:, c] = np.bincount(row_held, weights=value_held * self.matrix[c, at], minlength=n)
         norm = np.bincount(row, weights=value * value, minlength=n)
         return norm[:, None] - 2 * inner + (self.matrix**2).sum(1)[None, :]
 
 
-def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths = np.diff(batch.column("indices").offsets.to_numpy())
-    row = np.repeat(np.arange(batch.num_rows), lengths)
-    return row, batch.column("indices").flatten().to_numpy().astype(np.int64), batch.column("values").flatten().to_numpy()
-
-
 def _sums(centres: Centres):
+    """Per task the sums of the points of each centre by slot, and their number as slot -1."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(centres.matrix)
+        known, total, count = np.zeros(0, np.int64), np.zeros((k, 0)), np.zeros(k)
         for batch in batches:
-            row, slot, value = _entries(batch)
+            row, slot, value = entries(batch)
             near = centres.distances(row, slot, value, batch.num_rows).argmin(1)
-            cell, where = np.unique(near[row] * (1 << 32) + slot, return_inverse=True)
-            own, count = np.unique(near, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(centres.numbers[np.concatenate([cell >> 32, own])]), pa.array(np.concatenate([cell & 0xFFFFFFFF, np.full(len(own), -1)])),
-                    pa.array(np.concatenate([np.bincount(where, weights=value, minlength=len(cell)), count.astype(float)])),
-                ],
-                ["cluster", "slot", "total"],
-            )
+            at, held = places(known, slot)
+            if not held.all():
+                wider = np.union1d(known, slot[~held]).astype(np.int64)
+                grown = np.zeros((k, len(wider)))
+                grown[:, np.searchsorted(wider, known)] = total
+                known, total = wider, grown
+                at, _ = places(known, slot)
+            total += np.bincount(near[row] * len(known) + at, weights=value, minlength=total.size).reshape(total.shape)
+            count += np.bincount(near, minlength=k)
+        own = np.flatnonzero(count)
+        numbers, slots = np.repeat(centres.numbers[own], len(known) + 1), np.tile(np.append(known, -1), len(own))
+        totals = np.column_stack([total[own], count[own]]).ravel()
+        kept = totals != 0
+        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (numbers, slots, totals)], ["cluster", "slot", "total"])
 
     return run
 
@@ -75,17 +84,28 @@ def _sums(centres: Centres):
 def _assigned(centres: Centres, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = centres.distances(*_entries(batch), batch.num_rows)
-            near = pa.array(centres.numbers[d.argmin(1)].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], near, pa.array(d.min(1))], [*keep, "prediction", "distance"])
+            near = centres.distances(*entries(batch), batch.num_rows).argmin(1)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(centres.numbers[near].astype(np.int32))], [*keep, "prediction"])
 
     return run
 
 
-def _nearest(points: DataFrame, centres: Centres, keep: list[str]) -> DataFrame:
-    """``keep..., prediction, distance``."""
-    fields = [*[points.schema[c] for c in keep], T.StructField("prediction", T.IntegerType()), T.StructField("distance", T.DoubleType())]
-    return points.select(*dict.fromkeys([*keep, "indices", "values"])).mapInArrow(_assigned(centres, keep), T.StructType(fields))
+def _farthest(centres: Centres, key: str):
+    """The points of each batch that are farthest from their centre (all of equals), as Spark orders numbers: NaN is largest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row, slot, value = entries(batch)
+            d = centres.distances(row, slot, value, batch.num_rows).min(1)
+            best = np.isnan(d) if np.isnan(d).any() else d == d.max()
+            held = best[row]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows)[best])]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[held])) for x in (slot, value)]
+            yield pa.RecordBatch.from_arrays([batch.column(key).filter(pa.array(best)), *lists, pa.array(d[best])], [key, "indices", "values", "distance"])
+
+    return run
 
 
 def _as_row(point) -> dict[int, float]:
@@ -94,10 +114,13 @@ def _as_row(point) -> dict[int, float]:
 
 def farthest_first(points: DataFrame, k: int, key: str) -> Centres:
     """The ``k`` start centres (fewer if there are fewer different points)."""
+    lists = [T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))]
+    schema = T.StructType([points.schema[key], *lists, T.StructField("distance", T.DoubleType())])
     rows: list[dict[int, float]] = []
     ahead = Centres([0], [{}])  # distances from 0 are norms
     for _ in range(k):
-        best = _nearest(points, ahead, [key, "indices", "values"]).orderBy(F.desc("distance"), key, "indices", "values").first()
+        far = points.select(key, "slots", "numbers").mapInArrow(_farthest(ahead, key), schema)
+        best = far.orderBy(F.desc("distance"), key, "indices", "values").first()
         if best is None or rows and best.distance <= 0:
             break
         rows.append(_as_row(best))
@@ -108,7 +131,7 @@ def farthest_first(points: DataFrame, k: int, key: str) -> Centres:
 def lloyd(points: DataFrame, start: Centres, max_steps: int = 20) -> Centres:
     centres = start
     for _ in range(max_steps):
-        sums = points.select("indices", "values").mapInArrow(_sums(centres), "cluster long, slot long, total double")
+        sums = points.select("slots", "numbers").mapInArrow(_sums(centres), "cluster long, slot long, total double")
         rows: dict[int, dict[int, float]] = {}
         for cluster, slot, total in sums.groupBy("cluster", "slot").agg(F.sum("total")).collect():  # k x width at most
             rows.setdefault(cluster, {})[slot] = total
@@ -123,6 +146,12 @@ def lloyd(points: DataFrame, start: Centres, max_steps: int = 20) -> Centres:
 
 
 def kmeans(points: DataFrame, k: int, key: str, keep: list[str] | None = None, max_steps: int = 20) -> DataFrame:
-    """``key, keep..., prediction``: the number of every point's centre, in the order in which the start centres were found."""
-    centres = lloyd(points, farthest_first(points, k, key), max_steps)
-    return _nearest(points, centres, [key, *(keep or [])]).drop("distance")
+    """``key, keep..., prediction``: the number of every point's centre, in the order in which the start centres were found.
+
+    The points are written once in packed form, which every step reads.
+    """
+    kept = list(dict.fromkeys([key, *(keep or [])]))
+    packed = materialize(pack(points, kept), "points")
+    centres = lloyd(packed, farthest_first(packed, k, key), max_steps)
+    fields = [*[points.schema[c] for c in kept], T.StructField("prediction", T.IntegerType())]
+    return packed.mapInArrow(_assigned(centres, kept), T.StructType(fields))

@@ -6,8 +6,8 @@ products with the block and hands back sums per slot, Spark adds these up, and t
 orthonormalises the result. A last step solves the small problem inside the block (Rayleigh-Ritz), which
 gives components and variances; with as many vectors as slots it is exact after one step.
 
-Rows are a table with ``indices`` and ``values`` (``features.sparse_vector_parts``); it is read once per step, so it should be
-written. Signs: the weight of largest size is positive (of equals, that of the smallest slot).
+Rows are a table with ``indices`` and ``values`` (``features.sparse_vector_parts``); it is read
+three times, so it should be written; the steps read a packed copy. Signs: the weight of largest size is positive (of equals, that of the smallest slot).
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.models import materialize
+from quarry.operators.packed import entries, pack, places
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
 
 MAX_CELLS = 1 << 25
@@ -40,11 +43,9 @@ class Components:
 
 def _entries(batch: pa.RecordBatch, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, place of the slot and value of every entry whose slot is in ``slots``."""
-    row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("indices").offsets.to_numpy()))
-    slot, value = batch.column("indices").flatten().to_numpy(), batch.column("values").flatten().to_numpy()
-    at = np.minimum(np.searchsorted(slots, slot), max(0, len(slots) - 1))
-    held = slots[at] == slot if len(slots) else np.zeros(len(slot), bool)
-    return row[held], at[held], value[held]
+    row, slot, value = entries(batch)
+    at, held = places(slots, slot)
+    return (row, at, value) if held.all() else (row[held], at[held], value[held])
 
 
 def _projected(row: np.ndarray, at: np.ndarray, value: np.ndarray, n: int, block: np.ndarray) -> np.ndarray:
@@ -84,12 +85,13 @@ def principal_components(points: DataFrame, k: int, steps: int = 20, seed: int =
         raise ValueError(f"{width} vectors of {len(slots)} slots: more than {MAX_CELLS} numbers")
 
     def by_covariance(block: np.ndarray) -> np.ndarray:
-        parts = points.select("indices", "values").mapInArrow(_products(slots, block), "place long, column long, total double")
+        parts = packed.mapInArrow(_products(slots, block), "place long, column long, total double")
         whole = parts.groupBy("place", "column").agg(F.sum("total").alias("total")).toArrow()
         out = np.zeros(block.shape)
         out[whole.column("place").to_numpy(), whole.column("column").to_numpy()] = whole.column("total").to_numpy()
         return (out - n * np.outer(mean, mean @ block)) / (n - 1)
 
+    packed = materialize(pack(points, []), "packed")
     block = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(slots), width)))[0]
     for _ in range(steps if width < len(slots) else 0):
         block = np.linalg.qr(by_covariance(block))[0]
@@ -111,4 +113,4 @@ def project(points: DataFrame, found: Components, keep: list[str], out: str = "c
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.ListArray.from_arrays(ends, pa.array(products.ravel()))], [*keep, out])
 
     fields = [*[points.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.DoubleType()))]
-    return points.select(*keep, "indices", "values").mapInArrow(run, T.StructType(fields))
+    return pack(points, keep).mapInArrow(run, T.StructType(fields))
