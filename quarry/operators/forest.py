@@ -15,7 +15,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.sampling import bag_weight, draw
+from quarry.operators.models import materialize
+from quarry.operators.sampling import bag_weight, draw, fresh
 
 Tree = tuple[list[str], DecisionTreeClassificationModel]
 
@@ -33,12 +34,18 @@ def drawn_features(spark: SparkSession, cols: Sequence[str], n_trees: int, per_t
 def bagged_trees(
     train: DataFrame, label: str, cols: Sequence[str], key: str, n_trees: int, per_tree: int, seed: int, max_depth: int = 5, parallel: int = 8
 ) -> list[Tree]:
-    """``n_trees`` trees. ``train`` should be a written table: every tree reads it."""
+    """``n_trees`` trees. All bags are drawn in one pass; rows that are equal in label and columns are one row with their weights
+    added, which a tree of weighted rows cannot tell apart."""
+    weights = [fresh(f"w{t}", [label, *cols]) for t in range(n_trees)]
+    all_bags = F.array(*[bag_weight(seed, t, key).cast("tinyint") for t in range(n_trees)])
+    drawn = train.select(label, *cols, all_bags.alias("bags"))
+    bags = drawn.groupBy(label, *cols).agg(*[F.sum(F.col("bags")[t]).cast("double").alias(w) for t, w in enumerate(weights)])
+    bags = materialize(bags, "bags")
 
     def one(t: int, own: list[str]) -> Tree:
-        rows = train.select(label, *own, bag_weight(seed, t, key).alias("_w")).where("_w > 0")
+        rows = bags.select(label, *own, weights[t]).where(F.col(weights[t]) > 0)
         rows = VectorAssembler(inputCols=own, outputCol="_x").transform(rows)
-        fit = DecisionTreeClassifier(labelCol=label, featuresCol="_x", weightCol="_w", maxDepth=max_depth, seed=seed)
+        fit = DecisionTreeClassifier(labelCol=label, featuresCol="_x", weightCol=weights[t], maxDepth=max_depth, seed=seed)
         return own, fit.fit(rows)
 
     chosen = drawn_features(train.sparkSession, cols, n_trees, per_tree, seed)

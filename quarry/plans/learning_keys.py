@@ -37,7 +37,9 @@ def forest_bags(wh: Warehouse) -> DataFrame:
     rows = spread(model_jobs.model_rows(wh).select("row_key"), ["row_key"], spread_setting(wh.spark))
     trees = F.explode(F.sequence(F.lit(0), F.lit(model_jobs.TREES_INDEXED - 1))).alias("tree")
     drawn = rows.select("row_key", trees).withColumn("w", bag_weight(FOREST_SEED, F.col("tree"), "row_key"))
-    return drawn.where("w > 0").groupBy("tree").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("w").cast("bigint").alias("weight"))
+    # Rows that are not drawn are left out of the count, not filtered: a filter would draw every weight once more.
+    counts = drawn.groupBy("tree").agg(F.count_if(F.col("w") > 0).alias("n_rows"), F.sum("w").cast("bigint").alias("weight"))
+    return counts.where("n_rows > 0")
 
 
 def forest_votes(wh: Warehouse) -> DataFrame:
