@@ -5,14 +5,15 @@ Each job materialises its model input once (stable, totally ordered layout,
 written as a parquet table in the shared checkpoint folder), and again after
 the feature pipeline (train and test together), so the estimator fits and the
 scoring read stored rows instead of re-running the star join or the pipeline,
-and a lost executor re-reads instead of recomputing.
+and a lost executor re-reads instead of recomputing. The indexed jobs store the
+narrow inputs instead of the wide vectors.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -22,7 +23,7 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import pattern_count, regex_tokens, tolerant_double
@@ -75,8 +76,23 @@ def model_input(wh: Warehouse) -> DataFrame:
     return models.fixed_layout(models.materialize(model_rows(wh)), "row_key")
 
 
-def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
-    """Unfitted stages, fitted together: one-hot (of indexed columns) -> (word vectors) ->
+def indexed_rows(wh: Warehouse) -> DataFrame:
+    """``row_key, label``, the inputs of both variants, category indexes and the education text, written once.
+
+    These rows are some ten times narrower than the vectors made of them, so vectors are never written or shuffled:
+    ``indexed_model`` makes them anew in the tasks of every pass.
+    """
+    kept = ["row_key", "label", *YEAR_INPUTS, *NUMERIC_INPUTS, *CATEGORIES, "Educ"]
+    rows = models.materialize(model_rows(wh).select(*kept))
+    return models.materialize(fx.IndexTables.fit(rows, CATEGORIES).transform(rows).drop(*CATEGORIES), "indexed")
+
+
+def _with_words(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("EducWords", analog.education_tokens(F.col("Educ")))
+
+
+def indexed_model(rows: DataFrame, variant: str, n_partitions: int) -> PipelineModel:
+    """Fitted stages over ``indexed_rows``: one-hot (of indexed columns) -> (word vectors) ->
     assemble -> scale. The indexes come from ``features.IndexTables``.
 
     Variant A: one-hot drops the last category, adds the education word vector,
@@ -84,31 +100,33 @@ def indexed_pipeline(variant: str, n_partitions: int) -> Pipeline:
     no word vector.
     """
     indexed = [c + "Index" for c in CATEGORIES]
-    stages = [
-        OneHotEncoder(inputCols=indexed, outputCols=[c + "Vec" for c in indexed], dropLast=(variant == "A")),
-    ]
+    one_hot = OneHotEncoder(inputCols=indexed, outputCols=[c + "Vec" for c in indexed], dropLast=(variant == "A"))
+    stages = [one_hot.fit(rows)]  # the largest index of each column, in any order of rows
     inputs = list(NUMERIC_INPUTS) + [c + "Vec" for c in indexed]
     if variant == "A":
+        words = _with_words(models.fixed_layout(rows.select("row_key", "Educ"), "row_key")).select("EducWords")
         stages.append(Word2Vec(inputCol="EducWords", outputCol="EducVec", vectorSize=100, minCount=5,
-                               seed=models.DEFAULT_SEED, numPartitions=n_partitions))
+                               seed=models.DEFAULT_SEED, numPartitions=n_partitions).fit(words))
         inputs.append("EducVec")
     else:
         inputs = YEAR_INPUTS + inputs
     stages.append(VectorAssembler(inputCols=inputs, outputCol="vecfeatures", handleInvalid="error"))
-    stages.append(StandardScaler(inputCol="vecfeatures", outputCol="features", withMean=False, withStd=True))
-    return Pipeline(stages=stages)
+    assembled = PipelineModel(stages).transform(_with_words(models.fixed_layout(rows, "row_key")))
+    stages.append(StandardScaler(inputCol="vecfeatures", outputCol="features", withMean=False, withStd=True).fit(assembled))
+    return PipelineModel(stages)
 
 
-def indexed_features(wh: Warehouse, variant: str = "A") -> DataFrame:
-    """The indexed-feature model input, split 0.7 / 0.3 by the row-key hash."""
-    f = model_input(wh)
-    f = fx.IndexTables.fit(f, CATEGORIES).transform(f).withColumn("EducWords", analog.education_tokens(F.col("Educ")))
-    fitted = indexed_pipeline(variant, W2V_PARTITIONS).fit(f)
-    out = fitted.transform(f).select("row_key", "label", "features")
-    return fx.hash_split(out, "row_key", TRAIN_TEST, ["train", "test"])
+def indexed_features(wh: Warehouse, variant: str = "A") -> tuple[DataFrame, DataFrame]:
+    """The indexed-feature model input as train and test part, split 0.7 / 0.3 by the row-key hash."""
+    rows = indexed_rows(wh)
+    fitted = indexed_model(rows, variant, W2V_PARTITIONS)
+    split = fx.hash_split(rows, "row_key", TRAIN_TEST, ["train", "test"])
+    part = lambda name: split.where(F.col("split") == name).drop("split")
+    features = lambda df: fitted.transform(_with_words(df)).select("row_key", "label", "features")
+    return features(models.fixed_layout(part("train"), "row_key")), features(part("test"))
 
 
-def _train_test(split: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+def _train_test(split: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The transformed, split rows written once: the iterative fits read the
     train part and every model scores the test part without re-running the
     feature pipeline. The train part is laid out anew after the read."""
@@ -130,18 +148,17 @@ def decision_tree(wh: Warehouse, variant: str = "A") -> DataFrame:
     bit-reproducible in Spark (it repartitions sentences internally); every
     other stage is, so variant B gives identical predictions run after run.
     """
-    train, test = _train_test(indexed_features(wh, variant), wh.spark)
+    train, test = indexed_features(wh, variant)
     return _predictions(models.decision_tree(train, "label", "features"), test)
 
 
 def random_forest(wh: Warehouse) -> DataFrame:
     """28-tree forest predictions on the held-out rows."""
-    train, test = _train_test(indexed_features(wh, "A"), wh.spark)
+    train, test = indexed_features(wh, "A")
     return _predictions(models.random_forest(train, "label", "features", TREES_INDEXED), test)
 
 
-def _score_models(split: DataFrame, spark: SparkSession, n_trees: int, variant: str) -> DataFrame:
-    train, test = _train_test(split, spark)
+def _score_models(train: DataFrame, test: DataFrame, n_trees: int, variant: str) -> DataFrame:
     tree = _predictions(models.decision_tree(train, "label", "features"), test)
     forest = _predictions(models.random_forest(train, "label", "features", n_trees), test)
     scored = [
@@ -153,12 +170,12 @@ def _score_models(split: DataFrame, spark: SparkSession, n_trees: int, variant:
 
 def hiring_model_indexed(wh: Warehouse) -> DataFrame:
     """R11 variant A: indexed features -> tree and 28-tree forest -> scores."""
-    return _score_models(indexed_features(wh, "A"), wh.spark, TREES_INDEXED, "indexed_a")
+    return _score_models(*indexed_features(wh, "A"), TREES_INDEXED, "indexed_a")
 
 
 def hiring_model_indexed_b(wh: Warehouse) -> DataFrame:
     """R11 variant B: year columns in, all one-hot slots, no word vector."""
-    return _score_models(indexed_features(wh, "B"), wh.spark, TREES_INDEXED, "indexed_b")
+    return _score_models(*indexed_features(wh, "B"), TREES_INDEXED, "indexed_b")
 
 
 def hiring_model_hashed(wh: Warehouse) -> DataFrame:
@@ -169,12 +186,12 @@ def hiring_model_hashed(wh: Warehouse) -> DataFrame:
     the trees read each text column as one ordered code of its hashed slot (``features.SlotBundles``, fitted on the training
     rows): 15 features per row, however many names the columns hold.
     """
-    rows = fx.hash_split(model_input(wh), "row_key", TRAIN_TEST_HASHED, ["train", "test"])
+    rows = fx.hash_split(models.materialize(model_rows(wh)), "row_key", TRAIN_TEST_HASHED, ["train", "test"])
     kinds = dict(rows.dtypes)
     names = [c for c in HASHED_INPUTS if kinds[c] == "string"]
     coded = fx.SlotBundles.fit(rows.where("split = 'train'"), names, "label").transform(rows)
     inputs = [c + "Code" if c in names else c for c in HASHED_INPUTS]
-    return _score_models(fx.assemble(coded, inputs, "features"), wh.spark, TREES_HASHED, "hashed")
+    return _score_models(*_train_test(fx.assemble(coded, inputs, "features")), TREES_HASHED, "hashed")
 
 
 def feature_hash(wh: Warehouse) -> DataFrame:
@@ -194,7 +211,7 @@ def _clustered(wh: Warehouse, keep: list[str] | None = None) -> DataFrame:
     """The cluster of every row of the model input: k-means (k = 4) on the hashed vectors, from farthest-first centres."""
     hashed = fx.feature_hash(model_rows(wh), HASHED_INPUTS, "features")
     hashed = fx.sparse_vector_parts(hashed, "features", ["row_key", *(keep or [])]).drop("size")
-    points = models.materialize(spread(hashed, ["row_key"], spread_setting(wh.spark)), "points")
+    points = spread(hashed, ["row_key"], spread_setting(wh.spark))  # kmeans writes them
     return clustering.kmeans(points, KMEANS_K, "row_key", keep, KMEANS_STEPS)
 
 
