@@ -123,7 +123,7 @@ def indexed_features(wh: Warehouse, variant: str = "A") -> tuple[DataFrame, Data
     split = fx.hash_split(rows, "row_key", TRAIN_TEST, ["train", "test"])
     part = lambda name: split.where(F.col("split") == name).drop("split")
     features = lambda df: fitted.transform(_with_words(df)).select("row_key", "label", "features")
-    return features(models.fixed_layout(part("train"), "row_key")), features(part("test"))
+    return models.fixed_layout(part("train"), "row_key", "features", made=features), features(part("test"))
 
 
 def _train_test(split: DataFrame) -> tuple[DataFrame, DataFrame]:
