@@ -15,13 +15,13 @@ the texts with the built-in edit distance, which computes only the diagonal band
 bound allows. (The built-in's band is a row of cells, not of bits: a bit-parallel form would
 need a function of one's own, and the main path has built-in functions only.)
 
-The growing budget has two joins. If the shorter line has fewer than ``EXACT_BELOW``
-characters, a segment join finds every pair: all lines of one budget are cut at the same
+The growing budget has two joins, and each finds every pair. If the shorter line has fewer than
+``EXACT_BELOW`` characters, all lines of one budget are cut at the same
 places, so a probe stands for all their lengths, and its places are listed in a table by
-length. From there on the keys of that join grow with the square of the budget, so
-candidates are lines that share one of the ``SKETCH`` smallest hashes of their substrings of
-``GRAM`` characters at places no further apart than the budget: no length and no number of
-edits is left out, but a pair is found by chance. The fewer the edits, the surer (README).
+length. From there on the shorter line is cut into one segment of ``SEGMENT`` characters more
+than it has edits, and probed by the longer line's substrings at all places, in rounds by key:
+rows grow with the characters, not with the edits. So short segments are shared by
+many lines that are not near, and the time grows with the square of the table (README).
 Candidates whose counts of 32 letters differ by more than the edits can change are dropped
 before texts are joined to them.
 
@@ -35,6 +35,8 @@ An empty table gives no rows. Other columns are kept as they are; added ones giv
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,8 @@ ALL_LETTERS = (LETTERS, "hldcumfp", "gwybvkxj", "qz .,-'\"")
 MIN_CHARS = 1
 NEAR_CHARS = 20
 EXACT_BELOW = 100
-GRAM, SKETCH = 12, 32
+SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
+ROUND_ROWS = 50_000_000
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -147,21 +150,33 @@ def segment_table() -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
     return index, probe
 
 
-def sketch(lines: DataFrame) -> DataFrame:
-    """``h, n, key, low, high``: the ``SKETCH`` smallest distinct hashes of a line's substrings of ``GRAM`` characters, with their first and last place."""
-    grams = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
-    hashed = lines.select("h", "n", F.transform(grams, lambda g: F.xxhash64(g)).alias("grams"))
-    both_ways = hashed.withColumn("back", F.reverse("grams"))  # a column of its own, so it is made once a line
-    least = F.slice(F.sort_array(F.array_distinct("grams")), 1, SKETCH)
-    placed = F.transform(
-        least,
-        lambda g: F.struct(
-            g.alias("key"),
-            F.array_position("grams", g).cast("int").alias("low"),
-            (F.size("grams") + 1 - F.array_position("back", g)).cast("int").alias("high"),
-        ),
-    )
-    return both_ways.select("h", "n", F.explode(placed).alias("e")).select("h", "n", "e.*")
+def _long_lines(lines: DataFrame) -> DataFrame:
+    """``a, b``: hashes of the lines of ``EXACT_BELOW`` characters or more that may be within one edit in ten characters.
+
+    The shorter line's first ``SEGMENT * (k + 1)`` characters are cut into ``k + 1`` segments, the
+    longer line's substrings of ``SEGMENT`` characters are looked up at every place. Of two
+    lines within ``k`` edits, some segment ``i`` is unchanged with ``i`` edits before it and at most ``k - i`` behind
+    it, so no pair is left out. Keys are taken in rounds, so the rows that lie on disk at once stay ``ROUND_ROWS``.
+    """
+    n, k = F.col("n"), edit_budget(F.col("n"))
+    known = materialize(lines.select("h", "line", "n", letter_counts(F.col("line")).alias("letters")), "line-long")
+    rounds = -(-(known.agg(F.sum("n")).first()[0] or 1) // ROUND_ROWS)
+    segments, places = F.sequence(F.lit(0), k * SEGMENT, F.lit(SEGMENT)), F.sequence(F.lit(0), n - SEGMENT)
+    found = []
+    for turn in range(rounds):
+
+        def side(name: str, at: Column) -> DataFrame:
+            keyed = known.withColumn("at", F.explode(at)).withColumn("key", F.xxhash64(F.col("line").substr(F.col("at") + 1, F.lit(SEGMENT))))
+            mine = keyed if rounds == 1 else keyed.where(F.pmod(F.col("key"), F.lit(rounds)) == turn)  # noqa: B023
+            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at", "letters")])
+
+        longer_by, shift = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
+        budget, before = edit_budget(F.col("a_n")), F.floor(F.col("a_at") / SEGMENT)
+        where = longer_by.between(0, budget) & (F.abs(shift) <= before) & (F.abs(longer_by - shift) <= budget - before)
+        may_be = (F.col("a") != F.col("b")) & where & (_letters_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * budget)
+        met = side("a", segments).join(side("b", places).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
+        found.append(materialize(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-round"))
+    return reduce(DataFrame.union, found)
 
 
 def _same_budget(texts: DataFrame, max_edits: int) -> DataFrame:
@@ -195,14 +210,7 @@ def _growing_budget(texts: DataFrame) -> DataFrame:
     longer_by = F.col("b_n") - F.col("a_n")
     short = keys(index, "a").join(keys(probe, "b"), same & longer_by.between(0, edit_budget(F.col("a_n"))))
 
-    long = sketch(lines.where(F.col("n") >= EXACT_BELOW))
-    side = lambda p: long.select(*[F.col(c).alias(f"{p}_{c}") for c in ("key", "n", "low", "high")], F.col("h").alias(p))
-    least = edit_budget(F.least("a_n", "b_n"))
-    # An unchanged substring is not shifted by more than the edits; where it repeats, some of its places must lie that close.
-    near = (F.col("a_low") - F.col("b_high") <= least) & (F.col("b_low") - F.col("a_high") <= least)
-    may_be = (F.abs(F.col("a_n") - F.col("b_n")) <= least) & near
-    long = side("a").join(side("b"), (F.col("a_key") == F.col("b_key")) & (F.col("a") < F.col("b")) & may_be)
-    return short.select("a", "b").union(long.select("a", "b"))
+    return short.select("a", "b").union(_long_lines(lines.where(F.col("n") >= EXACT_BELOW)))
 
 
 def _letters_agree(pairs: DataFrame, texts: DataFrame, most_of) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, linededup, quality
@@ -32,6 +33,44 @@ def test_line_edit_budget_grows_with_the_line(spark):
     assert {r.doc_id for r in done.collect()} == gone
 
 
+@pytest.mark.parametrize("rows_at_once", [linededup.ROUND_ROWS, 10_000])
+def test_edits_spread_evenly_over_long_lines_leave_no_pair_out(spark, monkeypatch, rows_at_once):
+    monkeypatch.setattr(linededup, "ROUND_ROWS", rows_at_once)
+    rng = random.Random(6)
+    line = lambda n: "".join(rng.choice("abcdefghijklmn opqé\U0001f600") for _ in range(n))
+    rows = []
+    for i, n in enumerate([100, 109, 110, 199, 200, 200, 200, 350, 1000, 1009]):
+        first, k = line(n), n // 10
+        spread = [(j + 1) * n // (k + 1) for j in range(k)]
+        for kind, added in ((0, 0), (100, 0), (200, 0), (300, 1)):
+            out = list(first)
+            for at in spread + [spread[0] + 3] * added:
+                out[at] = {0: "#", 100: "#" + out[at], 200: "", 300: "#"}[kind]
+            rows.append((1000 + kind + i, "".join(out)))
+        rows.append((i, first))
+    want = {frozenset((x, y)) for i, x in enumerate(t for _, t in rows) for y in (t for _, t in rows[:i]) if x != y and _within(x, y)}
+    lines = linededup._lines(spark.createDataFrame(rows, DOC), "doc_id", "text", linededup.NEAR_CHARS)
+    name = {r.h: r.line for r in lines.collect()}
+    got = {frozenset((name[r.a_h], name[r.b_h])) for r in linededup.near_lines(lines).collect()}
+    assert got == want and len(want) >= 20
+
+
+def _within(x, y):
+    """Whether two lines are within one edit in ten characters of the shorter one."""
+    most = min(len(x), len(y)) // 10
+    if abs(len(x) - len(y)) > most:
+        return False
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        new = [i]
+        for j, b in enumerate(y, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        if min(new) > most:
+            return False
+        row = new
+    return row[-1] <= most
+
+
 def test_near_lines_are_all_pairs_of_sf0001(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     lines = linededup._lines(docs, "doc_id", "text", linededup.NEAR_CHARS)
