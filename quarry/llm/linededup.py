@@ -84,6 +84,8 @@ def index_keys(line: Column, n: Column, max_edits: int) -> list[Column]:
 def probe_keys(line: Column, own: Column, max_edits: int) -> list[Column]:
     """Keys of the substrings that may be a segment of a line as long as this (``own``) or up to ``max_edits`` shorter; null outside.
 
+    The line's own ``index_keys``, which are looked up too, are left out.
+
     They go under ``explode`` as a plain array: for any other expression Spark infers a filter on its size,
     which computes all keys again.
     """
@@ -94,6 +96,8 @@ def probe_keys(line: Column, own: Column, max_edits: int) -> list[Column]:
             start, length = _segment(n, i, parts)
             low, high = max(-i, less - (max_edits - i)), min(i, less + (max_edits - i))
             for shift in range(low, high + 1):
+                if less == shift == 0:
+                    continue
                 at = start + shift
                 inside = (at >= 0) & (at + length <= own) & (n >= parts)
                 keys.append(F.when(inside, _key(line, n, i, at, length)))
@@ -102,10 +106,10 @@ def probe_keys(line: Column, own: Column, max_edits: int) -> list[Column]:
 
 def letter_counts(line: Column, letters: str = LETTERS) -> Column:
     """Counts of eight letters modulo 256, packed into one long."""
-    n = F.length(line)
+    n = F.octet_length(line)  # the letters are one byte each, so bytes tell their number without a walk over the characters
     packed = F.lit(0).cast("bigint")
     for i, letter in enumerate(letters):
-        count = (n - F.length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(255))
+        count = (n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(255))
         packed = packed.bitwiseOR(F.shiftleft(count.cast("bigint"), 8 * i))
     return packed
 
@@ -183,12 +187,13 @@ def _same_budget(texts: DataFrame, max_edits: int) -> DataFrame:
     """``a, b``: hashes of the lines that may be within ``max_edits`` edits."""
     line, n = F.col("line"), F.col("n")
     with_counts = texts.select("h", "line", F.char_length("line").alias("n"), letter_counts(line).alias("letters"))  # before the rows multiply
-    entry = lambda is_index, keys: [F.struct(F.lit(is_index).alias("is_index"), k.alias("key")) for k in keys]
-    both = F.array(*entry(True, index_keys(line, n, max_edits)), *entry(False, probe_keys(line, n, max_edits)))
-    # Written once, so texts are grouped and letters counted once for both sides.
+    entry = lambda is_index, is_probe, keys: [F.struct(F.lit(is_index).alias("is_index"), is_probe.alias("is_probe"), k.alias("key")) for k in keys]
+    own = entry(True, n > max_edits, index_keys(line, n, max_edits))  # of shorter lines a segment may be empty
+    both = F.array(*own, *entry(False, F.lit(True), probe_keys(line, n, max_edits)))
+    # Written once, so letters are counted once for both sides; a key that is the same on both sides is one row.
     keys = materialize(with_counts.select("h", "letters", F.explode(both).alias("e")).select("h", "letters", "e.*"), "line-keys")
     index = keys.where("is_index").select(F.col("h").alias("a"), F.col("letters").alias("a_letters"), "key")
-    probe = keys.where("NOT is_index").select(F.col("h").alias("b"), F.col("letters").alias("b_letters"), F.col("key").alias("probe_key"))
+    probe = keys.where("is_probe").select(F.col("h").alias("b"), F.col("letters").alias("b_letters"), F.col("key").alias("probe_key"))
     close = _letters_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * max_edits
     return index.join(probe, (F.col("key") == F.col("probe_key")) & (F.col("a") != F.col("b")) & close).select("a", "b")
 
@@ -224,14 +229,18 @@ def _letters_agree(pairs: DataFrame, texts: DataFrame, most_of) -> DataFrame:
 
 def near_lines(lines: DataFrame, max_edits: int | None = None) -> DataFrame:
     """``a_h, a_h2, b_h, b_h2``: pairs of different lines near each other, each pair once."""
-    texts = lines.groupBy("h", "h2").agg(F.first("line").alias("line"))
+    return near_texts(lines.groupBy("h", "h2").agg(F.first("line").alias("line")), max_edits)
+
+
+def near_texts(texts: DataFrame, max_edits: int | None = None) -> DataFrame:
+    """``near_lines`` of lines that are one row each (``h, h2, line``)."""
     found = _growing_budget(texts) if max_edits is None else _same_budget(texts, max_edits)
     pairs = materialize(
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "line-pairs",
     )
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    met = lines.join(materialize(wanted, "line-wanted"), "h", "left_semi").groupBy("h", "h2").agg(F.first("line").alias("line"))
+    met = texts.select("h", "h2", "line").join(materialize(wanted, "line-wanted"), "h", "left_semi")
     counts = [letter_counts(F.col("line"), eight).alias(f"l{i}") for i, eight in enumerate(ALL_LETTERS)] if max_edits is None else []
     found = materialize(met.select("*", *counts), "line-texts")
     most_of = lambda n: edit_budget(n) if max_edits is None else F.lit(max_edits)
@@ -258,10 +267,12 @@ def removed_places(
     """``doc, places``: per document the places (from 0) of the lines to remove."""
     lines = _lines(docs, id_col, text_col, min_chars)
     firsts = materialize(
-        lines.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "place")).alias("first")),
+        lines.groupBy("h", "h2").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "place")).alias("first"), F.first("line").alias("line")
+        ),
         "line-firsts",
-    )
-    near = materialize(near_lines(lines, max_edits), "line-near")
+    )  # the texts too, so documents are split and lines grouped once for both
+    near = materialize(near_texts(firsts, max_edits), "line-near")
     named = lambda p: firsts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "first")])
     later = (
         near.join(named("a"), ["a_h", "a_h2"])

@@ -257,3 +257,13 @@ def test_repeats_against_brute_force(spark, split):
                 gone[i : i + length] = b"\1" * length
         want.append((d, len(b), sum(gone), len(re.findall(b"\1+", gone)), bytes(x for x, g in zip(b, gone) if not g)))
     assert got == sorted(want, key=str)
+
+
+def test_lines_probe_their_own_segments_by_one_row(spark):
+    texts = spark.createDataFrame([("a line of thirty characters ...",), ("ab",), ("c",)], "line string")
+    line, n = F.col("line"), F.char_length("line")
+    for most, rows in ((1, 4), (2, 12)):
+        keys = [*linededup.index_keys(line, n, most), *linededup.probe_keys(line, n, most)]
+        got = texts.select("line", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL").groupBy("line").agg(F.count("*").alias("n"), F.count_distinct("key").alias("different"))
+        long = {r.line: r for r in got.collect()}["a line of thirty characters ..."]
+        assert (long.n, long.different) == (rows, rows)
