@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from quarry.functions import r6
 from quarry.operators.metrics import area_under_curve
+from quarry.operators.models import hash_text, materialize
 
 
 def grid_table(train: DataFrame, fitted, fold_col: str, label_col: str = "label") -> DataFrame:
     """``fold, num_features, reg_param, n, positives, auc, mean_auc, best``: one row per fold and parameter map of a ``grid_search`` with kept models.
 
-    Every model scores the rows of its own fold; all areas come from one pass over the scores, exact also for ties.
+    Every model scores the rows of its own fold, whose texts are hashed once a width; all areas come from one pass over the scores, exact also for ties.
     ``best`` marks the parameters of the largest mean area over the folds (of equals, the fewest features, then the smallest penalty).
     """
+    widths = sorted({v for params in fitted.getEstimatorParamMaps() for p, v in params.items() if p.name == "numFeatures"})
+    train = materialize(hash_text(train.select("text", label_col, fold_col), widths), "grid-rows")
     scored = []
     for fold, models in enumerate(fitted.subModels):
         held_out = train.where(F.col(fold_col) == fold)

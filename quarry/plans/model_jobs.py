@@ -54,6 +54,7 @@ PCA_K = 120
 GRID_HASH_SIZES = (10, 100, 1000)
 GRID_REG_PARAMS = (0.1, 0.01)
 GRID_FOLDS = 3
+GRID_ROWS = 20_000  # of a partition: whole texts are sorted and hashed, so many short tasks
 
 
 W2V_PARTITIONS = 8  # Word2Vec trains one model copy per partition and averages them: a fixed parameter
@@ -314,7 +315,7 @@ def logistic_regression(wh: Warehouse) -> DataFrame:
 def _grid(wh: Warehouse, keep_models: bool = False):
     """The labelled documents with fold numbers, their laid-out train part, and the grid fitted on it: 3 hash widths x 2 penalties, 3 folds."""
     d = _labelled_docs(wh).withColumn("fold", models.fold_column("doc_id", GRID_FOLDS))
-    train = models.fixed_layout(models.materialize(d.filter(F.col("split") == "train")), "doc_id")
+    train = models.fixed_layout(models.materialize(d.filter(F.col("split") == "train")), "doc_id", rows_per_partition=GRID_ROWS)
     return d, train, models.grid_search(train, GRID_HASH_SIZES, GRID_REG_PARAMS, "fold", max_iter=10, keep_models=keep_models)
 
 

@@ -34,6 +34,27 @@ def test_grid_search_uses_all_combinations(spark):
     assert len(cv.avgMetrics) == 6
 
 
+def test_grid_search_splits_texts_once_and_fits_the_same(spark):
+    train = spark.createDataFrame([(i, f"{t} {i % 4}", y) for i, (_, t, y) in enumerate(TRAIN * 6)], "id long, text string, label double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        seen.add(1)
+        return text
+
+    counted = train.withColumn("text", F.udf(read)("text").alias("text")).withColumn("fold", models.fold_column("id", 3))
+    cv = models.grid_search(counted, [8, 50], [0.1, 0.01], "fold", max_iter=5, keep_models=True)
+    assert 0 < seen.value <= 2 * train.count()
+    plain, tf, lr = models.text_classifier(max_iter=5)
+    folds = train.withColumn("fold", models.fold_column("id", 3))
+    for params, model in zip(cv.getEstimatorParamMaps(), cv.subModels[1]):
+        named = {p.name: v for p, v in params.items()}
+        alone = plain.fit(folds.where("fold <> 1"), {tf.numFeatures: named["numFeatures"], lr.regParam: named["regParam"]})
+        assert np.allclose(model.stages[-1].coefficients.toArray(), alone.stages[-1].coefficients.toArray())
+        got, want = (m.transform(train).select("id", "prediction", vector_to_array("probability")[1].alias("p")).collect() for m in (model, alone))
+        assert [(r.id, r.prediction) for r in got] == [(r.id, r.prediction) for r in want] and np.allclose([r.p for r in got], [r.p for r in want])
+
+
 def test_kmeans_assigns_nearest_centre_and_is_layout_independent(spark):
     rng = np.random.default_rng(3)
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(200, 2)) + np.repeat([[0, 0], [6, 6]], 100, axis=0))]
