@@ -19,11 +19,15 @@ The growing budget has two joins, and each finds every pair. If the shorter line
 ``EXACT_BELOW`` characters, all lines of one budget are cut at the same
 places, so a probe stands for all their lengths, and its places are listed in a table by
 length. From there on the shorter line is cut into one segment of ``SEGMENT`` characters more
-than it has edits, and probed by the longer line's substrings at all places, in rounds by key:
-rows grow with the characters, not with the edits. So short segments are shared by
-many lines that are not near, and the time grows with the square of the table (README).
+than it has edits, and probed by the longer line's substrings at all places:
+rows grow with the characters, not with the edits. Keys hold a step of the length and of the
+place, so segments of other lengths and places never meet. Both joins go in turns, by budgets and by
+lengths, so the rows that lie on disk at once are a share of the table; a length that is too frequent is split by
+key. Short segments are still shared by
+lines that are not near, so the pairs that meet grow with the square of the table (README); before
+they leave a turn, the characters up to the shared segment are compared on the texts.
 Candidates whose counts of 32 letters differ by more than the edits can change are dropped
-before texts are joined to them.
+before whole texts are joined to them.
 
 A line that fills a third of the table is one row after the first, map-side combined,
 grouping. Removed places are gathered per document and taken out inside the document's row.
@@ -35,6 +39,7 @@ An empty table gives no rows. Other columns are kept as they are; added ones giv
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,7 +54,11 @@ MIN_CHARS = 1
 NEAR_CHARS = 20
 EXACT_BELOW = 100
 SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
-ROUND_ROWS = 50_000_000
+ROUND_ROWS = 5_000_000  # rows of a turn, which lie on disk together
+MOST_ROUNDS = 16  # in a larger table a turn has that share of the rows
+SEGMENTS_BEFORE = 6
+LENGTH_STEP = 1.15  # ratios of the steps of lengths and places in the keys of long lines
+PLACE_STEP = 1.3
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -154,33 +163,128 @@ def segment_table() -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
     return index, probe
 
 
+def _wide(line: Column) -> Column:
+    """Four bytes a character, so a part is found by its place without a walk over the characters before it."""
+    return F.encode(line, "UTF-32")
+
+
+def _part(wide: Column, at: Column, size: Column) -> Column:
+    return F.substring(wide, at * 4 + 1, size * 4)
+
+
+def _step(x: Column, ratio: float, least: int = 1) -> Column:
+    """Steps of a ladder that grows by ``ratio``; it never falls, so a range of ``x`` is the range of its ends' steps."""
+    return F.floor(F.log(x + least) / math.log(ratio)).cast("int")
+
+
+def _turns(rows: dict[int, int], total: int) -> list[tuple[int, int, int, int]]:
+    """``first, last, parts, part``: runs of keys (``rows`` has their sizes) near a share of ``total``; a key above it is taken in parts."""
+    share = max(ROUND_ROWS, -(-total // MOST_ROUNDS))
+    turns, held = [], 0
+    for key in sorted(rows):
+        if turns and held + rows[key] <= share:
+            turns[-1], held = (turns[-1][0], key, 1, 0), held + rows[key]
+        else:
+            parts = -(-rows[key] // share)
+            turns += [(key, key, parts, part) for part in range(parts)]
+            held = rows[key] if parts == 1 else share
+    return turns
+
+
+def _like_before(met: DataFrame, shorter: DataFrame, longer: DataFrame) -> DataFrame:
+    """``a, b``: the lines whose characters up to a shared segment agree as far as the edits allow.
+
+    Of two lines within ``k`` edits, let ``i`` be the first segment with no more than ``i`` edits up to its end.
+    It is unchanged with ``i`` edits before it, and the last ``m`` segments up to its end hold at most
+    ``m - 1``: before them there are more edits than segments. These ``m - 1`` edits move the start of what they become
+    by as much at most, so as many characters on either side are within twice as many edits.
+    """
+    size, at = F.lit(SEGMENT), F.col("a_at")
+    m = F.least(F.lit(SEGMENTS_BEFORE), F.floor(at / SEGMENT) + 1).cast("int")
+    end = F.col("b_at") + size
+    from_a = shorter.select(F.col("h").alias("a"), F.col("line").alias("a_line"))
+    from_b = longer.select(F.col("h").alias("b"), F.col("line").alias("b_line"))
+    parts = met.join(from_a.hint("merge"), "a").select("a", "b", "b_at", m.alias("m"), F.col("a_line").substr(at + size - m * size + 1, m * size).alias("part"))
+    start = F.greatest(F.lit(0), end - F.col("m") * size)
+    both = parts.join(from_b.hint("merge"), "b").withColumn("other", F.col("b_line").substr(start + 1, end - start))
+    like = F.call_function("levenshtein", F.col("part"), F.col("other"), (F.col("m") - 1) * 2) >= 0
+    return both.where(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _long_lines(lines: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines of ``EXACT_BELOW`` characters or more that may be within one edit in ten characters.
 
     The shorter line's first ``SEGMENT * (k + 1)`` characters are cut into ``k + 1`` segments, the
     longer line's substrings of ``SEGMENT`` characters are looked up at every place. Of two
     lines within ``k`` edits, some segment ``i`` is unchanged with ``i`` edits before it and at most ``k - i`` behind
-    it, so no pair is left out. Keys are taken in rounds, so the rows that lie on disk at once stay ``ROUND_ROWS``.
+    it, so no pair is left out. Keys hold the step of the longer line's length and that of its place: a
+    segment is indexed under all steps where it may be met, so other lengths and places never meet it.
+    Lengths are taken in turns, and a turn makes the rows of its own lengths only.
     """
-    n, k = F.col("n"), edit_budget(F.col("n"))
-    known = materialize(lines.select("h", "line", "n", letter_counts(F.col("line")).alias("letters")), "line-long")
-    rounds = -(-(known.agg(F.sum("n")).first()[0] or 1) // ROUND_ROWS)
-    segments, places = F.sequence(F.lit(0), k * SEGMENT, F.lit(SEGMENT)), F.sequence(F.lit(0), n - SEGMENT)
+    n, k, at = F.col("n"), edit_budget(F.col("n")), F.col("at")
+    known = materialize(lines.select("h", "line", "n", _step(n, LENGTH_STEP).alias("step")), "line-long")
+    rows = {r.step: r.n for r in known.groupBy("step").agg(F.sum("n").alias("n")).collect()}  # some hundred steps at most
+    size = F.lit(SEGMENT)
     found = []
-    for turn in range(rounds):
-
-        def side(name: str, at: Column) -> DataFrame:
-            keyed = known.withColumn("at", F.explode(at)).withColumn("key", F.xxhash64(F.col("line").substr(F.col("at") + 1, F.lit(SEGMENT))))
-            mine = keyed if rounds == 1 else keyed.where(F.pmod(F.col("key"), F.lit(rounds)) == turn)  # noqa: B023
-            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at", "letters")])
+    for first, last, parts, part in _turns(rows, sum(rows.values())):
+
+        def side(name: str, keyed: DataFrame) -> DataFrame:
+            keyed = keyed.withColumn("key", F.xxhash64("step", "place", "part"))
+            mine = keyed if parts == 1 else keyed.where(F.pmod(F.col("key"), F.lit(parts)) == part)  # noqa: B023
+            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at")])
+
+        own = ["h", "n"]
+        longer = known.where(F.col("step").between(first, last))
+        wide = longer.select(*own, "step", _wide(F.col("line")).alias("wide"))
+        places = wide.select(*own, "step", "wide", F.explode(F.sequence(F.lit(0), n - size)).alias("at"))
+        probe = places.select(*own, "step", "at", _step(at, PLACE_STEP, 8).alias("place"), _part(F.col("wide"), at, size).alias("part"))
+
+        most = _step(n + k, LENGTH_STEP)
+        shorter = known.where((F.col("step") <= last) & (most >= first))
+        wide = shorter.select(*own, F.col("step").alias("least"), _wide(F.col("line")).alias("wide"))
+        cuts = wide.select(*own, "least", "wide", F.explode(F.sequence(F.lit(0), k)).alias("i")).withColumn("at", F.col("i") * size)
+        cut = cuts.select(*own, "least", "i", "at", _part(F.col("wide"), at, size).alias("part"))
+        steps = F.sequence(F.greatest(F.col("least"), F.lit(first)), F.least(most, F.lit(last)))
+        met_at = F.sequence(*[_step(x, PLACE_STEP, 8) for x in (at - F.least(F.col("i"), k - F.col("i")), at + F.col("i"))])
+        index = cut.select(*own, "i", "at", "part", F.explode(steps).alias("step")).select(*own, "at", "part", "step", F.explode(met_at).alias("place"))
 
         longer_by, shift = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
         budget, before = edit_budget(F.col("a_n")), F.floor(F.col("a_at") / SEGMENT)
         where = longer_by.between(0, budget) & (F.abs(shift) <= before) & (F.abs(longer_by - shift) <= budget - before)
-        may_be = (F.col("a") != F.col("b")) & where & (_letters_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * budget)
-        met = side("a", segments).join(side("b", places).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
+        may_be = (F.col("a") != F.col("b")) & where
+        met = side("a", index).join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
+        pairs = _like_before(materialize(met.select("a", "b", "a_at", "b_at").distinct(), "line-met"), shorter, longer)
+        found.append(materialize(pairs, "line-round"))
+    return reduce(DataFrame.union, found, known.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
+
+
+def _short_lines(lines: DataFrame) -> DataFrame:
+    """``a, b``: hashes of the lines that may be near, the shorter one of ``NEAR_CHARS`` to ``EXACT_BELOW`` characters, in turns by its edits."""
+    spark = lines.sparkSession
+    reach = F.col("n").between(NEAR_CHARS, EXACT_BELOW + edit_budget(EXACT_BELOW))
+    known = materialize(lines.where(reach).select("h", "n", "line", letter_counts(F.col("line")).alias("letters")), "line-short")
+    index, probe = segment_table()
+    lengths = {r.n: r.lines for r in known.groupBy("n").agg(F.count(F.lit(1)).alias("lines")).collect()}  # of less than 111 lengths
+    rows: dict[int, int] = {}
+    for n, k, *_ in probe:
+        rows[k] = rows.get(k, 0) + lengths.get(n, 0)
+    found = []
+    for first, last, parts, part in _turns({k: r for k, r in rows.items() if r}, sum(rows.values())):
+
+        def keys(spec: list[tuple[int, ...]], name: str) -> DataFrame:
+            mine = [row for row in spec if first <= row[1] <= last]  # noqa: B023
+            at_hand = F.broadcast(spark.createDataFrame(mine, "n int, k int, i int, at int, size int"))
+            wide = known.select("h", "n", "letters", _wide(F.col("line")).alias("wide"))
+            keyed = wide.join(at_hand, "n").withColumn("key", F.xxhash64("k", "i", _part(F.col("wide"), F.col("at"), F.col("size"))))
+            keyed = keyed if parts == 1 else keyed.where(F.pmod(F.col("key"), F.lit(parts)) == part)  # noqa: B023
+            return keyed.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "key", "letters")])
+
+        same = (F.col("a_key") == F.col("b_key")) & (F.col("a") != F.col("b"))
+        budget = edit_budget(F.col("a_n"))
+        may_be = (F.col("b_n") - F.col("a_n")).between(0, budget) & (_letters_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * budget)
+        met = keys(index, "a").join(keys(probe, "b").hint("merge"), same & may_be)
         found.append(materialize(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-round"))
-    return reduce(DataFrame.union, found)
+    return reduce(DataFrame.union, found, known.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
 
 
 def _same_budget(texts: DataFrame, max_edits: int) -> DataFrame:
@@ -200,22 +304,8 @@ def _same_budget(texts: DataFrame, max_edits: int) -> DataFrame:
 
 def _growing_budget(texts: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines that may be within one edit in ten characters."""
-    spark = texts.sparkSession
     lines = texts.select("h", "line", F.char_length("line").alias("n"))
-
-    def keys(rows: list[tuple[int, ...]], name: str) -> DataFrame:
-        spec = F.broadcast(spark.createDataFrame(rows, "n int, k int, i int, at int, size int"))
-        part = F.col("line").substr(F.col("at") + 1, F.col("size"))
-        return lines.where(F.col("n") < EXACT_BELOW + edit_budget(EXACT_BELOW)).join(spec, "n").select(
-            F.col("h").alias(name), F.col("n").alias(f"{name}_n"), F.xxhash64("k", "i", part).alias(f"{name}_key")
-        )
-
-    index, probe = segment_table()
-    same = (F.col("a_key") == F.col("b_key")) & (F.col("a") != F.col("b"))
-    longer_by = F.col("b_n") - F.col("a_n")
-    short = keys(index, "a").join(keys(probe, "b"), same & longer_by.between(0, edit_budget(F.col("a_n"))))
-
-    return short.select("a", "b").union(_long_lines(lines.where(F.col("n") >= EXACT_BELOW)))
+    return _short_lines(lines).union(_long_lines(lines.where(F.col("n") >= EXACT_BELOW)))
 
 
 def _letters_agree(pairs: DataFrame, texts: DataFrame, most_of) -> DataFrame:

@@ -55,6 +55,44 @@ def test_edits_spread_evenly_over_long_lines_leave_no_pair_out(spark, monkeypatc
     assert got == want and len(want) >= 20
 
 
+def _long(spark, lines):
+    rows = [(i, line, len(line)) for i, line in enumerate(lines)]
+    pairs = linededup._long_lines(spark.createDataFrame(rows, "h long, line string, n int")).distinct()
+    return {(r.a, r.b) for r in pairs.collect()}
+
+
+def test_lines_that_share_one_segment_only_do_not_leave_the_turn(spark):
+    rng = random.Random(9)
+    first = "".join(rng.choice("abcdefghijklmn opq\u00e9") for _ in range(300))
+    lines = [first]
+    for at in (90, 180, 270):  # equal counts of every letter, one segment at the same place
+        rest = list(first[:at] + first[at + 9 :])
+        rng.shuffle(rest)
+        lines.append("".join(rest[:at]) + first[at : at + 9] + "".join(rest[at:]))
+    near = _changed(rng, first, 30)
+    assert _long(spark, lines) == set() and _long(spark, [*lines, near]) == {(0, 4)}
+
+
+@pytest.mark.parametrize("rows_at_once", [linededup.ROUND_ROWS, 3_000])
+def test_lines_of_one_length_are_split_by_key_and_no_pair_is_lost(spark, monkeypatch, rows_at_once):
+    monkeypatch.setattr(linededup, "ROUND_ROWS", rows_at_once)
+    rng = random.Random(10)
+    lines = ["".join(rng.choice("abcdefghijklmn opq\u00e9") for _ in range(200)) for _ in range(60)]
+    lines += [_changed(rng, line, 20) for line in lines[:30]]
+    assert {(i, 60 + i) for i in range(30)} <= _long(spark, lines)
+
+
+def test_turns_take_every_key_once_and_stay_near_their_share(monkeypatch):
+    monkeypatch.setattr(linededup, "ROUND_ROWS", 100)
+    sizes = {3: 40, 5: 60, 7: 1, 20: 250, 21: 100, 30: 99}
+    turns = linededup._turns(sizes, sum(sizes.values()))
+    taken = [(key, part) for first, last, parts, part in turns for key in sizes if first <= key <= last]
+    assert sorted({key for key, _ in taken}) == sorted(sizes) and len(taken) == len(set(taken))
+    assert all(sum(sizes[key] for key in sizes if first <= key <= last) / parts <= 100 for first, last, parts, _ in turns)
+    assert linededup._turns({1: 10_000}, 10_000) == [(1, 1, linededup.MOST_ROUNDS, part) for part in range(linededup.MOST_ROUNDS)]
+    assert linededup._turns({}, 0) == []
+
+
 def _within(x, y):
     """Whether two lines are within one edit in ten characters of the shorter one."""
     most = min(len(x), len(y)) // 10
