@@ -19,13 +19,15 @@ The growing budget has two joins, and each finds every pair. If the shorter line
 ``EXACT_BELOW`` characters, all lines of one budget are cut at the same
 places, so a probe stands for all their lengths, and its places are listed in a table by
 length. From there on the shorter line is cut into one segment of ``SEGMENT`` characters more
-than it has edits, and probed by the longer line's substrings at all places:
-rows grow with the characters, not with the edits. Keys hold a step of the length and of the
+than it has edits. Of the ``GRAM``-character parts of a segment the one with the least hash is
+indexed; the longer line is probed by the parts that are the least of any stretch of ``SEGMENT``
+characters, which are half of its places: rows grow with the characters, not with the edits. Keys hold a step of the length and of the
 place, so segments of other lengths and places never meet. Both joins go in turns, by budgets and by
 lengths, so the rows that lie on disk at once are a share of the table; a length that is too frequent is split by
 key. Short segments are still shared by
-lines that are not near, so the pairs that meet grow with the square of the table (README); before
-they leave a turn, the characters up to the shared segment are compared on the texts.
+lines that are not near, so the pairs that meet grow with the square of the table (README): hashes of the
+nine characters before the part drop most of them inside the join, and before
+the others leave a turn, the characters up to the shared segment are compared on the texts.
 Candidates whose counts of 32 letters differ by more than the edits can change are dropped
 before whole texts are joined to them.
 
@@ -54,8 +56,9 @@ MIN_CHARS = 1
 NEAR_CHARS = 20
 EXACT_BELOW = 100
 SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
-ROUND_ROWS = 5_000_000  # rows of a turn, which lie on disk together
-MOST_ROUNDS = 16  # in a larger table a turn has that share of the rows
+GRAM = 7  # characters of a segment that are looked up
+ROUND_ROWS = 20_000_000  # places of a turn, whose rows lie on disk together
+MOST_ROUNDS = 32  # in a larger table a turn has that share of the places
 SEGMENTS_BEFORE = 6
 LENGTH_STEP = 1.15  # ratios of the steps of lengths and places in the keys of long lines
 PLACE_STEP = 1.3
@@ -207,55 +210,101 @@ def _like_before(met: DataFrame, shorter: DataFrame, longer: DataFrame) -> DataF
     parts = met.join(from_a.hint("merge"), "a").select("a", "b", "b_at", m.alias("m"), F.col("a_line").substr(at + size - m * size + 1, m * size).alias("part"))
     start = F.greatest(F.lit(0), end - F.col("m") * size)
     both = parts.join(from_b.hint("merge"), "b").withColumn("other", F.col("b_line").substr(start + 1, end - start))
+    same = F.substring("part", -SEGMENT, SEGMENT) == F.substring("other", -SEGMENT, SEGMENT)
     like = F.call_function("levenshtein", F.col("part"), F.col("other"), (F.col("m") - 1) * 2) >= 0
-    return both.where(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.where(same & like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _gram(at: Column) -> Column:
+    return _part(F.col("wide"), at, F.lit(GRAM))
+
+
+def _is_least(at: Column) -> Column:
+    """Whether the part at this place has the least hash, the first of equal ones, of any stretch of ``SEGMENT`` characters; true as well for some at the ends."""
+    own, others = F.xxhash64(_gram(at)), SEGMENT - GRAM
+
+    def run(way: int) -> Column:
+        n = F.lit(others)
+        for far in range(others, 0, -1):
+            other = F.xxhash64(_gram(at + way * far))
+            n = F.when(other > own if way < 0 else other >= own, n).otherwise(far - 1)
+        return n
+
+    return run(-1) + run(1) >= others
+
+
+def _least_of(start: Column) -> Column:
+    """Place of the part of least hash, the first of equal ones, in the segment that starts there."""
+    hashes = [F.xxhash64(_gram(start + i)) for i in range(SEGMENT - GRAM + 1)]
+    place = F.lit(len(hashes) - 1)
+    for i in range(len(hashes) - 2, -1, -1):
+        place = F.when(reduce(Column.__and__, [hashes[i] <= h for h in hashes[i + 1 :]]), F.lit(i)).otherwise(place)
+    return start + place
+
+
+def _before(at: Column, moved: tuple[int, ...]) -> Column:
+    """A byte each of the hash of the five characters before ``at`` and of those of the four before these, moved by ``moved``."""
+    byte = lambda x, i: F.shiftleft(F.hash(x).bitwiseAND(F.lit(255)), 8 * i)
+    far = [byte(_part(F.col("wide"), at - 9 + by, F.lit(4)), i) for i, by in enumerate(moved, 1)]
+    return reduce(Column.bitwiseOR, far, byte(_part(F.col("wide"), at - 5, F.lit(5)), 0))
+
+
+def _same_before(a: Column, b: Column) -> Column:
+    """Whether the characters before two parts (``_before``) may be within one edit: it leaves the near five or the far four unchanged, these moved by one at most."""
+    byte = lambda x, i: F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))
+    return reduce(Column.__or__, [byte(a, 1) == byte(b, i) for i in (1, 2, 3)], byte(a, 0) == byte(b, 0))
 
 
 def _long_lines(lines: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines of ``EXACT_BELOW`` characters or more that may be within one edit in ten characters.
 
-    The shorter line's first ``SEGMENT * (k + 1)`` characters are cut into ``k + 1`` segments, the
-    longer line's substrings of ``SEGMENT`` characters are looked up at every place. Of two
+    The shorter line's first ``SEGMENT * (k + 1)`` characters are cut into ``k + 1`` segments. Of two
     lines within ``k`` edits, some segment ``i`` is unchanged with ``i`` edits before it and at most ``k - i`` behind
-    it, so no pair is left out. Keys hold the step of the longer line's length and that of its place: a
-    segment is indexed under all steps where it may be met, so other lengths and places never meet it.
-    Lengths are taken in turns, and a turn makes the rows of its own lengths only.
+    it, so no pair is left out. The part of least hash in a segment is the same wherever the segment stands, so
+    the longer line is probed at the places only that are the least of a stretch as long as a segment. Of the edits
+    before the segment, one at most is in the segment before it (``_like_before``). Keys hold the step of the longer line's length and that of its place: a
+    part is indexed under all steps where it may be met, so other lengths and places never meet it.
+    Lengths are taken in turns, and a turn makes the rows of its own lengths only. ``lines`` are read in every turn.
     """
     n, k, at = F.col("n"), edit_budget(F.col("n")), F.col("at")
-    known = materialize(lines.select("h", "line", "n", _step(n, LENGTH_STEP).alias("step")), "line-long")
-    rows = {r.step: r.n for r in known.groupBy("step").agg(F.sum("n").alias("n")).collect()}  # some hundred steps at most
-    size = F.lit(SEGMENT)
+    step = _step(n, LENGTH_STEP)
+    of_step = lines.groupBy(step.alias("step")).agg(F.sum("n").alias("places"), F.min("n").alias("least"), F.max("n").alias("most")).collect()  # some hundred steps at most
+    rows = {r.step: r.places for r in of_step}
     found = []
     for first, last, parts, part in _turns(rows, sum(rows.values())):
+        least = min(r.least for r in of_step if first <= r.step <= last)
+        most = max(r.most for r in of_step if first <= r.step <= last)
 
         def side(name: str, keyed: DataFrame) -> DataFrame:
             keyed = keyed.withColumn("key", F.xxhash64("step", "place", "part"))
             mine = keyed if parts == 1 else keyed.where(F.pmod(F.col("key"), F.lit(parts)) == part)  # noqa: B023
-            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at")])
-
-        own = ["h", "n"]
-        longer = known.where(F.col("step").between(first, last))
-        wide = longer.select(*own, "step", _wide(F.col("line")).alias("wide"))
-        places = wide.select(*own, "step", "wide", F.explode(F.sequence(F.lit(0), n - size)).alias("at"))
-        probe = places.select(*own, "step", "at", _step(at, PLACE_STEP, 8).alias("place"), _part(F.col("wide"), at, size).alias("part"))
-
-        most = _step(n + k, LENGTH_STEP)
-        shorter = known.where((F.col("step") <= last) & (most >= first))
-        wide = shorter.select(*own, F.col("step").alias("least"), _wide(F.col("line")).alias("wide"))
-        cuts = wide.select(*own, "least", "wide", F.explode(F.sequence(F.lit(0), k)).alias("i")).withColumn("at", F.col("i") * size)
-        cut = cuts.select(*own, "least", "i", "at", _part(F.col("wide"), at, size).alias("part"))
-        steps = F.sequence(F.greatest(F.col("least"), F.lit(first)), F.least(most, F.lit(last)))
+            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at", "before")])
+
+        own = ["h", "n", "step", "wide"]
+        longer = lines.where(n.between(least, most))
+        # Dealt before the rows are made, so tasks are even and their code has no bounds of a turn in it: it is compiled once.
+        wide = longer.select("h", "n", "line", step.alias("step")).repartition("h").withColumn("wide", _wide(F.col("line")))
+        places = wide.select(*own, F.explode(F.sequence(F.lit(0), n - GRAM)).alias("at")).where(_is_least(at))
+        probe = places.select("h", "n", "step", "at", _step(at, PLACE_STEP, 8).alias("place"), _gram(at).alias("part"), _before(at, (-1, 0, 1)).alias("before"))
+
+        reach = _step(n + k, LENGTH_STEP)
+        shorter = lines.where(n.between(least * 10 // 11, most)).where(reach >= first)
+        ends = [F.greatest(step, F.lit(first)).alias("step"), F.least(reach, F.lit(last)).alias("last")]
+        wide = shorter.select("h", "n", "line", *ends).repartition("h").withColumn("wide", _wide(F.col("line")))
+        cuts = wide.select(*own, "last", F.explode(F.sequence(F.lit(0), k)).alias("i")).withColumn("at", _least_of(F.col("i") * SEGMENT))
+        cut = cuts.select("h", "n", "step", "last", "i", "at", _gram(at).alias("part"), _before(at, (0,)).alias("before"))
         met_at = F.sequence(*[_step(x, PLACE_STEP, 8) for x in (at - F.least(F.col("i"), k - F.col("i")), at + F.col("i"))])
-        index = cut.select(*own, "i", "at", "part", F.explode(steps).alias("step")).select(*own, "at", "part", "step", F.explode(met_at).alias("place"))
+        kept = ["h", "n", "at", "part", "before"]
+        index = cut.select(*kept, "i", F.explode(F.sequence("step", "last")).alias("step")).select(*kept, "step", F.explode(met_at).alias("place"))
 
         longer_by, shift = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-        budget, before = edit_budget(F.col("a_n")), F.floor(F.col("a_at") / SEGMENT)
-        where = longer_by.between(0, budget) & (F.abs(shift) <= before) & (F.abs(longer_by - shift) <= budget - before)
-        may_be = (F.col("a") != F.col("b")) & where
+        budget, before, within = edit_budget(F.col("a_n")), F.floor(F.col("a_at") / SEGMENT).cast("int"), F.col("a_at") % SEGMENT
+        where = longer_by.between(0, budget) & (F.abs(shift) <= before) & (F.abs(longer_by - shift) <= budget - before) & (F.col("b_at") >= within)
+        may_be = (F.col("a") != F.col("b")) & where & ((before == 0) | _same_before(F.col("a_before"), F.col("b_before")))
         met = side("a", index).join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
-        pairs = _like_before(materialize(met.select("a", "b", "a_at", "b_at").distinct(), "line-met"), shorter, longer)
-        found.append(materialize(pairs, "line-round"))
-    return reduce(DataFrame.union, found, known.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
+        met = met.select("a", "b", (F.col("a_at") - within).alias("a_at"), (F.col("b_at") - within).alias("b_at")).distinct()
+        found.append(materialize(_like_before(materialize(met, "line-met"), shorter, longer), "line-round"))
+    return reduce(DataFrame.union, found, lines.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
 
 
 def _short_lines(lines: DataFrame) -> DataFrame:
@@ -304,7 +353,7 @@ def _same_budget(texts: DataFrame, max_edits: int) -> DataFrame:
 
 def _growing_budget(texts: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines that may be within one edit in ten characters."""
-    lines = texts.select("h", "line", F.char_length("line").alias("n"))
+    lines = texts.select("h", "line", "n")
     return _short_lines(lines).union(_long_lines(lines.where(F.col("n") >= EXACT_BELOW)))
 
 
@@ -317,13 +366,41 @@ def _letters_agree(pairs: DataFrame, texts: DataFrame, most_of) -> DataFrame:
     return both.where(apart <= 2 * most_of(F.least("a_n", "b_n"))).select("a", "b").distinct()
 
 
+def _by_length(texts: DataFrame) -> DataFrame:
+    """``texts`` with their length ``n``, written in its order, so a turn reads the pages of its own lengths only."""
+    return materialize(texts.withColumn("n", F.char_length("line")).sortWithinPartitions("n"), "line-firsts")
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _trimmed(two: Column) -> Column:
+    """Two different lines (``x, y``) backwards, without the characters that they share at the start."""
+    part = lambda c, at, size: F.substring(two[c], at + 1, size)
+    shared = F.aggregate(F.array(*[F.lit(2**i) for i in range(11, -1, -1)]), F.lit(0), lambda n, size: F.when(part("x", n, size) == part("y", n, size), n + size).otherwise(n))
+    return _bound(shared, lambda n: F.struct(*[F.reverse(part(c, n, F.char_length(two[c]))).alias(c) for c in "xy"]))
+
+
+def _within_budget(x: Column, y: Column) -> Column:
+    """Whether two different lines are within one edit in ten characters of the shorter one; what they share at the ends changes no distance."""
+    most = edit_budget(F.least(F.char_length(x), F.char_length(y)))
+    within = lambda two, bound: F.call_function("levenshtein", two["x"], two["y"], bound) >= 0
+    # Most near copies differ little: a band of an eighth first, the whole one for the rest.
+    near = lambda two: within(two, F.floor(two["most"] / 8).cast("int")) | within(two, two["most"])
+    both = lambda two: _bound(_trimmed(two), lambda cut: _bound(_trimmed(cut), lambda left: near(F.struct(left["x"].alias("x"), left["y"].alias("y"), most.alias("most")))))
+    return _bound(F.struct(x.alias("x"), y.alias("y")), both)
+
+
 def near_lines(lines: DataFrame, max_edits: int | None = None) -> DataFrame:
     """``a_h, a_h2, b_h, b_h2``: pairs of different lines near each other, each pair once."""
-    return near_texts(lines.groupBy("h", "h2").agg(F.first("line").alias("line")), max_edits)
+    texts = lines.groupBy("h", "h2").agg(F.first("line").alias("line"))
+    return near_texts(texts if max_edits is not None else _by_length(texts), max_edits)
 
 
 def near_texts(texts: DataFrame, max_edits: int | None = None) -> DataFrame:
-    """``near_lines`` of lines that are one row each (``h, h2, line``)."""
+    """``near_lines`` of lines that are one row each (``h, h2, line``; without ``max_edits`` as ``_by_length`` writes them)."""
     found = _growing_budget(texts) if max_edits is None else _same_budget(texts, max_edits)
     pairs = materialize(
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
@@ -338,13 +415,11 @@ def near_texts(texts: DataFrame, max_edits: int | None = None) -> DataFrame:
         pairs = materialize(_letters_agree(pairs, found, most_of), "line-likely")
     side = lambda p: found.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "line")])
     both = pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
-    most = most_of(F.least(F.char_length("a_line"), F.char_length("b_line")))
-    within = lambda bound: F.call_function("levenshtein", F.col("a_line"), F.col("b_line"), bound)
-    distance = within(most)
-    if max_edits is None:  # most near copies differ little: a band of an eighth first, the whole one for the rest
-        few = F.floor(most / 8).cast("int")
-        distance = F.when(within(few) >= 0, within(few)).otherwise(distance)
-    return both.where(distance.between(1, most)).select("a_h", "a_h2", "b_h", "b_h2")
+    if max_edits is None:
+        near = (F.col("a_line") != F.col("b_line")) & _within_budget(F.col("a_line"), F.col("b_line"))
+    else:
+        near = F.call_function("levenshtein", F.col("a_line"), F.col("b_line"), F.lit(max_edits)).between(1, max_edits)
+    return both.where(near).select("a_h", "a_h2", "b_h", "b_h2")
 
 
 def removed_places(
@@ -356,12 +431,10 @@ def removed_places(
 ) -> DataFrame:
     """``doc, places``: per document the places (from 0) of the lines to remove."""
     lines = _lines(docs, id_col, text_col, min_chars)
-    firsts = materialize(
-        lines.groupBy("h", "h2").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "place")).alias("first"), F.first("line").alias("line")
-        ),
-        "line-firsts",
+    firsts = lines.groupBy("h", "h2").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "place")).alias("first"), F.first("line").alias("line")
     )  # the texts too, so documents are split and lines grouped once for both
+    firsts = materialize(firsts, "line-firsts") if max_edits is not None else _by_length(firsts)
     near = materialize(near_texts(firsts, max_edits), "line-near")
     named = lambda p: firsts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "first")])
     later = (
@@ -377,7 +450,7 @@ def removed_places(
         .withColumn("gone", F.lit(True))
     )
     dealt = materialize(
-        firsts.join(later, ["h", "h2"], "left").where("n > 1 or gone").select("h", "h2", "first", "gone"), "line-dealt"
+        firsts.join(later, ["h", "h2"], "left").where("copies > 1 or gone").select("h", "h2", "first", "gone"), "line-dealt"
     )
     occurs = lines.select("doc", "place", "h", "h2").join(dealt, ["h", "h2"])
     out = occurs.where(F.col("gone").isNotNull() | (F.struct("doc", "place") != F.col("first")))

@@ -93,6 +93,45 @@ def test_turns_take_every_key_once_and_stay_near_their_share(monkeypatch):
     assert linededup._turns({}, 0) == []
 
 
+def test_half_of_the_places_are_probed_and_every_segment_has_its_part_among_them(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(letters) for _ in range(300)) for letters in ("abcdefghijklmn opq\u00e9", "ab", "a", "xyz\U0001f600")]
+    lines = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "h long, line string, n int")
+    wide = lines.withColumn("wide", linededup._wide(F.col("line")))
+    at = lambda last: wide.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - last)))
+    probed = {(r.h, r.at) for r in at(linededup.GRAM).where(linededup._is_least(F.col("at"))).collect()}
+    least = {(r.h, r.place) for r in at(linededup.SEGMENT).select("h", linededup._least_of(F.col("at")).alias("place")).collect()}
+    assert least <= probed and sum(h == 0 for h, _ in probed) < 0.6 * 300
+
+
+def test_long_lines_are_not_copied_for_their_turns(spark, monkeypatch):
+    written = []
+    plain = linededup.materialize
+    monkeypatch.setattr(linededup, "materialize", lambda df, label: written.append(df.columns) or plain(df, label))
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcdefghijklmn opq") for _ in range(200)) for _ in range(10)]
+    assert (0, 10) in _long(spark, [*lines, _changed(rng, lines[0], 20)])
+    assert written and not any("line" in columns for columns in written)
+
+
+def test_lines_are_compared_without_the_ends_they_share(spark):
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("ab\u00e9\U0001f600") for _ in range(n))
+    rows = [("a" * 30, "a" * 33), ("a" * 30, "a" * 34), ("ab" * 20, "ba" * 20), ("a" * 5000, "a" * 5500), ("a" * 5000, "a" * 5501)]
+    for n in (20, 29, 30, 60, 99, 150, 400):
+        for _ in range(12):
+            x = word(n)
+            spot = rng.randrange(n)
+            rows.append((x, x[:spot] + word(rng.randint(0, n // 10 + 2)) + x[spot + rng.randint(0, n // 10 + 2) :]))
+    rows = [(x, y) for x, y in rows if x != y]
+    near = linededup._within_budget(F.col("x"), F.col("y")).alias("near")
+    got = {(r.x, r.y): r.near for r in spark.createDataFrame(rows, "x string, y string").select("x", "y", near).collect()}
+    long = {row for row in rows if len(row[0]) == 5000}
+    want = {(x, y): _within(x, y) for x, y in set(rows) - long} | {(x, y): len(y) <= 5500 for x, y in long}
+    want = {(x, y): w and min(len(x), len(y)) >= 20 for (x, y), w in want.items()}
+    assert got == want and 0 < sum(got.values()) < len(got)
+
+
 def _within(x, y):
     """Whether two lines are within one edit in ten characters of the shorter one."""
     most = min(len(x), len(y)) // 10
