@@ -42,6 +42,7 @@ An empty table gives no rows. Other columns are kept as they are; added ones giv
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +50,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.models import materialize
 from quarry.operators.sampling import fresh
+from quarry.session import remove_scratch
 
 LETTERS = "eatoinsr"
 ALL_LETTERS = (LETTERS, "hldcumfp", "gwybvkxj", "qz .,-'\"")
@@ -58,10 +60,11 @@ EXACT_BELOW = 100
 SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
 GRAM = 7  # characters of a segment that are looked up
 ROUND_ROWS = 20_000_000  # places of a turn, whose rows lie on disk together
-MOST_ROUNDS = 32  # in a larger table a turn has that share of the places
+MOST_ROUNDS = 100  # in a larger table a turn has that share of the places
 SEGMENTS_BEFORE = 6
-LENGTH_STEP = 1.15  # ratios of the steps of lengths and places in the keys of long lines
-PLACE_STEP = 1.3
+MET_TWICE_FROM = 180  # characters from which two segments or more are met
+LENGTH_STEP = 1.1  # ratios of the steps of lengths and places in the keys of long lines
+PLACE_STEP = 1.2
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -180,6 +183,11 @@ def _step(x: Column, ratio: float, least: int = 1) -> Column:
     return F.floor(F.log(x + least) / math.log(ratio)).cast("int")
 
 
+def _let_go(table: DataFrame) -> None:
+    """Removes a written table that is not needed any more."""
+    remove_scratch(table.sparkSession, [file.rpartition("/")[0] for file in table.inputFiles()[:1]])
+
+
 def _turns(rows: dict[int, int], total: int) -> list[tuple[int, int, int, int]]:
     """``first, last, parts, part``: runs of keys (``rows`` has their sizes) near a share of ``total``; a key above it is taken in parts."""
     share = max(ROUND_ROWS, -(-total // MOST_ROUNDS))
@@ -221,7 +229,12 @@ def _gram(at: Column) -> Column:
 
 def _is_least(at: Column) -> Column:
     """Whether the part at this place has the least hash, the first of equal ones, of any stretch of ``SEGMENT`` characters; true as well for some at the ends."""
-    own, others = F.xxhash64(_gram(at)), SEGMENT - GRAM
+    return _least_around(at, F.xxhash64(_gram(at)))
+
+
+def _least_around(at: Column, own: Column) -> Column:
+    """``_is_least`` of a part whose hash is ``own``."""
+    others = SEGMENT - GRAM
 
     def run(way: int) -> Column:
         n = F.lit(others)
@@ -258,55 +271,93 @@ def _same_before(a: Column, b: Column) -> Column:
 def _long_lines(lines: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines of ``EXACT_BELOW`` characters or more that may be within one edit in ten characters.
 
-    The shorter line's first ``SEGMENT * (k + 1)`` characters are cut into ``k + 1`` segments. Of two
-    lines within ``k`` edits, some segment ``i`` is unchanged with ``i`` edits before it and at most ``k - i`` behind
-    it, so no pair is left out. The part of least hash in a segment is the same wherever the segment stands, so
-    the longer line is probed at the places only that are the least of a stretch as long as a segment. Of the edits
-    before the segment, one at most is in the segment before it (``_like_before``). Keys hold the step of the longer line's length and that of its place: a
+    The shorter line is cut into segments of ``SEGMENT`` characters, ``r`` more than its ``k`` edits. Go along them and count the segments
+    without their edits: the count ends at ``r`` or more, so there are segments at which it first comes to 1, 2 .. ``r``.
+    Each of these ``r`` segments ``i`` is unchanged, with ``i`` edits before it at most, ``k - i + r - 1`` behind it at most, and no more than one
+    in the segment before it. So lines within ``k`` edits meet at ``r`` segments or more (``_segments_met``), and no pair is left out. Lines of less than 180 characters
+    may meet at one only: they are compared there (``_like_before``). The part of least hash in a segment is the same wherever the segment stands, so
+    the longer line is probed at the places only that are the least of a stretch as long as a segment. Keys hold the step of the longer line's length and that of its place: a
     part is indexed under all steps where it may be met, so other lengths and places never meet it.
     Lengths are taken in turns, and a turn makes the rows of its own lengths only. ``lines`` are read in every turn.
     """
-    n, k, at = F.col("n"), edit_budget(F.col("n")), F.col("at")
+    n, k, at, i = F.col("n"), edit_budget(F.col("n")), F.col("at"), F.col("i")
     step = _step(n, LENGTH_STEP)
     of_step = lines.groupBy(step.alias("step")).agg(F.sum("n").alias("places"), F.min("n").alias("least"), F.max("n").alias("most")).collect()  # some hundred steps at most
     rows = {r.step: r.places for r in of_step}
-    found = []
+    found, counted = [], []
     for first, last, parts, part in _turns(rows, sum(rows.values())):
         least = min(r.least for r in of_step if first <= r.step <= last)
         most = max(r.most for r in of_step if first <= r.step <= last)
+        from_at, to_at, mine = _stretch(most, parts, part)
 
-        def side(name: str, keyed: DataFrame) -> DataFrame:
-            keyed = keyed.withColumn("key", F.xxhash64("step", "place", "part"))
-            mine = keyed if parts == 1 else keyed.where(F.pmod(F.col("key"), F.lit(parts)) == part)  # noqa: B023
-            return mine.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at", "before")])
+        def side(name: str, places: DataFrame, *kept: str) -> DataFrame:
+            places = places if parts == 1 else places.where(mine(F.col("place")))  # noqa: B023
+            keyed = places.withColumn("key", F.xxhash64("step", "place", "part"))
+            return keyed.select(F.col("h").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "at", "before", *kept)])
 
         own = ["h", "n", "step", "wide"]
         longer = lines.where(n.between(least, most))
         # Dealt before the rows are made, so tasks are even and their code has no bounds of a turn in it: it is compiled once.
         wide = longer.select("h", "n", "line", step.alias("step")).repartition("h").withColumn("wide", _wide(F.col("line")))
-        places = wide.select(*own, F.explode(F.sequence(F.lit(0), n - GRAM)).alias("at")).where(_is_least(at))
-        probe = places.select("h", "n", "step", "at", _step(at, PLACE_STEP, 8).alias("place"), _gram(at).alias("part"), _before(at, (-1, 0, 1)).alias("before"))
+        ends = [F.lit(0), n - GRAM] if parts == 1 else [F.lit(from_at), F.least(n - GRAM, F.lit(to_at))]
+        places = wide.where(ends[0] <= ends[1]).select(*own, F.explode(F.sequence(*ends)).alias("at"))
+        hashed = places.select(*own, "at", F.explode(F.array(F.xxhash64(_gram(at)))).alias("part"))  # a row each, so the hash is made once
+        probe = hashed.where(_least_around(at, F.col("part"))).select("h", "n", "step", "at", "part", _step(at, PLACE_STEP, 8).alias("place"), _before(at, (-1, 0, 1)).alias("before"))
 
         reach = _step(n + k, LENGTH_STEP)
         shorter = lines.where(n.between(least * 10 // 11, most)).where(reach >= first)
         ends = [F.greatest(step, F.lit(first)).alias("step"), F.least(reach, F.lit(last)).alias("last")]
         wide = shorter.select("h", "n", "line", *ends).repartition("h").withColumn("wide", _wide(F.col("line")))
-        cuts = wide.select(*own, "last", F.explode(F.sequence(F.lit(0), k)).alias("i")).withColumn("at", _least_of(F.col("i") * SEGMENT))
-        cut = cuts.select("h", "n", "step", "last", "i", "at", _gram(at).alias("part"), _before(at, (0,)).alias("before"))
-        met_at = F.sequence(*[_step(x, PLACE_STEP, 8) for x in (at - F.least(F.col("i"), k - F.col("i")), at + F.col("i"))])
-        kept = ["h", "n", "at", "part", "before"]
-        index = cut.select(*kept, "i", F.explode(F.sequence("step", "last")).alias("step")).select(*kept, "step", F.explode(met_at).alias("place"))
+        # A part is met at i places less or more at most, so of the segments those that may be met in this stretch.
+        ends = [F.lit(0), F.floor(n / SEGMENT).cast("int") - 1]
+        if parts > 1:
+            ends = [F.lit(max(0, from_at - SEGMENT) // (SEGMENT + 1)), F.least(ends[1], F.lit(to_at // (SEGMENT - 1) + 1))]
+        cuts = wide.where(ends[0] <= ends[1]).select(*own, "last", F.explode(F.sequence(*ends)).alias("i")).withColumn("at", _least_of(i * SEGMENT))
+        behind = (k - i + _segments_met(n) - 1).alias("behind")
+        cut = cuts.select("h", "n", "step", "last", "i", behind, "at", F.explode(F.array(F.xxhash64(_gram(at)))).alias("part"), _before(at, (0,)).alias("before")).where("behind >= 0")
+        met_at = F.sequence(*[_step(x, PLACE_STEP, 8) for x in (at - F.least(i, F.col("behind")), at + i)])
+        kept = ["h", "n", "at", "part", "before", "i", "behind"]
+        index = cut.select(*kept, F.explode(F.sequence("step", "last")).alias("step")).select(*kept, "step", F.explode(met_at).alias("place"))
 
         longer_by, shift = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-        budget, before, within = edit_budget(F.col("a_n")), F.floor(F.col("a_at") / SEGMENT).cast("int"), F.col("a_at") % SEGMENT
-        where = longer_by.between(0, budget) & (F.abs(shift) <= before) & (F.abs(longer_by - shift) <= budget - before) & (F.col("b_at") >= within)
-        may_be = (F.col("a") != F.col("b")) & where & ((before == 0) | _same_before(F.col("a_before"), F.col("b_before")))
-        met = side("a", index).join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
-        met = met.select("a", "b", (F.col("a_at") - within).alias("a_at"), (F.col("b_at") - within).alias("b_at")).distinct()
-        found.append(materialize(_like_before(materialize(met, "line-met"), shorter, longer), "line-round"))
+        before, within = F.col("a_i"), F.col("a_at") - F.col("a_i") * SEGMENT
+        where = (F.abs(shift) <= before) & (longer_by >= 0) & (F.abs(longer_by - shift) <= F.col("a_behind")) & (longer_by <= edit_budget(F.col("a_n"))) & (F.col("b_at") >= within)
+        # The cheapest test first: most that share a key fail it.
+        may_be = ((before == 0) | _same_before(F.col("a_before"), F.col("b_before"))) & (F.col("a") != F.col("b")) & where
+        met = side("a", index, "i", "behind").join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
+        met = met.select("a", "b", (F.col("a_at") - within).alias("a_at"), (F.col("b_at") - within).alias("b_at"), _segments_met(F.col("a_n")).alias("needed"))
+        if least * 10 // 11 < MET_TWICE_FROM:
+            all_met = materialize(met, "line-met")
+            found.append(materialize(_like_before(all_met.where("needed = 1").drop("needed").distinct(), shorter, longer), "line-round"))
+            met = all_met.where("needed > 1")
+        times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.max("needed").alias("needed"))
+        if parts > 1:  # counts of all stretches, before any pair is left out
+            counted.append(materialize(times, "line-times"))
+            times = reduce(DataFrame.union, counted).groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("needed").alias("needed"))
+        if part == parts - 1:
+            found.append(materialize(times.where("times >= needed").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-round"))
+            for table in counted:
+                _let_go(table)
+            counted = []
+        if least * 10 // 11 < MET_TWICE_FROM:
+            _let_go(all_met)
     return reduce(DataFrame.union, found, lines.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
 
 
+def _stretch(most: int, parts: int, part: int) -> tuple[int, int, Callable[[Column], Column]]:
+    """First and last place, and a test for steps of places: the places of a part of the lines of ``most`` characters or less. The ends may be a little wide, the steps are exact."""
+    step = lambda part: 0 if part == 0 else math.ceil(math.log(most * part / parts + 8) / math.log(PLACE_STEP))
+    first, end = step(part), step(part + 1) if part < parts - 1 else math.inf
+    from_at = max(0, math.floor(PLACE_STEP**first) - 9) if part else 0
+    to_at = min(most, math.ceil(PLACE_STEP**end) - 7) if end < math.inf else most
+    return from_at, to_at, lambda place: (place >= first) & (F.lit(True) if end == math.inf else place < end)
+
+
+def _segments_met(n: Column) -> Column:
+    """At how many segments a line of length ``n`` meets one near it that is as long or longer, at least."""
+    return F.floor(n / SEGMENT).cast("int") - edit_budget(n)
+
+
 def _short_lines(lines: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines that may be near, the shorter one of ``NEAR_CHARS`` to ``EXACT_BELOW`` characters, in turns by its edits."""
     spark = lines.sparkSession
@@ -358,12 +409,12 @@ def _growing_budget(texts: DataFrame) -> DataFrame:
 
 
 def _letters_agree(pairs: DataFrame, texts: DataFrame, most_of) -> DataFrame:
-    """The ``pairs`` whose letter counts (``l0, l1, ...`` of ``texts``) differ by no more than the edits can change; no text is moved for them."""
+    """The ``pairs`` whose letter counts (``l0, l1, ...`` of ``texts``) differ by no more than the edits can change, and by how many; no text is moved for them."""
     known = texts.select("h", F.char_length("line").alias("n"), *[f"l{i}" for i in range(len(ALL_LETTERS))])
     side = lambda p: known.select(*[F.col(c).alias(f"{p}_{c}") for c in known.columns])
     both = pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
     apart = sum((_letters_apart(F.col(f"a_l{i}"), F.col(f"b_l{i}")) for i in range(len(ALL_LETTERS))), F.lit(0).cast("bigint"))
-    return both.where(apart <= 2 * most_of(F.least("a_n", "b_n"))).select("a", "b").distinct()
+    return both.where(apart <= 2 * most_of(F.least("a_n", "b_n"))).select("a", "b", apart.alias("apart")).distinct()
 
 
 def _by_length(texts: DataFrame) -> DataFrame:
@@ -401,25 +452,61 @@ def near_lines(lines: DataFrame, max_edits: int | None = None) -> DataFrame:
 
 def near_texts(texts: DataFrame, max_edits: int | None = None) -> DataFrame:
     """``near_lines`` of lines that are one row each (``h, h2, line``; without ``max_edits`` as ``_by_length`` writes them)."""
+    pairs, found = _likely(texts, max_edits)
+    side = lambda p: found.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "line")])
+    both = pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
+    return both.where(_near(max_edits)).select(*PAIR)
+
+
+PAIR = ("a_h", "a_h2", "b_h", "b_h2")
+
+
+def _near(max_edits: int | None) -> Column:
+    """Whether ``a_line`` and ``b_line`` are near each other and not equal."""
+    if max_edits is None:
+        return (F.col("a_line") != F.col("b_line")) & _within_budget(F.col("a_line"), F.col("b_line"))
+    return F.call_function("levenshtein", F.col("a_line"), F.col("b_line"), F.lit(max_edits)).between(1, max_edits)
+
+
+def _likely(texts: DataFrame, max_edits: int | None) -> tuple[DataFrame, DataFrame]:
+    """``a, b``, hashes of pairs that may be near (without ``max_edits`` also how far ``apart`` their letters are), and the rows of ``texts`` that are in one."""
     found = _growing_budget(texts) if max_edits is None else _same_budget(texts, max_edits)
     pairs = materialize(
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "line-pairs",
     )
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    met = texts.select("h", "h2", "line").join(materialize(wanted, "line-wanted"), "h", "left_semi")
+    met = texts.select("h", "h2", "line", *[c for c in texts.columns if c == "first"]).join(materialize(wanted, "line-wanted"), "h", "left_semi")
     counts = [letter_counts(F.col("line"), eight).alias(f"l{i}") for i, eight in enumerate(ALL_LETTERS)] if max_edits is None else []
     found = materialize(met.select("*", *counts), "line-texts")
-    most_of = lambda n: edit_budget(n) if max_edits is None else F.lit(max_edits)
-    if max_edits is None:
-        pairs = materialize(_letters_agree(pairs, found, most_of), "line-likely")
-    side = lambda p: found.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "line")])
-    both = pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
     if max_edits is None:
-        near = (F.col("a_line") != F.col("b_line")) & _within_budget(F.col("a_line"), F.col("b_line"))
-    else:
-        near = F.call_function("levenshtein", F.col("a_line"), F.col("b_line"), F.lit(max_edits)).between(1, max_edits)
-    return both.where(near).select("a_h", "a_h2", "b_h", "b_h2")
+        pairs = materialize(_letters_agree(pairs, found, edit_budget), "line-likely")
+    return pairs, found
+
+
+def _later(first_a: Column, first_b: Column) -> Column:
+    """The names of the later line of a pair."""
+    return F.when(first_a < first_b, F.struct(F.col("b_h").alias("h"), F.col("b_h2").alias("h2"))).otherwise(F.struct(F.col("a_h").alias("h"), F.col("a_h2").alias("h2")))
+
+
+def _near_earlier(firsts: DataFrame) -> DataFrame:
+    """``h, h2``: the lines that are near an earlier one, with one edit in ten characters.
+
+    One pair is enough for a line, so its likeliest one is compared first, and its others only if these two are not near.
+    """
+    pairs, found = _likely(firsts, None)
+    side = lambda p, *kept: found.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", *kept)])
+    both = pairs.join(side("a", "first"), F.col("a") == F.col("a_h")).join(side("b", "first"), F.col("b") == F.col("b_h"))
+    tries = materialize(both.select(*PAIR, "apart", _later(F.col("a_first"), F.col("b_first")).alias("later")), "line-tries")
+
+    def compared(some: DataFrame) -> DataFrame:
+        texts = some.join(side("a", "line"), ["a_h", "a_h2"]).join(side("b", "line"), ["b_h", "b_h2"])
+        return materialize(texts.where(_near(None)).select("later").distinct(), "line-near")
+
+    likeliest = tries.groupBy("later").agg(F.min_by(F.struct(*PAIR), F.struct("apart", *PAIR)).alias("pair")).select("later", "pair.*")
+    at_once = compared(likeliest)
+    rest = tries.join(at_once, "later", "left_anti").join(likeliest.select(*PAIR), list(PAIR), "left_anti")
+    return at_once.union(compared(rest)).select("later.*")
 
 
 def removed_places(
@@ -435,20 +522,14 @@ def removed_places(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "place")).alias("first"), F.first("line").alias("line")
     )  # the texts too, so documents are split and lines grouped once for both
     firsts = materialize(firsts, "line-firsts") if max_edits is not None else _by_length(firsts)
-    near = materialize(near_texts(firsts, max_edits), "line-near")
-    named = lambda p: firsts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "first")])
-    later = (
-        near.join(named("a"), ["a_h", "a_h2"])
-        .join(named("b"), ["b_h", "b_h2"])
-        .select(
-            F.when(F.col("a_first") < F.col("b_first"), F.struct("b_h", "b_h2"))
-            .otherwise(F.struct(F.col("a_h").alias("b_h"), F.col("a_h2").alias("b_h2")))
-            .alias("gone")
-        )
-        .select(F.col("gone.b_h").alias("h"), F.col("gone.b_h2").alias("h2"))
-        .distinct()
-        .withColumn("gone", F.lit(True))
-    )
+    if max_edits is None:
+        later = _near_earlier(firsts)
+    else:
+        near = materialize(near_texts(firsts, max_edits), "line-near")
+        named = lambda p: firsts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h", "h2", "first")])
+        both = near.join(named("a"), ["a_h", "a_h2"]).join(named("b"), ["b_h", "b_h2"])
+        later = both.select(_later(F.col("a_first"), F.col("b_first")).alias("later")).select("later.*").distinct()
+    later = later.withColumn("gone", F.lit(True))
     dealt = materialize(
         firsts.join(later, ["h", "h2"], "left").where("copies > 1 or gone").select("h", "h2", "first", "gone"), "line-dealt"
     )
