@@ -61,8 +61,7 @@ SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
 GRAM = 7  # characters of a segment that are looked up
 ROUND_ROWS = 20_000_000  # places of a turn, whose rows lie on disk together
 MOST_ROUNDS = 100  # in a larger table a turn has that share of the places
-SEGMENTS_BEFORE = 6
-MET_TWICE_FROM = 180  # characters from which two segments or more are met
+SHORT_SEGMENTS_BELOW = 180  # from there on two segments of that length or more are met; shorter lines are cut into smaller ones for that
 LENGTH_STEP = 1.1  # ratios of the steps of lengths and places in the keys of long lines
 PLACE_STEP = 1.2
 
@@ -202,39 +201,18 @@ def _turns(rows: dict[int, int], total: int) -> list[tuple[int, int, int, int]]:
     return turns
 
 
-def _like_before(met: DataFrame, shorter: DataFrame, longer: DataFrame) -> DataFrame:
-    """``a, b``: the lines whose characters up to a shared segment agree as far as the edits allow.
-
-    Of two lines within ``k`` edits, let ``i`` be the first segment with no more than ``i`` edits up to its end.
-    It is unchanged with ``i`` edits before it, and the last ``m`` segments up to its end hold at most
-    ``m - 1``: before them there are more edits than segments. These ``m - 1`` edits move the start of what they become
-    by as much at most, so as many characters on either side are within twice as many edits.
-    """
-    size, at = F.lit(SEGMENT), F.col("a_at")
-    m = F.least(F.lit(SEGMENTS_BEFORE), F.floor(at / SEGMENT) + 1).cast("int")
-    end = F.col("b_at") + size
-    from_a = shorter.select(F.col("h").alias("a"), F.col("line").alias("a_line"))
-    from_b = longer.select(F.col("h").alias("b"), F.col("line").alias("b_line"))
-    parts = met.join(from_a.hint("merge"), "a").select("a", "b", "b_at", m.alias("m"), F.col("a_line").substr(at + size - m * size + 1, m * size).alias("part"))
-    start = F.greatest(F.lit(0), end - F.col("m") * size)
-    both = parts.join(from_b.hint("merge"), "b").withColumn("other", F.col("b_line").substr(start + 1, end - start))
-    same = F.substring("part", -SEGMENT, SEGMENT) == F.substring("other", -SEGMENT, SEGMENT)
-    like = F.call_function("levenshtein", F.col("part"), F.col("other"), (F.col("m") - 1) * 2) >= 0
-    return both.where(same & like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _gram(at: Column) -> Column:
     return _part(F.col("wide"), at, F.lit(GRAM))
 
 
-def _is_least(at: Column) -> Column:
-    """Whether the part at this place has the least hash, the first of equal ones, of any stretch of ``SEGMENT`` characters; true as well for some at the ends."""
-    return _least_around(at, F.xxhash64(_gram(at)))
+def _is_least(at: Column, segment: int = SEGMENT) -> Column:
+    """Whether the part at this place has the least hash, the first of equal ones, of any stretch of ``segment`` characters; true as well for some at the ends."""
+    return _least_around(at, F.xxhash64(_gram(at)), segment)
 
 
-def _least_around(at: Column, own: Column) -> Column:
+def _least_around(at: Column, own: Column, segment: int) -> Column:
     """``_is_least`` of a part whose hash is ``own``."""
-    others = SEGMENT - GRAM
+    others = segment - GRAM
 
     def run(way: int) -> Column:
         n = F.lit(others)
@@ -246,24 +224,24 @@ def _least_around(at: Column, own: Column) -> Column:
     return run(-1) + run(1) >= others
 
 
-def _least_of(start: Column) -> Column:
+def _least_of(start: Column, segment: int = SEGMENT) -> Column:
     """Place of the part of least hash, the first of equal ones, in the segment that starts there."""
-    hashes = [F.xxhash64(_gram(start + i)) for i in range(SEGMENT - GRAM + 1)]
+    hashes = [F.xxhash64(_gram(start + i)) for i in range(segment - GRAM + 1)]
     place = F.lit(len(hashes) - 1)
     for i in range(len(hashes) - 2, -1, -1):
         place = F.when(reduce(Column.__and__, [hashes[i] <= h for h in hashes[i + 1 :]]), F.lit(i)).otherwise(place)
     return start + place
 
 
-def _before(at: Column, moved: tuple[int, ...]) -> Column:
-    """A byte each of the hash of the five characters before ``at`` and of those of the four before these, moved by ``moved``."""
+def _before(at: Column, moved: tuple[int, ...], segment: int) -> Column:
+    """A byte each of the hash of the five characters before ``at`` and of the others of a segment before these, moved by ``moved``."""
     byte = lambda x, i: F.shiftleft(F.hash(x).bitwiseAND(F.lit(255)), 8 * i)
-    far = [byte(_part(F.col("wide"), at - 9 + by, F.lit(4)), i) for i, by in enumerate(moved, 1)]
+    far = [byte(_part(F.col("wide"), at - segment + by, F.lit(segment - 5)), i) for i, by in enumerate(moved, 1)]
     return reduce(Column.bitwiseOR, far, byte(_part(F.col("wide"), at - 5, F.lit(5)), 0))
 
 
 def _same_before(a: Column, b: Column) -> Column:
-    """Whether the characters before two parts (``_before``) may be within one edit: it leaves the near five or the far four unchanged, these moved by one at most."""
+    """Whether the characters before two parts (``_before``) may be within one edit: it leaves the near five or the far others unchanged, these moved by one at most."""
     byte = lambda x, i: F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))
     return reduce(Column.__or__, [byte(a, 1) == byte(b, i) for i in (1, 2, 3)], byte(a, 0) == byte(b, 0))
 
@@ -271,11 +249,10 @@ def _same_before(a: Column, b: Column) -> Column:
 def _long_lines(lines: DataFrame) -> DataFrame:
     """``a, b``: hashes of the lines of ``EXACT_BELOW`` characters or more that may be within one edit in ten characters.
 
-    The shorter line is cut into segments of ``SEGMENT`` characters, ``r`` more than its ``k`` edits. Go along them and count the segments
+    The shorter line is cut into segments of ``SEGMENT`` characters (one less in turns with lines under ``SHORT_SEGMENTS_BELOW``), ``r`` more than its ``k`` edits. Go along them and count the segments
     without their edits: the count ends at ``r`` or more, so there are segments at which it first comes to 1, 2 .. ``r``.
     Each of these ``r`` segments ``i`` is unchanged, with ``i`` edits before it at most, ``k - i + r - 1`` behind it at most, and no more than one
-    in the segment before it. So lines within ``k`` edits meet at ``r`` segments or more (``_segments_met``), and no pair is left out. Lines of less than 180 characters
-    may meet at one only: they are compared there (``_like_before``). The part of least hash in a segment is the same wherever the segment stands, so
+    in the segment before it. So lines within ``k`` edits meet at ``r`` segments or more (``_segments_met``), two at least, and no pair is left out. The part of least hash in a segment is the same wherever the segment stands, so
     the longer line is probed at the places only that are the least of a stretch as long as a segment. Keys hold the step of the longer line's length and that of its place: a
     part is indexed under all steps where it may be met, so other lengths and places never meet it.
     Lengths are taken in turns, and a turn makes the rows of its own lengths only. ``lines`` are read in every turn.
@@ -288,6 +265,7 @@ def _long_lines(lines: DataFrame) -> DataFrame:
     for first, last, parts, part in _turns(rows, sum(rows.values())):
         least = min(r.least for r in of_step if first <= r.step <= last)
         most = max(r.most for r in of_step if first <= r.step <= last)
+        segment = SEGMENT - (least * 10 // 11 < SHORT_SEGMENTS_BELOW)
         from_at, to_at, mine = _stretch(most, parts, part)
 
         def side(name: str, places: DataFrame, *kept: str) -> DataFrame:
@@ -302,35 +280,30 @@ def _long_lines(lines: DataFrame) -> DataFrame:
         ends = [F.lit(0), n - GRAM] if parts == 1 else [F.lit(from_at), F.least(n - GRAM, F.lit(to_at))]
         places = wide.where(ends[0] <= ends[1]).select(*own, F.explode(F.sequence(*ends)).alias("at"))
         hashed = places.select(*own, "at", F.explode(F.array(F.xxhash64(_gram(at)))).alias("part"))  # a row each, so the hash is made once
-        probe = hashed.where(_least_around(at, F.col("part"))).select("h", "n", "step", "at", "part", _step(at, PLACE_STEP, 8).alias("place"), _before(at, (-1, 0, 1)).alias("before"))
+        probe = hashed.where(_least_around(at, F.col("part"), segment)).select("h", "n", "step", "at", "part", _step(at, PLACE_STEP, 8).alias("place"), _before(at, (-1, 0, 1), segment).alias("before"))
 
         reach = _step(n + k, LENGTH_STEP)
         shorter = lines.where(n.between(least * 10 // 11, most)).where(reach >= first)
         ends = [F.greatest(step, F.lit(first)).alias("step"), F.least(reach, F.lit(last)).alias("last")]
         wide = shorter.select("h", "n", "line", *ends).repartition("h").withColumn("wide", _wide(F.col("line")))
         # A part is met at i places less or more at most, so of the segments those that may be met in this stretch.
-        ends = [F.lit(0), F.floor(n / SEGMENT).cast("int") - 1]
+        ends = [F.lit(0), F.floor(n / segment).cast("int") - 1]
         if parts > 1:
-            ends = [F.lit(max(0, from_at - SEGMENT) // (SEGMENT + 1)), F.least(ends[1], F.lit(to_at // (SEGMENT - 1) + 1))]
-        cuts = wide.where(ends[0] <= ends[1]).select(*own, "last", F.explode(F.sequence(*ends)).alias("i")).withColumn("at", _least_of(i * SEGMENT))
-        behind = (k - i + _segments_met(n) - 1).alias("behind")
-        cut = cuts.select("h", "n", "step", "last", "i", behind, "at", F.explode(F.array(F.xxhash64(_gram(at)))).alias("part"), _before(at, (0,)).alias("before")).where("behind >= 0")
+            ends = [F.lit(max(0, from_at - segment) // (segment + 1)), F.least(ends[1], F.lit(to_at // (segment - 1) + 1))]
+        cuts = wide.where(ends[0] <= ends[1]).select(*own, "last", F.explode(F.sequence(*ends)).alias("i")).withColumn("at", _least_of(i * segment, segment))
+        behind = (F.floor(n / segment).cast("int") - 1 - i).alias("behind")
+        cut = cuts.select("h", "n", "step", "last", "i", behind, "at", F.explode(F.array(F.xxhash64(_gram(at)))).alias("part"), _before(at, (0,), segment).alias("before"))
         met_at = F.sequence(*[_step(x, PLACE_STEP, 8) for x in (at - F.least(i, F.col("behind")), at + i)])
         kept = ["h", "n", "at", "part", "before", "i", "behind"]
         index = cut.select(*kept, F.explode(F.sequence("step", "last")).alias("step")).select(*kept, "step", F.explode(met_at).alias("place"))
 
         longer_by, shift = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-        before, within = F.col("a_i"), F.col("a_at") - F.col("a_i") * SEGMENT
+        before, within = F.col("a_i"), F.col("a_at") - F.col("a_i") * segment
         where = (F.abs(shift) <= before) & (longer_by >= 0) & (F.abs(longer_by - shift) <= F.col("a_behind")) & (longer_by <= edit_budget(F.col("a_n"))) & (F.col("b_at") >= within)
         # The cheapest test first: most that share a key fail it.
         may_be = ((before == 0) | _same_before(F.col("a_before"), F.col("b_before"))) & (F.col("a") != F.col("b")) & where
         met = side("a", index, "i", "behind").join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
-        met = met.select("a", "b", (F.col("a_at") - within).alias("a_at"), (F.col("b_at") - within).alias("b_at"), _segments_met(F.col("a_n")).alias("needed"))
-        if least * 10 // 11 < MET_TWICE_FROM:
-            all_met = materialize(met, "line-met")
-            found.append(materialize(_like_before(all_met.where("needed = 1").drop("needed").distinct(), shorter, longer), "line-round"))
-            met = all_met.where("needed > 1")
-        times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.max("needed").alias("needed"))
+        times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.max(_segments_met(F.col("a_n"), segment)).alias("needed"))
         if parts > 1:  # counts of all stretches, before any pair is left out
             counted.append(materialize(times, "line-times"))
             times = reduce(DataFrame.union, counted).groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("needed").alias("needed"))
@@ -339,8 +312,6 @@ def _long_lines(lines: DataFrame) -> DataFrame:
             for table in counted:
                 _let_go(table)
             counted = []
-        if least * 10 // 11 < MET_TWICE_FROM:
-            _let_go(all_met)
     return reduce(DataFrame.union, found, lines.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0))
 
 
@@ -353,9 +324,9 @@ def _stretch(most: int, parts: int, part: int) -> tuple[int, int, Callable[[Colu
     return from_at, to_at, lambda place: (place >= first) & (F.lit(True) if end == math.inf else place < end)
 
 
-def _segments_met(n: Column) -> Column:
+def _segments_met(n: Column, segment: int) -> Column:
     """At how many segments a line of length ``n`` meets one near it that is as long or longer, at least."""
-    return F.floor(n / SEGMENT).cast("int") - edit_budget(n)
+    return F.floor(n / segment).cast("int") - edit_budget(n)
 
 
 def _short_lines(lines: DataFrame) -> DataFrame:
