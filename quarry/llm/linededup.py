@@ -18,18 +18,19 @@ need a function of one's own, and the main path has built-in functions only.)
 The growing budget has two joins, and each finds every pair. If the shorter line has fewer than
 ``EXACT_BELOW`` characters, all lines of one budget are cut at the same
 places, so a probe stands for all their lengths, and its places are listed in a table by
-length. From there on the shorter line is cut into one segment of ``SEGMENT`` characters more
-than it has edits. Of the ``GRAM``-character parts of a segment the one with the least hash is
+length. From there on the shorter line is cut into segments of ``SEGMENT`` characters, which are more
+than its edits, so that two near lines meet at two of them or more: the longer the line, the more meetings are asked for, and lines that
+happen to share a segment leave the join as a count, not as a pair. Of the ``GRAM``-character parts of a segment the one with the least hash is
 indexed; the longer line is probed by the parts that are the least of any stretch of ``SEGMENT``
 characters, which are half of its places: rows grow with the characters, not with the edits. Keys hold a step of the length and of the
-place, so segments of other lengths and places never meet. Both joins go in turns, by budgets and by
-lengths, so the rows that lie on disk at once are a share of the table; a length that is too frequent is split by
-key. Short segments are still shared by
-lines that are not near, so the pairs that meet grow with the square of the table (README): hashes of the
-nine characters before the part drop most of them inside the join, and before
-the others leave a turn, the characters up to the shared segment are compared on the texts.
+place, so segments of other lengths and places never meet it. Both joins go in turns, by budgets and by
+lengths, so the rows that lie on disk at once are a share of the table; a length that is too frequent is taken in
+stretches of places, whose counts are summed. Short segments are still shared by
+lines that are not near, so the rows that meet grow with the square of the table (README): hashes of the
+nine characters before the part drop most of them inside the join.
 Candidates whose counts of 32 letters differ by more than the edits can change are dropped
-before whole texts are joined to them.
+before whole texts are joined to them. A line goes if one earlier line is near it, so its likeliest pair is compared first,
+and the others only if that one is not near.
 
 A line that fills a third of the table is one row after the first, map-side combined,
 grouping. Removed places are gathered per document and taken out inside the document's row.
@@ -60,7 +61,7 @@ EXACT_BELOW = 100
 SEGMENT = 9  # k + 1 segments fit into 10 k characters from 90 on
 GRAM = 7  # characters of a segment that are looked up
 ROUND_ROWS = 20_000_000  # places of a turn, whose rows lie on disk together
-MOST_ROUNDS = 100  # in a larger table a turn has that share of the places
+MOST_ROUNDS = 64  # in a larger table a turn has that share of the places
 SHORT_SEGMENTS_BELOW = 180  # from there on two segments of that length or more are met; shorter lines are cut into smaller ones for that
 LENGTH_STEP = 1.1  # ratios of the steps of lengths and places in the keys of long lines
 PLACE_STEP = 1.2
@@ -304,11 +305,16 @@ def _long_lines(lines: DataFrame) -> DataFrame:
         may_be = ((before == 0) | _same_before(F.col("a_before"), F.col("b_before"))) & (F.col("a") != F.col("b")) & where
         met = side("a", index, "i", "behind").join(side("b", probe).hint("merge"), (F.col("a_key") == F.col("b_key")) & may_be)
         times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.max(_segments_met(F.col("a_n"), segment)).alias("needed"))
-        if parts > 1:  # counts of all stretches, before any pair is left out
-            counted.append(materialize(times, "line-times"))
-            times = reduce(DataFrame.union, counted).groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("needed").alias("needed"))
+        enough = F.col("times") >= F.col("needed")
+        if parts > 1:
+            # Counts of all stretches, before any pair is left out. In a large table these are too many rows to keep; there a pair
+            # stays that has an even share of its meetings in some stretch, as every near one has, if that is more than one.
+            share = F.ceil(F.col("needed") / (parts if sum(rows.values()) > ROUND_ROWS * MOST_ROUNDS else math.inf))
+            counted.append(materialize(times.withColumn("share", share).where("share < 2 or times >= share"), "line-times"))
+            times = reduce(DataFrame.union, counted).groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("needed", "share")], F.sum("times").alias("times"))
+            enough = enough | (F.col("share") > 1)
         if part == parts - 1:
-            found.append(materialize(times.where("times >= needed").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-round"))
+            found.append(materialize(times.where(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-round"))
             for table in counted:
                 _let_go(table)
             counted = []
